@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldcast.operators.quantiles import quantile_table
 from fieldcast.plans.yields import FEATURES
-from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, Settings
+from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, UNKNOWN_SOIL, Settings
 
 # Fixed values of the forest.
 TREES, DEPTH, MIN_LEAF, SEED = 40, 10, 4, 42
@@ -42,7 +42,7 @@ def fill_values(training: DataFrame) -> dict[str, float | str]:
     found = {c: values[c] for c in FEATURES} if values else {}
     return {
         **{c: (0.0 if found.get(c) is None else found[c]) for c in FEATURES},
-        "soil_family": soil.first()["s"] or "",
+        "soil_family": soil.first()["s"] or UNKNOWN_SOIL,
     }
 
 

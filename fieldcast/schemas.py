@@ -5,8 +5,20 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_TYPES = {
+    "int": T.IntegerType(), "long": T.LongType(), "short": T.ShortType(),
+    "float": T.FloatType(), "double": T.DoubleType(), "string": T.StringType(),
+    "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "timestamp_ntz": T.TimestampNTZType(),
+}
+
+
 def _schema(spec: str) -> T.StructType:
-    return T.StructType.fromDDL(spec)
+    """Schema of "name type, name type"; needs no session, unlike a DDL string."""
+    return T.StructType([
+        T.StructField(name, _TYPES[kind])
+        for name, kind in (field.split() for field in spec.split(","))
+    ])
 
 
 CONSTRAINTS = _schema(
