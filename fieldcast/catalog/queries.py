@@ -54,13 +54,14 @@ def query(fn):
 
 
 def tidy(df: DataFrame, digits: int = 5, **special: int) -> DataFrame:
-    """Round the doubles of a result, so that the order of summation does not show."""
+    """Round the doubles of a result, so that the order of summation does not show. The
+    extra 0.001 keeps ties clear of that noise too."""
     out = []
     for f in df.schema.fields:
         col = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
             scale = F.lit(float(10 ** special.get(f.name, digits)))
-            col = F.rint(col * scale) / scale + F.lit(0.0)
+            col = F.floor(col * scale + F.lit(0.501)).cast("double") / scale + F.lit(0.0)
         out.append(col.alias(f.name))
     return df.select(*out)
 
@@ -380,7 +381,7 @@ def marker_size(spark, folder):
 
 @query
 def cell_label(spark, folder):
-    return fact(spark, folder).select(*KEY, M.cell_label().alias("cell_label"))
+    return tidy(fact(spark, folder), 6).select(*KEY, M.cell_label().alias("cell_label"))
 
 
 @query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldcast.functions import mean_flux_to_kwh
+from fieldcast.functions import mean_flux_to_kwh, round_even
 from fieldcast.settings import SEASON_MONTHS
 
 
@@ -44,17 +44,23 @@ def seasonal_climate(climate: DataFrame, years=None) -> DataFrame:
     The months are spread by cell alone, so that this grouping and any later join or
     grouping by cell need no further shuffle. By then a cell has at most five rows a
     year, whatever its share of the raw table.
+
+    Figures are kept to nine decimals: a mean that is exactly on a bound stays there,
+    whatever the order of summation, and a repeated run gives the same flags.
     """
+    figures = {
+        "temp_avg": F.avg("temp"),
+        "temp_peak": F.max("temp"),
+        "rain": F.sum("rain"),
+        "sun_mean": F.avg("sun"),
+        "sun": F.sum("sun_kwh"),
+    }
     return (
         monthly_climate(climate, years)
         .repartition("cell_id")
         .groupBy("cell_id", "year")
         .agg(
-            F.avg("temp").alias("temp_avg"),
-            F.max("temp").alias("temp_peak"),
-            F.sum("rain").alias("rain"),
-            F.avg("sun").alias("sun_mean"),
-            F.sum("sun_kwh").alias("sun"),
+            *[round_even(figure, 9).alias(name) for name, figure in figures.items()],
             F.count("*").cast("int").alias("n_months"),
         )
     )
