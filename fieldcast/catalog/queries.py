@@ -582,7 +582,11 @@ def department_baseline_errors(spark, folder):
 
 @query
 def model_comparison(spark, folder):
-    return D.compare_models(history(spark, folder).trimmed, SETTINGS)
+    """Regressors side by side, with the soil match as a further input."""
+    rows = Y.with_soil_score(
+        history(spark, folder).trimmed, tables(spark, folder).constraints, SETTINGS
+    )
+    return D.compare_models(rows, SETTINGS, features=[*Y.FEATURES, "soil_score"])
 
 
 @query

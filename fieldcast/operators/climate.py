@@ -38,12 +38,13 @@ def monthly_climate(climate: DataFrame, years=None) -> DataFrame:
     )
 
 
-def seasonal_climate(climate: DataFrame, years=None) -> DataFrame:
+def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True) -> DataFrame:
     """Season figures per cell and year.
 
-    The months are spread by cell alone, so that this grouping and any later join or
-    grouping by cell need no further shuffle. By then a cell has at most five rows a
-    year, whatever its share of the raw table.
+    With ``by_cell`` the months are spread by cell alone, so that this grouping and any
+    later join or grouping by cell need no further shuffle; without, the result suits a
+    join by cell and year. By then a cell has at most five rows a year, whatever its share
+    of the raw table.
 
     Figures are kept to nine decimals: a mean that is exactly on a bound stays there,
     whatever the order of summation, and a repeated run gives the same flags.
@@ -55,9 +56,9 @@ def seasonal_climate(climate: DataFrame, years=None) -> DataFrame:
         "sun_mean": F.avg("sun"),
         "sun": F.sum("sun_kwh"),
     }
+    months = monthly_climate(climate, years)
     return (
-        monthly_climate(climate, years)
-        .repartition("cell_id")
+        (months.repartition("cell_id") if by_cell else months)
         .groupBy("cell_id", "year")
         .agg(
             *[round_even(figure, 9).alias(name) for name, figure in figures.items()],

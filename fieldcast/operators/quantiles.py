@@ -53,23 +53,24 @@ def exact_quantiles(
     # Below its range a value only counts (as NULL); above it does not even count.
     parts = F.array(*[
         F.struct(
-            F.lit(float(p)).alias("p"),
+            F.lit(i).alias("i"),
             F.when(F.col("_v") >= F.col("_ends")[2 * i], F.col("_v")).alias("v"),
             (F.col("_v") <= F.col("_ends")[2 * i + 1]).alias("wanted"),
         )
-        for i, p in enumerate(probs)
+        for i in range(len(probs))
     ])
     counted = (
         ranged.select(*keys, "_n", F.explode(parts).alias("_part"))
         .where("_part.wanted")
-        .groupBy(*keys, F.col("_part.p").alias("prob"), F.col("_part.v").alias("_x"))
+        .groupBy(*keys, F.col("_part.i").alias("_i"), F.col("_part.v").alias("_x"))
         .agg(F.count("*").alias("_c"), F.max("_n").alias("_n"))
     )
-    upto = Window.partitionBy(*keys, "prob").orderBy(F.col("_x").asc_nulls_first())
+    upto = Window.partitionBy(*keys, "_i").orderBy(F.col("_x").asc_nulls_first())
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    position = F.col("prob") * (F.col("_n") - 1)
+    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i"))
+    position = prob * (F.col("_n") - 1)
     low_rank, high_rank = F.floor(position), F.ceil(position)
-    ranked = counted.withColumn("_upto", F.sum("_c").over(upto)).groupBy(*keys, "prob").agg(
+    ranked = counted.withColumn("_upto", F.sum("_c").over(upto)).groupBy(*keys, "_i").agg(
         F.max("_n").alias("_n"),
         F.max("_upto").alias("_seen"),
         F.coalesce(F.max(F.when(F.col("_x").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
@@ -79,7 +80,7 @@ def exact_quantiles(
     inside = (F.col("_below") <= low_rank) & (F.col("_seen") > high_rank)
     between = F.col("_low") + (F.col("_high") - F.col("_low")) * (position - low_rank)
     return ranked.select(
-        *keys, "prob", F.col("_n").alias("n"),
+        *keys, prob.alias("prob"), F.col("_n").alias("n"),
         F.when(inside, between)
         .otherwise(F.raise_error(F.lit("quantile rank outside its sketched range")).cast("double"))
         .alias("quantile"),

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from fieldcast.plans.model import errors, filled, fit, forest
+from fieldcast.plans.model import errors, fill_values, filled, fit, forest, preparation
+from fieldcast.plans.yields import FEATURES
 from fieldcast.settings import Settings
 
 FOLDS = 5
@@ -69,8 +71,13 @@ def regressors() -> dict:
     }
 
 
-def compare_models(trimmed: DataFrame, settings: Settings, names=None) -> DataFrame:
-    """Errors of each regressor and crop on the years after the last training year."""
+def compare_models(
+    trimmed: DataFrame, settings: Settings, names=None, features=FEATURES
+) -> DataFrame:
+    """Errors of each regressor and crop on the years after the last training year.
+
+    The inputs are prepared once per crop and shared by all regressors.
+    """
     spark: SparkSession = trimmed.sparkSession
     past = F.col("year") <= settings.last_training_year
     found = []
@@ -80,11 +87,17 @@ def compare_models(trimmed: DataFrame, settings: Settings, names=None) -> DataFr
             train, test = rows.where(past), rows.where(~past)
             if train.isEmpty() or test.isEmpty():
                 continue
+            fills = fill_values(train, features)
+            prepare = Pipeline(stages=preparation(features)).fit(filled(train, fills))
+            columns = ["yield_q_ha", "features"]
+            ready = prepare.transform(filled(train, fills)).select(*columns).persist()
+            unseen = prepare.transform(filled(test, fills)).select(*columns).persist()
             for name, regressor in regressors().items():
                 if names is None or name in names:
-                    fills, model = fit(train, regressor)
-                    score = errors(model.transform(filled(test, fills)))
+                    score = errors(regressor.fit(ready).transform(unseen))
                     found.append((crop, name, score["mae"], score["r2"]))
+            ready.unpersist()
+            unseen.unpersist()
         finally:
             rows.unpersist()
     return spark.createDataFrame(found, "crop_id int, model string, mae double, r2 double")

@@ -27,40 +27,41 @@ def forest() -> RandomForestRegressor:
     )
 
 
-def fill_values(training: DataFrame) -> dict[str, float | str]:
+def fill_values(training: DataFrame, features=FEATURES) -> dict[str, float | str]:
     """Median of each numeric input and the most frequent soil (the first by name on a tie).
 
     Computed for one crop; the two results are single rows.
     """
-    one = training.select(F.lit(1).alias("all"), "soil_family", *FEATURES)
-    medians = quantile_table(one, ["all"], {c: (c, 0.5) for c in FEATURES}, small_domain=True)
+    one = training.select(F.lit(1).alias("all"), "soil_family", *features)
+    medians = quantile_table(one, ["all"], {c: (c, 0.5) for c in features}, small_domain=True)
     soil = (
         one.where("soil_family IS NOT NULL").groupBy("soil_family").count()
         .agg(F.min_by("soil_family", F.struct(-F.col("count"), F.col("soil_family"))).alias("s"))
     )
     values = medians.first()
-    found = {c: values[c] for c in FEATURES} if values else {}
+    found = {c: values[c] for c in features} if values else {}
     return {
-        **{c: (0.0 if found.get(c) is None else found[c]) for c in FEATURES},
+        **{c: (0.0 if found.get(c) is None else found[c]) for c in features},
         "soil_family": soil.first()["s"] or UNKNOWN_SOIL,
     }
 
 
 def filled(rows: DataFrame, fills: dict, prefix: str = "") -> DataFrame:
     """Model inputs without gaps, under the names ``in_*``."""
+    numeric = [c for c in fills if c != "soil_family"]
     return rows.withColumns({
-        **{f"in_{c}": F.coalesce(F.col(f"{prefix}{c}"), F.lit(float(fills[c]))) for c in FEATURES},
+        **{f"in_{c}": F.coalesce(F.col(f"{prefix}{c}"), F.lit(float(fills[c]))) for c in numeric},
         "in_soil": F.coalesce("soil_family", F.lit(fills["soil_family"])),
     })
 
 
-def preparation() -> list:
+def preparation(features=FEATURES) -> list:
     """Soil to indicator columns (an unseen soil has none set), then one input vector."""
     return [
         StringIndexer(inputCol="in_soil", outputCol="soil_index", handleInvalid="keep",
                       stringOrderType="alphabetAsc"),
         OneHotEncoder(inputCol="soil_index", outputCol="soil_vector", dropLast=True),
-        VectorAssembler(inputCols=[*[f"in_{c}" for c in FEATURES], "soil_vector"],
+        VectorAssembler(inputCols=[*[f"in_{c}" for c in features], "soil_vector"],
                         outputCol="features"),
     ]
 
@@ -80,9 +81,9 @@ class YieldModel:
         return self.fitted.transform(ready).drop(*MODEL_COLUMNS)
 
 
-def fit(training: DataFrame, regressor=None) -> tuple[dict, PipelineModel]:
-    fills = fill_values(training)
-    stages = [*preparation(), regressor or forest()]
+def fit(training: DataFrame, regressor=None, features=FEATURES) -> tuple[dict, PipelineModel]:
+    fills = fill_values(training, features)
+    stages = [*preparation(features), regressor or forest()]
     return fills, Pipeline(stages=stages).fit(filled(training, fills))
 
 

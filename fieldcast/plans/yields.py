@@ -6,9 +6,10 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, functions as F
 
-from fieldcast.functions import coerce_double
+from fieldcast.functions import coerce_double, soil_score
 from fieldcast.operators.climate import complete_seasons, seasonal_climate
 from fieldcast.operators.footprint import per_cell_map
+from fieldcast.operators.joins import closed_domain
 from fieldcast.operators.quantiles import exact_quantiles, quantile_table
 from fieldcast.operators.staging import stage
 from fieldcast.schemas import require_columns
@@ -33,7 +34,9 @@ def yield_training_set(tables, settings: Settings) -> DataFrame:
     The yields are joined as they are to one row per cell and year; a cell with very many
     yields is split by adaptive execution.
     """
-    seasons = complete_seasons(seasonal_climate(tables.climate_past, settings.history_years))
+    seasons = complete_seasons(
+        seasonal_climate(tables.climate_past, settings.history_years, by_cell=False)
+    )
     grown = tables.yields.where(
         F.col("crop_id").isin(*settings.crops)
         & (F.col("yield_q_ha") > 0)
@@ -67,6 +70,18 @@ def horizon_features(tables, settings: Settings) -> DataFrame:
     )
 
 
+def with_soil_score(training: DataFrame, constraints: DataFrame, settings: Settings) -> DataFrame:
+    """Match of a row's soil with the preferred soils of its crop, as a further model input."""
+    preferred = [f"soil_pref_{i}" for i in (1, 2, 3)]
+    soils = closed_domain(
+        constraints.select(F.col("crop_id").cast("int").alias("crop_id"), *preferred),
+        "crop_id", settings.crops,
+    )
+    return training.join(F.broadcast(soils), "crop_id", "left").withColumn(
+        "soil_score", soil_score(F.col("soil_family"), [F.col(c) for c in preferred])
+    ).drop(*preferred)
+
+
 def valid_rows(training: DataFrame) -> DataFrame:
     """Rows with a usable target."""
     require_columns(training, TRAINING_COLUMNS, "training set")

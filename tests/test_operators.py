@@ -40,11 +40,11 @@ def test_seasons(spark):
 
 
 def test_season_on_a_bound_does_not_depend_on_row_order(spark):
-    values = [0.1, 0.2, 0.3, 1e8, -1e8, 0.7, 21.7]
+    values = [0.1, 0.2, 0.3, 1e3, -1e3, 0.7, 21.7]
     rows = [(c, 2054, m, v, 1.0, 1.0) for c in range(6) for m in (4, 5, 6, 7, 8)
             for v in random.Random(c).sample(values, len(values))]
     df = spark.createDataFrame(rows, "cell_id int, year int, month int, temp double, rain double, sun double")
-    assert seasonal_climate(df.repartition(7)).select(F.round("temp_avg", 6)).distinct().count() == 1
+    assert seasonal_climate(df.repartition(7)).select("temp_avg").distinct().count() == 1
 
 
 def test_footprint(tables):
