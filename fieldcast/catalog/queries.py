@@ -31,9 +31,8 @@ from fieldcast.plans import yields as Y
 from fieldcast.plans.fact import (
     PARTS, prediction_mask, projection_fact, scores_at, with_features,
 )
-from fieldcast.plans.model import (
-    metrics_table, predict_by_crop, train_yield_model, usable_rows,
-)
+from fieldcast.plans.job import train_models
+from fieldcast.plans.model import metrics_table, predict_by_crop
 from fieldcast.schemas import SOIL_TEXTURES
 from fieldcast.sources import driver_tables
 from fieldcast.sources.driver_tables import SETTINGS
@@ -92,11 +91,10 @@ def fact(spark, folder) -> DataFrame:
 
 def models(spark, folder) -> list:
     def train():
-        past = history(spark, folder)
-        counts = usable_rows(past.trimmed, SETTINGS)
-        return [
-            train_yield_model(c, past.trimmed, SETTINGS, counts[c]) for c in SETTINGS.crops
-        ]
+        found, failed = train_models(history(spark, folder), SETTINGS)
+        if failed:
+            raise ValueError(f"no model for crops: {failed}")
+        return found
     return _once(_MODELS, spark, folder, train)
 
 
@@ -490,17 +488,32 @@ def dept_code_normalise(spark, folder):
     )
 
 
-@query
-def nearest_cell(spark, folder):
+def _located_customers(spark, folder):
+    """Customers as plots at a place of their own, each with the mesh cell nearest to it."""
     key = F.col("c_custkey")
     points = spark.read.parquet(f"{folder}/customer.parquet").select(
         key.alias("point_id"),
         (F.lit(41.0) + (key % 1050) / F.lit(100.0)).alias("lat"),
         (F.lit(-5.5) + (key % 1530) / F.lit(100.0)).alias("lon"),
+        "c_mktsegment", "c_acctbal",
     )
-    return tidy(assign_cell(points, driver_tables.coordinates(spark, folder), 0.75).select(
-        "point_id", "cell_id", "distance"
-    ))
+    return assign_cell(points, driver_tables.coordinates(spark, folder), 0.75)
+
+
+@query
+def nearest_cell(spark, folder):
+    return tidy(_located_customers(spark, folder).select("point_id", "cell_id", "distance"))
+
+
+@query
+def regridded_footprint(spark, folder):
+    """Area and plots per mesh cell of plots that came with coordinates only."""
+    plots = _located_customers(spark, folder).where("cell_id IS NOT NULL").select(
+        F.col("point_id").alias("plot_id"), "cell_id",
+        F.when(F.col("c_mktsegment") == "MACHINERY", 1).otherwise(2).alias("crop_id"),
+        F.col("c_acctbal").alias("area_ha"),
+    )
+    return tidy(P.plot_footprint(plots))
 
 
 # --- checks --------------------------------------------------------------------------------

@@ -67,7 +67,7 @@ def regressors() -> dict:
         "ridge": LinearRegression(regParam=1.0, elasticNetParam=0.0, **common),
         "lasso": LinearRegression(regParam=1.0, elasticNetParam=1.0, **common),
         "forest": forest(),
-        "boosted": GBTRegressor(maxIter=20, maxDepth=5, seed=42, **common),
+        "boosted": GBTRegressor(maxIter=10, maxDepth=5, seed=42, **common),
     }
 
 

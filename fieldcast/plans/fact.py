@@ -11,6 +11,7 @@ from fieldcast.functions.numeric import percent_change
 from fieldcast.operators.areas import future_area, median_area_by_crop, median_area_by_dept
 from fieldcast.operators.joins import spread_join
 from fieldcast.operators.staging import stage
+from fieldcast.operators.together import run_together
 from fieldcast.plans.suitability import cell_dimensions, grown_cells, suitability
 from fieldcast.plans.yields import FEATURES, MEASURES, YieldHistory, yield_history
 from fieldcast.schemas import FACT, require_columns
@@ -27,7 +28,11 @@ def median_areas(tables, settings: Settings) -> tuple[DataFrame, DataFrame]:
         ),
         "grown-cells",
     )
-    return stage(median_area_by_dept(grown), "dept-medians"), median_area_by_crop(grown)
+    return tuple(run_together(
+        grown.sparkSession,
+        lambda: stage(median_area_by_dept(grown), "dept-medians"),
+        lambda: stage(median_area_by_crop(grown), "crop-medians"),
+    ))
 
 
 def with_references(rows: DataFrame, defaults: DataFrame) -> DataFrame:
@@ -141,16 +146,20 @@ def stamped(rows: DataFrame, settings: Settings) -> DataFrame:
 
 
 def projection_fact(
-    tables, settings: Settings, history: YieldHistory | None = None, predict=None,
+    tables, settings: Settings, history: YieldHistory | None = None, predict=None, medians=None,
 ) -> DataFrame:
     """Fact rows of all crops and horizons of the run.
 
     ``predict`` maps rows with the columns ``x_*``, ``soil_family`` and ``crop_id`` to rows
     with a ``predicted`` yield (see :mod:`fieldcast.plans.model`). Without one, the
-    reference yield of the cell stands for the prediction.
+    reference yield of the cell stands for the prediction. ``history`` and ``medians`` are
+    built here unless given.
     """
-    history = history or yield_history(tables, settings)
-    dept_medians, crop_medians = median_areas(tables, settings)
+    history, (dept_medians, crop_medians) = run_together(
+        tables.soils.sparkSession,
+        lambda: history or yield_history(tables, settings),
+        lambda: medians or median_areas(tables, settings),
+    )
     rows = suitability(tables, settings, extra=history.cells)
     rows = with_features(with_references(rows, history.defaults))
     rows = (

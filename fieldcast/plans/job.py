@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import logging
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldcast.operators.staging import stage
-from fieldcast.plans.fact import projection_fact
-from fieldcast.plans.model import predict_by_crop, train_yield_model, usable_rows
+from fieldcast.operators.together import run_together
+from fieldcast.plans.fact import median_areas, projection_fact
+from fieldcast.plans.model import YieldModel, predict_by_crop, train_yield_model, usable_rows
 from fieldcast.plans.quality import duplicate_examples, fact_violations, partition_summary
 from fieldcast.plans.yields import yield_history
 from fieldcast.settings import Settings
@@ -35,18 +37,23 @@ def check_constraints(tables, settings: Settings) -> None:
 
 
 def train_models(history, settings: Settings):
-    """A model per crop; a crop that cannot be trained is reported, not fatal."""
-    models, failed = [], {}
-    counts = usable_rows(history.trimmed, settings)
-    for crop in settings.crops:
+    """A model per crop, trained side by side; a crop that cannot be trained is reported."""
+    counts = usable_rows(history.training, settings)
+
+    def train(crop: int):
         try:
-            model = train_yield_model(crop, history.trimmed, settings, counts[crop])
-            models.append(model)
-            log.info("model of crop %s: %s", crop, model.metrics)
+            return train_yield_model(crop, history.trimmed, settings, counts[crop])
         except Exception as error:  # noqa: BLE001
             log.exception("crop %s: training failed", crop)
-            failed[crop] = str(error)
-    return models, failed
+            return str(error)
+
+    found = run_together(
+        history.trimmed.sparkSession, *[partial(train, crop) for crop in settings.crops]
+    )
+    models = [m for m in found if isinstance(m, YieldModel)]
+    for model in models:
+        log.info("model of crop %s: %s", model.crop_id, model.metrics)
+    return models, {c: m for c, m in zip(settings.crops, found) if isinstance(m, str)}
 
 
 def checked_partitions(fact: DataFrame, settings: Settings, crops) -> tuple[dict, dict]:
@@ -88,12 +95,14 @@ def run_projection(
     settings = (settings or Settings()).narrowed(crops, horizons)
     check_constraints(tables, settings)
     history = yield_history(tables, settings)
-    models, failed = train_models(history, settings)
+    (models, failed), medians = run_together(
+        spark, lambda: train_models(history, settings), lambda: median_areas(tables, settings)
+    )
     results = [(c, None, 0, e) for c, e in failed.items()]
     if models:
         trained = settings.narrowed(crops=[m.crop_id for m in models])
         fact = stage(
-            projection_fact(tables, trained, history, predict_by_crop(models)), "fact"
+            projection_fact(tables, trained, history, predict_by_crop(models), medians), "fact"
         )
         sound, errors = checked_partitions(fact, trained, trained.crops)
         for row in partition_summary(fact).collect():

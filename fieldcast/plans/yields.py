@@ -130,10 +130,11 @@ def yield_quantiles(training: DataFrame, probs) -> DataFrame:
 class YieldHistory:
     """What the fact build needs of the past, as staged tables.
 
-    ``trimmed`` holds the training rows, ``cells`` one map of reference figures per cell,
-    ``defaults`` one row per crop.
+    ``training`` holds all usable rows, ``trimmed`` those inside the bounds of their crop,
+    ``cells`` one map of reference figures per cell, ``defaults`` one row per crop.
     """
 
+    training: DataFrame
     trimmed: DataFrame
     cells: DataFrame
     defaults: DataFrame
@@ -151,4 +152,4 @@ def yield_history(tables, settings: Settings) -> YieldHistory:
     cells = per_cell_map(
         reference_by_cell(trimmed), "crop_id", [f"ref_{c}" for c in MEASURES], "reference"
     )
-    return YieldHistory(trimmed, cells, stage(reference_defaults(trimmed), "crop-defaults"))
+    return YieldHistory(training, trimmed, cells, stage(reference_defaults(trimmed), "crop-defaults"))
