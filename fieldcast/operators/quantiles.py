@@ -10,6 +10,9 @@ job instead of giving a wrong value. Groups of a few thousand rows skip the narr
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
 from fieldcast.operators.joins import spread_join
@@ -33,58 +36,69 @@ def exact_quantiles(
     for key in keys:
         rows = rows.where(F.col(key).isNotNull())
 
+    probs = sorted(float(p) for p in probs)
     margin = 4.0 / accuracy  # the rank error of the sketch is at most 1 / accuracy
-    ends = [e for p in probs for e in (max(0.0, p - margin), min(1.0, p + margin))]
+    lows, highs = [max(0.0, p - margin) for p in probs], [min(1.0, p + margin) for p in probs]
     sketch = rows.groupBy(*keys).agg(
         F.count("_v").alias("_n"),
-        F.percentile_approx("_v", ends, accuracy).alias("_ends"),
+        F.percentile_approx("_v", lows + highs, accuracy).alias("_ends"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"),
     )
     small = F.col("_n") <= 2 * accuracy  # here the margin would be a rank or two only
-    sketch = sketch.select(*keys, "_n", F.array(*[
-        F.when(small, F.col("_max" if i % 2 else "_min")).otherwise(F.col("_ends")[i])
-        for i in range(len(ends))
-    ]).alias("_ends"))
-    if small_domain:
-        ranged = rows.join(F.broadcast(sketch), keys)
-    else:
-        ranged = spread_join(rows, sketch, keys, ["_v"], how="inner")
-
-    # Below its range a value only counts (as NULL); above it does not even count.
-    parts = F.array(*[
-        F.struct(
-            F.lit(i).alias("i"),
-            F.when(F.col("_v") >= F.col("_ends")[2 * i], F.col("_v")).alias("v"),
-            (F.col("_v") <= F.col("_ends")[2 * i + 1]).alias("wanted"),
-        )
-        for i in range(len(probs))
+    sketch = sketch.select(*keys, "_n", *[
+        F.when(small, F.col(edge)).otherwise(F.col("_ends")[offset + i]).alias(f"{edge}_{i}")
+        for edge, offset in (("_min", 0), ("_max", len(probs))) for i in range(len(probs))
     ])
+    if small_domain:
+        ranged = rows.withColumn("_w", F.lit(1)).join(F.broadcast(sketch), keys)
+    else:  # equal values are counted first, so that none of them crowds a salt
+        distinct = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_w"))
+        ranged = spread_join(distinct, sketch, keys, ["_v"], how="inner")
+
+    # A value outside all ranges only counts: at the upper end of the range before it, or
+    # at NULL before the first. Values after the last range do not even count.
+    ids = range(len(probs))
+    v = F.col("_v")
+    inside = reduce(or_, [v.between(F.col(f"_min_{i}"), F.col(f"_max_{i}")) for i in ids])
+    passed = [F.when(v > F.col(f"_max_{i}"), F.col(f"_max_{i}")) for i in ids]
     counted = (
-        ranged.select(*keys, "_n", F.explode(parts).alias("_part"))
-        .where("_part.wanted")
-        .groupBy(*keys, F.col("_part.i").alias("_i"), F.col("_part.v").alias("_x"))
-        .agg(F.count("*").alias("_c"), F.max("_n").alias("_n"))
+        ranged.where(v <= F.col(f"_max_{ids[-1]}"))
+        .select(
+            *keys, "_n", "_w", (~inside).alias("_gap"),
+            F.when(inside, v).otherwise(F.greatest(*passed, F.lit(None))).alias("_x"),
+        )
+        .groupBy(*keys, "_x", "_gap")
+        .agg(F.sum("_w").alias("_c"), F.max("_n").alias("_n"))
     )
-    upto = Window.partitionBy(*keys, "_i").orderBy(F.col("_x").asc_nulls_first())
+    upto = Window.partitionBy(*keys).orderBy(F.col("_x").asc_nulls_first(), "_gap")
     upto = upto.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    prob = F.get(F.array(*[F.lit(float(p)) for p in probs]), F.col("_i"))
-    position = prob * (F.col("_n") - 1)
-    low_rank, high_rank = F.floor(position), F.ceil(position)
-    ranked = counted.withColumn("_upto", F.sum("_c").over(upto)).groupBy(*keys, "_i").agg(
+
+    def position(p: float):
+        return F.lit(p) * (F.col("_n") - 1)
+
+    def reaching(rank):
+        return F.min(F.when(F.col("_upto") > rank, F.struct("_x", "_gap")))
+
+    found = counted.withColumn("_upto", F.sum("_c").over(upto)).groupBy(*keys).agg(
         F.max("_n").alias("_n"),
-        F.max("_upto").alias("_seen"),
-        F.coalesce(F.max(F.when(F.col("_x").isNull(), F.col("_c"))), F.lit(0)).alias("_below"),
-        F.min(F.when(F.col("_upto") > low_rank, F.col("_x"))).alias("_low"),
-        F.min(F.when(F.col("_upto") > high_rank, F.col("_x"))).alias("_high"),
-    )
-    inside = (F.col("_below") <= low_rank) & (F.col("_seen") > high_rank)
-    between = F.col("_low") + (F.col("_high") - F.col("_low")) * (position - low_rank)
-    return ranked.select(
-        *keys, prob.alias("prob"), F.col("_n").alias("n"),
-        F.when(inside, between)
-        .otherwise(F.raise_error(F.lit("quantile rank outside its sketched range")).cast("double"))
-        .alias("quantile"),
+        *[reaching(F.floor(position(p))).alias(f"_low_{i}") for i, p in enumerate(probs)],
+        *[reaching(F.ceil(position(p))).alias(f"_high_{i}") for i, p in enumerate(probs)],
     )
+    missed = F.raise_error(F.lit("quantile rank outside its sketched range")).cast("double")
+
+    def quantile(i: int, p: float):
+        low, high = F.col(f"_low_{i}"), F.col(f"_high_{i}")
+        share = position(p) - F.floor(position(p))
+        exact = low["_x"] + (high["_x"] - low["_x"]) * share
+        return F.when(~low["_gap"] & ~high["_gap"], exact).otherwise(missed)
+
+    return found.select(
+        *keys, F.col("_n").alias("n"),
+        F.explode(F.array(*[
+            F.struct(F.lit(p).alias("prob"), quantile(i, p).alias("quantile"))
+            for i, p in enumerate(probs)
+        ])).alias("_q"),
+    ).select(*keys, "_q.prob", "n", "_q.quantile")
 
 
 def quantile_table(
