@@ -299,7 +299,10 @@ def yield_quantiles(spark, folder):
 def price_quantiles(spark, folder):
     """Exact quantiles of groups with many rows and of a key of open size."""
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
-    return tidy(exact_quantiles(lines, ["l_suppkey"], "l_extendedprice", [0.05, 0.5, 0.95]))
+    return tidy(exact_quantiles(
+        lines, ["l_suppkey"], "l_extendedprice", [0.05, 0.5, 0.95],
+        spread_on=["l_orderkey", "l_linenumber"],
+    ))
 
 
 @query

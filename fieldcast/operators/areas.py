@@ -15,12 +15,14 @@ def median_area_by_dept(grown: DataFrame) -> DataFrame:
     every horizon, so one median serves all horizons.
     """
     rows = grown.where(F.col("area") > 0).select(
-        "crop_id",
+        "crop_id", "cell_id",
         strip_space(F.col("dept_code")).alias("dept_code"),
         strip_space(F.col("dept_name")).alias("dept_name"),
         "area",
     )
-    return exact_quantiles(rows, ["crop_id", "dept_code", "dept_name"], "area", [0.5]).select(
+    return exact_quantiles(
+        rows, ["crop_id", "dept_code", "dept_name"], "area", [0.5], spread_on=["cell_id"]
+    ).select(
         "crop_id", "dept_code", "dept_name",
         F.col("n").alias("n_cells"), F.col("quantile").alias("dept_median"),
     )

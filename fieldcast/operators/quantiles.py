@@ -22,15 +22,18 @@ ACCURACY = 10_000
 
 def exact_quantiles(
     df: DataFrame, keys: list[str], value: str | Column, probs: list[float],
-    small_domain: bool = False, accuracy: int = ACCURACY,
+    small_domain: bool = False, accuracy: int = ACCURACY, spread_on: list[str] | None = None,
 ) -> DataFrame:
     """Rows ``(keys, prob, n, quantile)`` for each group with a value.
 
     NULL and NaN values and rows with a NULL key are left out. ``small_domain`` states
-    that the keys come from a closed list, so that the sketches may be broadcast.
+    that the keys come from a closed list, so that the sketches may be broadcast. Otherwise
+    large groups are split by the columns ``spread_on``, which should tell rows of a group
+    apart; without them, equal values are counted first and groups are split by value.
     """
     amount = (F.col(value) if isinstance(value, str) else value).cast("double")
-    rows = df.select(*keys, amount.alias("_v")).where(
+    extra = [F.col(c).alias(f"_spread_{c}") for c in spread_on or []]
+    rows = df.select(*keys, amount.alias("_v"), *extra).where(
         F.col("_v").isNotNull() & ~F.isnan("_v")
     )
     for key in keys:
@@ -51,7 +54,10 @@ def exact_quantiles(
     ])
     if small_domain:
         ranged = rows.withColumn("_w", F.lit(1)).join(F.broadcast(sketch), keys)
-    else:  # equal values are counted first, so that none of them crowds a salt
+    elif spread_on:
+        apart = [f"_spread_{c}" for c in spread_on]
+        ranged = spread_join(rows.withColumn("_w", F.lit(1)), sketch, keys, apart, how="inner")
+    else:
         distinct = rows.groupBy(*keys, "_v").agg(F.count("*").alias("_w"))
         ranged = spread_join(distinct, sketch, keys, ["_v"], how="inner")
 

@@ -78,8 +78,10 @@ def test_joins_with_a_hot_key(spark):
 
 
 @pytest.mark.parametrize("accuracy", [10_000, 20])
-@pytest.mark.parametrize("small_domain", [True, False])
-def test_exact_quantiles(spark, small_domain, accuracy):
+@pytest.mark.parametrize("way", [
+    {"small_domain": True}, {"small_domain": False}, {"spread_on": ["r"]},
+])
+def test_exact_quantiles(spark, way, accuracy):
     """With accuracy 20, groups of more than 40 rows take the narrowed range."""
     rng = np.random.default_rng(5)
     groups = {
@@ -88,9 +90,10 @@ def test_exact_quantiles(spark, small_domain, accuracy):
     }
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs]
     rows += [(4, None), (4, float("nan")), (None, 1.0), (9, None)]
-    df = spark.createDataFrame(rows, "k int, v double").repartition(5)
+    df = spark.createDataFrame(
+        [(*row, i) for i, row in enumerate(rows)], "k int, v double, r int").repartition(5)
     probs = [0.0, 0.01, 0.5, 0.9, 0.99, 1.0]
-    got = table(exact_quantiles(df, ["k"], "v", probs, small_domain, accuracy), "k", "prob")
+    got = table(exact_quantiles(df, ["k"], "v", probs, accuracy=accuracy, **way), "k", "prob")
     assert {k for k, _ in got} == set(groups)
     for k, values in groups.items():
         for p in probs:

@@ -94,8 +94,8 @@ def test_fact(fact, history):
 
 def test_medians(spark):
     grown = spark.createDataFrame(
-        [(1, "D1", "N", a) for a in (10.0, 20.0, 30.0)] + [(1, None, "N", 99.0), (1, "D2", "M", 0.0)],
-        "crop_id int, dept_code string, dept_name string, area double")
+        [(int(a), 1, "D1", "N", a) for a in (10.0, 20.0, 30.0)] + [(1, 1, None, "N", 99.0), (2, 1, "D2", "M", 0.0)],
+        "cell_id long, crop_id int, dept_code string, dept_name string, area double")
     assert [tuple(r) for r in median_area_by_dept(grown).collect()] == [(1, "D1", "N", 3, 20.0)]
 
 
