@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import logging
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -81,6 +81,33 @@ def checked_partitions(fact: DataFrame, settings: Settings, crops) -> tuple[dict
     return {k: n for k, n in counts.items() if k not in errors}, errors
 
 
+def build_fact(tables, settings: Settings, history, models, medians) -> tuple:
+    """Staged fact rows of all partitions and the errors of those that cannot be built.
+
+    One plan builds everything. Only if that fails are the partitions built one by one, to
+    tell the sound ones from the others.
+    """
+    def build(part: Settings) -> DataFrame:
+        used = [m for m in models if m.crop_id in part.crops]
+        return stage(
+            projection_fact(tables, part, history, predict_by_crop(used), medians), "fact"
+        )
+
+    try:
+        return build(settings), {}
+    except Exception:  # noqa: BLE001
+        log.exception("the joint build failed, building partition by partition")
+    built, errors = [], {}
+    for crop in settings.crops:
+        for horizon in settings.horizons:
+            try:
+                built.append(build(settings.narrowed([crop], [horizon])))
+            except Exception as error:  # noqa: BLE001
+                log.exception("crop %s, horizon %s: build failed", crop, horizon)
+                errors[(crop, horizon)] = str(error)
+    return (reduce(DataFrame.unionByName, built) if built else None), errors
+
+
 def run_projection(
     spark: SparkSession, tables, fact_path: str | None, settings: Settings | None = None,
     crops=None, horizons=None, dry_run: bool = False, raise_on_failure: bool = True,
@@ -101,12 +128,13 @@ def run_projection(
     results = [(c, None, 0, e) for c, e in failed.items()]
     if models:
         trained = settings.narrowed(crops=[m.crop_id for m in models])
-        fact = stage(
-            projection_fact(tables, trained, history, predict_by_crop(models), medians), "fact"
-        )
-        sound, errors = checked_partitions(fact, trained, trained.crops)
-        for row in partition_summary(fact).collect():
-            log.info("%s", row.asDict())
+        fact, unbuilt = build_fact(tables, trained, history, models, medians)
+        sound, errors = {}, {}
+        if fact is not None:
+            sound, errors = checked_partitions(fact, trained, trained.crops)
+            for row in partition_summary(fact).collect():
+                log.info("%s", row.asDict())
+        errors |= unbuilt
         results += [(c, h, 0, e) for (c, h), e in errors.items()]
         results += [(c, h, n, None) for (c, h), n in sound.items()]
         if sound and not dry_run:

@@ -61,6 +61,26 @@ def test_run_projection(spark, long_tables, run, tmp_path):
         run_projection(spark, lacking, path, run)
 
 
+def test_failures_stay_in_their_partition(spark, long_tables, run, history, fact, monkeypatch):
+    """A build that breaks for one partition; a check that finds one of the others unsound."""
+    from fieldcast.plans import job
+
+    def broken(tables, part, *rest):
+        if (1, 2084) in [(c, h) for c in part.crops for h in part.horizons]:
+            raise ArithmeticError("bad horizon")
+        rows = fact.where(F.col("crop_id").isin(*part.crops) & F.col("horizon_year").isin(*part.horizons))
+        return rows.withColumn("fut_area", F.when(F.col("crop_id") == 2, -1.0).otherwise(F.col("fut_area")))
+
+    monkeypatch.setattr(job, "projection_fact", broken)
+    monkeypatch.setattr(job, "predict_by_crop", lambda models: None)
+    models = [job.YieldModel(c, {}, None) for c in run.crops]
+    built, errors = job.build_fact(None, run, history, models, None)
+    assert errors == {(1, 2084): "bad horizon"}
+    sound, unsound = job.checked_partitions(built, run, run.crops)
+    assert sound == {(1, 2054): 5}
+    assert unsound == {(1, 2084): "no rows", (2, 2054): "negative_fut_area: 2", (2, 2084): "negative_fut_area: 2"}
+
+
 def test_partition_overwrite(spark, fact, tmp_path):
     path = str(tmp_path / "fact")
     counts = {tuple(r) for r in replace_partitions(fact, path).collect()}
