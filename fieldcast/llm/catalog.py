@@ -5,14 +5,17 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession
 
-from fieldcast.llm import bpe, packing, simhash
+from fieldcast.llm import bpe, classifier, licences, packing, rules, simhash
+from fieldcast.llm.sql import SQL
 from fieldcast.llm.common import ship_package
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
+__all__ = ["REGISTRY", "SQL"]
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
 
@@ -29,11 +32,21 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op3_rules(spark, folder):
+    return rules.judged(table(spark, folder, "documents"))
+
+
 @query
 def op4_bpe(spark, folder):
     return bpe.coded_digests(table(spark, folder, "documents"), BYTE_VOCABULARY)
 
 
+@query
+def op6_quality(spark, folder):
+    return classifier.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 @query
 def op7_simhash(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
@@ -44,4 +57,6 @@ def op8_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
-SQL: dict[str, str] = {}
+@query
+def op10_licences(spark, folder):
+    return licences.scan(table(spark, folder, "documents"))
