@@ -5,11 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldcast.llm import bpe, classifier, licences, packing, rules, simhash
+from fieldcast.llm import bpe, classifier, licences, packing, pivots, rules, simhash, warc
 from fieldcast.llm.sql import SQL
-from fieldcast.llm.common import ship_package
+from fieldcast.llm.common import shared_path, ship_package
 
 BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
@@ -32,6 +32,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op2_topk(spark, folder):
+    return pivots.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 @query
 def op3_rules(spark, folder):
     return rules.judged(table(spark, folder, "documents"))
@@ -42,6 +47,11 @@ def op4_bpe(spark, folder):
     return bpe.coded_digests(table(spark, folder, "documents"), BYTE_VOCABULARY)
 
 
+@query
+def op5_warc(spark, folder):
+    return warc.archived(table(spark, folder, "pages"), shared_path(spark, "warc"))
+
+
 @query
 def op6_quality(spark, folder):
     return classifier.quality(table(spark, folder, "documents"), table(spark, folder, "labels"))

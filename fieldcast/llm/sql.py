@@ -105,4 +105,29 @@ SELECT doc_id, best.licence AS licence, coalesce(-best.worse, 0.0) AS dice,
 FROM d LEFT JOIN g USING (rid)"""
 
 
-SQL = {"op3_rules": rules_sql(), "op10_licences": licences_sql()}
+TOP_K = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT q.vec_id AS query_id, c.vec_id AS vec_id, CAST(list_inner_product(q.v, c.v) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id, score FROM s QUALIFY rank <= 5"""
+
+ARCHIVES = """
+WITH p AS (SELECT page_id, url, coalesce(html, '') AS t, sha1(coalesce(html, '')) AS h FROM pages),
+r AS (
+  SELECT *, row_number() OVER w AS nth, first_value(page_id) OVER w AS first_page
+  FROM p WINDOW w AS (PARTITION BY t ORDER BY page_id NULLS LAST, url NULLS LAST))
+SELECT page_id, octet_length(encode(t)) AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + ((CAST('0x' || substr(h, 1 + 5 * (j // 4), 5) AS INTEGER) >> CAST(15 - 5 * (j % 4) AS INTEGER)) & 31), 1)),
+    '') AS payload_digest,
+  CASE WHEN nth = 1 THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN nth > 1 THEN first_page END AS refers_to
+FROM r"""
+
+
+SQL = {"op2_topk": TOP_K, "op5_warc": ARCHIVES, "op3_rules": rules_sql(), "op10_licences": licences_sql()}
