@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldcast.llm import bpe, classifier, licences, packing, pivots, rules, simhash, warc
+from fieldcast.llm import bpe, classifier, extract, licences, packing, pii, pivots, rules, simhash, warc
 from fieldcast.llm.sql import SQL
 from fieldcast.llm.common import shared_path, ship_package
 
@@ -32,6 +32,11 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query
+def op1_pii(spark, folder):
+    return pii.personal_data(table(spark, folder, "documents"))
+
+
 @query
 def op2_topk(spark, folder):
     return pivots.top_k(table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
@@ -67,6 +72,11 @@ def op8_packing(spark, folder):
     return packing.pack(table(spark, folder, "documents"), WORD_VOCABULARY)
 
 
+@query
+def op9_extract(spark, folder):
+    return extract.extracted(table(spark, folder, "pages"))
+
+
 @query
 def op10_licences(spark, folder):
     return licences.scan(table(spark, folder, "documents"))
