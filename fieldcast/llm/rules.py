@@ -122,16 +122,17 @@ def references(measures: DataFrame, lang: str = "lang") -> dict[str, tuple[list[
     return out
 
 
-def js_distance(counts: list[Column], shares: Iterable[float]) -> Column:
-    """Jensen-Shannon distance between a histogram of counts and a reference's shares."""
-    total = F.greatest(reduce(lambda a, b: a + b, counts), F.lit(1))
-    terms = []
-    for count, q in zip(counts, shares):
-        p = count / total
-        m = (p + F.lit(q)) / 2
-        terms.append(F.when(p > 0, p * F.log2(p / m)).otherwise(0.0)
-                     + (F.lit(q) * F.log2(F.lit(q) / m) if q > 0 else F.lit(0.0)))
-    return F.sqrt(F.greatest(reduce(lambda a, b: a + b, terms) / 2, F.lit(0.0)))
+def js_distance(counts: Column, shares: Iterable[float]) -> Column:
+    """Jensen-Shannon distance between an array of counts and a reference's shares."""
+    total = F.greatest(F.aggregate(counts, F.lit(0).cast("long"), lambda a, c: a + c), F.lit(1))
+
+    def term(p: Column, q: Column) -> Column:
+        m = (p + q) / 2
+        return F.when(p > 0, p * F.log2(p / m)).otherwise(0.0) + F.when(q > 0, q * F.log2(q / m)).otherwise(0.0)
+
+    terms = F.zip_with(
+        F.transform(counts, lambda c: c / total), F.array(*[F.lit(float(q)) for q in shares]), term)
+    return F.sqrt(F.greatest(F.aggregate(terms, F.lit(0.0), lambda a, t: a + t) / 2, F.lit(0.0)))
 
 
 def base_failed(m: str = "_m") -> Column:
@@ -147,16 +148,15 @@ def kept(refs: dict[str, tuple[list[float], list[float]]], m: str = "_m") -> Col
     if not refs:
         return ~base_failed(m)
     at = {w: i for i, w in enumerate(vocabulary())}
-    n, chars = F.col(f"{m}.n_words"), reduce(
-        lambda a, b: a + b, [F.col(f"{m}.classes")[i] for i in range(len(CLASSES))])
+    n, classes_of = F.col(f"{m}.n_words"), F.col(f"{m}.classes")
+    chars = F.aggregate(classes_of, F.lit(0).cast("long"), lambda a, c: a + c)
     near = []
     for lang, (classes, words) in refs.items():
         own = [F.col(f"{m}.common")[at[w]] for w in COMMON_WORDS[lang]]
         own.append(n - reduce(lambda a, b: a + b, own))
         near.append(
-            ((chars < MIN_CHARS) | (js_distance(
-                [F.col(f"{m}.classes")[i] for i in range(len(CLASSES))], classes) <= CLASS_LIMIT))
-            & ((n < MIN_COMMON) | (js_distance(own, words) <= WORD_LIMIT)))
+            ((chars < MIN_CHARS) | (js_distance(classes_of, classes) <= CLASS_LIMIT))
+            & ((n < MIN_COMMON) | (js_distance(F.array(*own), words) <= WORD_LIMIT)))
     return ~base_failed(m) & reduce(lambda a, b: a | b, near)
 
 
@@ -175,4 +175,7 @@ def judged(docs: DataFrame) -> DataFrame:
 def keep_sound(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that the rules keep, with their columns unchanged."""
     refs = references(measured(docs.select("text", "lang")))
-    return measured(docs).where(kept(refs)).select(*docs.columns)
+    # The generator keeps the filter above the projections: pushed below, it would repeat their
+    # expressions once for every use.
+    held = measured(docs).select(*docs.columns, F.explode(F.array("_m")).alias("_m"))
+    return held.where(kept(refs)).select(*docs.columns)
