@@ -54,6 +54,23 @@ def compressed_bytes(payload: Column) -> Column:
     return run(payload)
 
 
+def packed(payload: Column) -> Column:
+    """Payloads travel through shuffles compressed."""
+    @F.pandas_udf("binary")
+    def run(payloads: pd.Series) -> pd.Series:
+        return pd.Series([zlib.compress(p.encode(), 6) for p in payloads], dtype=object)
+
+    return run(payload)
+
+
+def unpacked(body: Column) -> Column:
+    @F.pandas_udf("string")
+    def run(bodies: pd.Series) -> pd.Series:
+        return pd.Series([None if b is None else zlib.decompress(b).decode() for b in bodies], dtype=object)
+
+    return run(body)
+
+
 def page_order(prefix: str = "") -> list[Column]:
     return [F.col(f"{prefix}page_id").asc_nulls_last(), F.col(f"{prefix}url").asc_nulls_last()]
 
@@ -161,15 +178,18 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL, least_bytes:
         "id": F.when(small | ~F.col("first"), unique).otherwise(of_payload), "first_id": of_payload}
     keys = ["page_id", "url", "digest"]
     responses = plan.where("first")
-    bodies = rows.withColumn("digest", base32_sha1(F.col("payload")))
+    bodies = rows.select(
+        "page_id", "url", base32_sha1(F.col("payload")).alias("digest"), packed(F.col("payload")).alias("body"))
     same = [bodies[k].eqNullSafe(responses[k]) for k in keys]
-    filled = bodies.join(responses, same).select(*[responses[c] for c in plan.columns], bodies["payload"])
-    texts = filled.select("shard", "position", record(columns, F.col("payload")).alias("value")).unionByName(
-        plan.where("not first").select("shard", "position", record(columns, None).alias("value")))
+    filled = bodies.join(responses, same).select(*[responses[c] for c in plan.columns], bodies["body"])
+    placed = filled.unionByName(plan.where("not first").withColumn("body", F.lit(None).cast("binary")))
     once = F.expr("row_number() over (partition by shard, position order by 1)")  # equal rows met equal rows
+    whole = placed.repartition("shard").withColumn("nth", once).where("nth = 1").withColumn(
+        "payload", unpacked(F.col("body")))
+    text = F.when(F.col("first"), record(columns, F.col("payload"))).otherwise(record(columns, None))
     temporary = f"{folder}/_temporary-{uuid.uuid4().hex}"
-    texts.repartition("shard").withColumn("nth", once).where("nth = 1").sortWithinPartitions("shard", "position").select(
-        "shard", "value").write.partitionBy("shard").option("lineSep", END).option("compression", "gzip").text(temporary)
+    whole.sortWithinPartitions("shard", "position").select("shard", text.alias("value")).write.partitionBy(
+        "shard").option("lineSep", END).option("compression", "gzip").text(temporary)
     counts = {r["shard"]: r["n"] for r in plan.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # one a file
     manifest = []
     for shard, n in sorted(counts.items()):
