@@ -54,13 +54,13 @@ def query(fn):
 
 def tidy(df: DataFrame, digits: int = 5, **special: int) -> DataFrame:
     """Round the doubles of a result, so that the order of summation does not show. The
-    extra 0.001 keeps ties clear of that noise too."""
+    extra 0.001 keeps ties clear of that noise too. Large values and NaN stay what they are."""
     out = []
     for f in df.schema.fields:
         col = F.col(f.name)
         if isinstance(f.dataType, T.DoubleType):
             scale = F.lit(float(10 ** special.get(f.name, digits)))
-            col = F.floor(col * scale + F.lit(0.501)).cast("double") / scale + F.lit(0.0)
+            col = F.rint(col * scale + F.lit(0.001)) / scale + F.lit(0.0)
         out.append(col.alias(f.name))
     return df.select(*out)
 
@@ -162,7 +162,7 @@ def thermal_months(spark, folder):
 @query
 def worst_month(spark, folder):
     return tidy(H.worst_month(_exposure(tables(spark, folder), deltas=(2.5,))).select(
-        "crop_id", "cell_id", "scenario", "delta", "month", "month_name", "temp",
+        "crop_id", "cell_id", "horizon_year", "scenario", "delta", "month", "month_name", "temp",
         "thermal_class", "severity", "area",
     ))
 
@@ -225,9 +225,12 @@ def missing_horizon_status(spark, folder):
 
 @query
 def cells_without_soil(spark, folder):
-    """Cells that a soil table covering one region only would drop."""
+    """Located cells without a soil: customers are cells too here, soils know suppliers only."""
     t = tables(spark, folder)
-    return S.cells_without_soil(replace(t, soils=t.soils.where(F.col("region_name") == "ASIA")))
+    more = spark.read.parquet(f"{folder}/customer.parquet").select(
+        F.col("c_custkey").alias("cell_id"), F.lit(0.0).alias("lat"), F.lit(0.0).alias("lon"))
+    cells = t.coordinates.join(more, "cell_id", "left_anti").unionByName(more)
+    return S.cells_without_soil(replace(t, coordinates=cells))
 
 
 # --- scores --------------------------------------------------------------------------------
@@ -382,7 +385,8 @@ def marker_size(spark, folder):
 
 @query
 def cell_label(spark, folder):
-    return tidy(fact(spark, folder), 6).select(*KEY, M.cell_label().alias("cell_label"))
+    shown = M.projection_extract(fact(spark, folder), tables(spark, folder).constraints, SETTINGS)
+    return tidy(shown, 6).select(*KEY, M.cell_label().alias("cell_label"))
 
 
 @query
@@ -524,7 +528,7 @@ def regridded_footprint(spark, folder):
 @query
 def crop_coverage_anti(spark, folder):
     grown = tables(spark, folder).plots.select("crop_id").distinct()
-    return missing_crops(grown, range(1, 7))
+    return missing_crops(grown, range(1, 10))
 
 
 @query

@@ -10,13 +10,15 @@ SALTS = 16
 def closed_domain(df: DataFrame, key: str, values) -> DataFrame:
     """One row per value of a closed list at most: the proof a broadcast needs.
 
-    Rows outside the list go; of several rows for one value the smallest stays.
+    Rows outside the list go; several rows for one value are an error.
     """
     rest = [c for c in df.columns if c != key]
+    repeated = F.raise_error(F.concat(F.lit(f"repeated {key}: "), F.col(key).cast("string")))
     return (
         df.where(F.col(key).isin(*values))
         .groupBy(key)
-        .agg(F.min(F.struct(*rest)).alias("_row"))
+        .agg(F.min(F.struct(*rest)).alias("_row"), F.count("*").alias("_n"))
+        .withColumn("_row", F.when(F.col("_n") == 1, F.col("_row")).otherwise(repeated))
         .select(key, *[F.col(f"_row.{c}").alias(c) for c in rest])
     )
 

@@ -18,17 +18,17 @@ MAX_DELTA = 20.0
 DELTA_STEP = 0.5
 
 
-def thermal_months(tables, settings: Settings, horizon: int | None = None) -> DataFrame:
-    """Grown cells with their base and future temperature, one row per season month.
+def thermal_months(tables, settings: Settings, horizons=None) -> DataFrame:
+    """Grown cells with their base and future temperature, one row per horizon and month.
 
-    Base and future climate share one grouping by (cell, month); a month shows where the
-    future has it, with the base temperature where there is one.
+    Base and all future years share one grouping by (cell, month); a month shows for each
+    horizon that has it, with the base temperature where there is one.
     """
-    year = settings.horizons[0] if horizon is None else horizon
+    years = list(settings.horizons if horizons is None else horizons)
     base = season_rows(tables.climate_past, [settings.base_year])
-    future = season_rows(tables.climate_future, [year])
-    tagged = base.select("cell_id", "month", "temp", F.lit(False).alias("ahead")).unionByName(
-        future.select("cell_id", "month", "temp", F.lit(True).alias("ahead"))
+    future = season_rows(tables.climate_future, years)
+    tagged = base.select("cell_id", "month", "temp", F.lit(None).cast("int").alias("ahead")).unionByName(
+        future.select("cell_id", "month", "temp", F.col("year").cast("int").alias("ahead"))
     )
     months = (
         tagged.groupBy(
@@ -36,12 +36,19 @@ def thermal_months(tables, settings: Settings, horizon: int | None = None) -> Da
             F.col("month").cast("int").alias("month"),
         )
         .agg(
-            F.avg(F.when(~F.col("ahead"), F.col("temp"))).alias("base_temp"),
-            F.avg(F.when(F.col("ahead"), F.col("temp"))).alias("fut_temp"),
-            F.count_if("ahead").alias("_ahead"),
+            F.avg(F.when(F.col("ahead").isNull(), F.col("temp"))).alias("base_temp"),
+            F.array(*[
+                F.struct(
+                    F.lit(y).alias("horizon_year"),
+                    F.avg(F.when(F.col("ahead") == y, F.col("temp"))).alias("fut_temp"),
+                    F.count_if(F.col("ahead") == y).alias("n"),
+                )
+                for y in years
+            ]).alias("_years"),
         )
-        .where("_ahead > 0")
-        .drop("_ahead")
+        .select("cell_id", "month", "base_temp", F.inline("_years"))
+        .where("n > 0")
+        .drop("n")
     )
     grown = plot_footprint(tables.plots, positive_only=False).where(
         F.col("crop_id").isin(*settings.crops)
@@ -50,7 +57,7 @@ def thermal_months(tables, settings: Settings, horizon: int | None = None) -> Da
         grown.join(tables.coordinates, "cell_id")
         .join(months, "cell_id")
         .select(
-            "crop_id", "cell_id", "lat", "lon", "month",
+            "crop_id", "cell_id", "horizon_year", "lat", "lon", "month",
             "base_temp", "fut_temp", "plot_count", "area",
         )
     )
@@ -79,7 +86,7 @@ def thermal_exposure(
     """Classed temperature per crop, cell, month and scenario.
 
     ``observed`` is the base year, ``projected`` the horizon, ``warming`` the horizon plus
-    each of ``deltas``.
+    each of ``deltas``. The horizon is a key of all of them.
     """
     options = []
     for scenario in scenarios:
@@ -111,7 +118,8 @@ def thermal_exposure(
             for s, d, t in options
         ])))
         .select(
-            "crop_id", "cell_id", "lat", "lon", "month", "plot_count", "area", "threshold",
+            "crop_id", "cell_id", "horizon_year", "lat", "lon", "month", "plot_count", "area",
+            "threshold",
             "_s.scenario", "_s.delta", "_s.temp",
         )
         .withColumn("thermal_class", thermal_class(F.col("temp"), F.col("threshold")))
@@ -126,25 +134,26 @@ def worst_month(exposure: DataFrame) -> DataFrame:
     """The worst month of each cell: highest class, then hottest, then earliest."""
     return keep_largest(
         exposure,
-        ["crop_id", "cell_id", "scenario", "delta"],
+        ["crop_id", "cell_id", "horizon_year", "scenario", "delta"],
         [F.col("severity"), F.col("temp"), -F.col("month")],
     )
 
 
 def thermal_area_share(worst: DataFrame) -> DataFrame:
-    """Area and share of each class per crop and scenario; absent classes show 0."""
+    """Area and share of each class per crop, horizon and scenario; absent classes show 0."""
     area = {
         c: F.coalesce(F.sum(F.when(F.col("thermal_class") == c, F.col("area"))), F.lit(0.0))
         for c in SEVERITY
     }
-    wide = worst.groupBy("crop_id", "scenario", "delta").agg(
+    keys = ["crop_id", "horizon_year", "scenario", "delta"]
+    wide = worst.groupBy(*keys).agg(
         F.coalesce(F.sum("area"), F.lit(0.0)).alias("total_area"),
         *[a.alias(c) for c, a in area.items()],
     )
     share = F.col("area") / F.nullif(F.col("total_area"), F.lit(0.0)) * 100.0
     return (
         wide.unpivot(
-            ["crop_id", "scenario", "delta", "total_area"], list(SEVERITY), "thermal_class", "area"
+            [*keys, "total_area"], list(SEVERITY), "thermal_class", "area"
         )
         .withColumn("share_pct", F.coalesce(share, F.lit(0.0)))
     )

@@ -34,6 +34,11 @@ def check_constraints(tables, settings: Settings) -> None:
     missing = sorted(r[0] for r in missing_crops(tables.constraints, settings.crops).collect())
     if missing:
         raise ValueError(f"crops without constraints: {missing}")
+    crop = F.col("crop_id").cast("int").alias("crop_id")
+    twice = tables.constraints.select(crop).where(F.col("crop_id").isin(*settings.crops))
+    repeated = sorted(r[0] for r in twice.groupBy("crop_id").count().where("count > 1").collect())
+    if repeated:
+        raise ValueError(f"crops with several rows of constraints: {repeated}")
 
 
 def train_models(history, settings: Settings):

@@ -42,10 +42,6 @@ CLIMATE_PAST = _schema(
 )
 PLOTS = _schema("plot_id string, cell_id long, crop_id long, area_ha double")
 YIELDS = _schema("cell_id long, crop_id long, year int, yield_q_ha double, area_ha double")
-DEPARTMENT_YIELDS = _schema(
-    "dept_code string, dept_name string, crop_id long, year long, yield_q_ha double, "
-    "area_ha double, production_q double, quality long, has_history boolean"
-)
 
 INPUT_SCHEMAS = {
     "constraints": CONSTRAINTS,
@@ -78,21 +74,7 @@ FACT = _schema(
 FACT_KEY = ("cell_id", "crop_id", "horizon_year")
 FACT_PARTITIONS = ("crop_id", "horizon_year")
 
-# Soil family letters and texture codes of the soil map.
-SOIL_FAMILIES = {
-    "B": "Cambisols",
-    "E": "Rendzinas and calcareous leptosols",
-    "L": "Luvisols",
-    "J": "Fluvisols",
-    "I": "Lithosols",
-    "R": "Regosols",
-    "P": "Podzols",
-    "D": "Podzols",
-    "Q": "Arenosols",
-    "U": "Rankers",
-    "Z": "Solonchaks",
-    "H": "Histosols",
-}
+# Texture codes of the soil map.
 SOIL_TEXTURES = {
     1: "Sandy",
     2: "Loamy",

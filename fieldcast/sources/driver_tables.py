@@ -18,7 +18,6 @@ SETTINGS = Settings(
     history_years=(1995, 2001),
     last_training_year=1999,
 )
-FIRST_PLOT_DAY, LAST_PLOT_DAY = "1996-01-01", "1996-02-01"
 
 # Crop, name, optimum and absolute temperature, season bounds of temperature,
 # rain and sun, preferred soil families.
@@ -37,8 +36,19 @@ def _crop(flag) -> "F.Column":
     return F.when(flag == "A", 1).when(flag == "N", 2).when(flag == "R", 3)
 
 
-def climate(spark: SparkSession, folder: str, line_status: str) -> DataFrame:
+def _grown_crop(flag, cell) -> "F.Column":
+    """Crops 1 to 7, of which a cell grows three; 4 to 7 are outside the run."""
+    return ((cell + 2 * _crop(flag)) % 7 + 1).cast("int")
+
+
+def climate(
+    spark: SparkSession, folder: str, line_status: str, years: tuple[int, int] | None = None,
+) -> DataFrame:
+    """``years`` (first, last) is pushed to the scan as a range of dates."""
     lines = _read(spark, folder, "lineitem").where(F.col("l_linestatus") == line_status)
+    if years:
+        first, after = (F.lit(f"{y}-01-01").cast("timestamp_ntz") for y in (years[0], years[1] + 1))
+        lines = lines.where((F.col("l_shipdate") >= first) & (F.col("l_shipdate") < after))
     return lines.select(
         F.col("l_suppkey").alias("cell_id"),
         F.col("l_shipdate").alias("date"),
@@ -77,20 +87,12 @@ def soils(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def plots(spark: SparkSession, folder: str) -> DataFrame:
-    """Plots registered in the census month."""
-    return (
-        _read(spark, folder, "lineitem")
-        .where(
-            (F.col("l_linestatus") == "F")
-            & (F.col("l_shipdate") >= F.lit(FIRST_PLOT_DAY).cast("timestamp_ntz"))
-            & (F.col("l_shipdate") < F.lit(LAST_PLOT_DAY).cast("timestamp_ntz"))
-        )
-        .select(
-            F.col("l_orderkey").cast("string").alias("plot_id"),
-            F.col("l_suppkey").alias("cell_id"),
-            _crop(F.col("l_returnflag")).alias("crop_id"),
-            F.col("l_quantity").alias("area_ha"),
-        )
+    """Every order line is (part of) a plot."""
+    return _read(spark, folder, "lineitem").select(
+        F.col("l_orderkey").cast("string").alias("plot_id"),
+        F.col("l_suppkey").alias("cell_id"),
+        _grown_crop(F.col("l_returnflag"), F.col("l_suppkey")).alias("crop_id"),
+        F.col("l_quantity").alias("area_ha"),
     )
 
 
@@ -117,8 +119,9 @@ def load(spark: SparkSession, folder: str) -> Tables:
         constraints=spark.createDataFrame(CONSTRAINT_ROWS, CONSTRAINTS),
         coordinates=coordinates(spark, folder),
         soils=soils(spark, folder),
-        climate_past=climate(spark, folder, "F"),
-        climate_future=climate(spark, folder, "O"),
+        climate_past=climate(spark, folder, "F", SETTINGS.history_years),
+        climate_future=climate(
+            spark, folder, "O", (min(SETTINGS.horizons), max(SETTINGS.horizons))),
         plots=plots(spark, folder),
         yields=yields(spark, folder),
     )

@@ -74,7 +74,9 @@ def test_joins_with_a_hot_key(spark):
     assert got.columns == ["k", "id", "t"]
     assert spread_join(big, small, ["k"], ["id"], how="inner").count() == 1002
     twice = spark.createDataFrame([(1, "b"), (1, "a"), (2, "c"), (3, "d")], "k int, t string")
-    assert {tuple(r) for r in closed_domain(twice, "k", (1, 2)).collect()} == {(1, "a"), (2, "c")}
+    assert {tuple(r) for r in closed_domain(twice, "k", (2, 3)).collect()} == {(2, "c"), (3, "d")}
+    with pytest.raises(Exception, match="repeated k: 1"):
+        closed_domain(twice, "k", (1, 2)).collect()
 
 
 @pytest.mark.parametrize("accuracy", [10_000, 20])
@@ -117,7 +119,8 @@ def test_stage_reads_the_shared_folder(spark):
 
 
 def test_thermal(spark, tables, run):
-    months = thermal_months(tables, run, 2054)
+    assert {r[0] for r in thermal_months(tables, run).select("horizon_year").distinct().collect()} == {2054, 2084}
+    months = thermal_months(tables, run, [2054])
     rows = table(months, "crop_id", "cell_id", "month")
     assert (1, 4, 4) not in rows  # no future climate
     assert rows[1, 6, 4]["base_temp"] is None and rows[1, 6, 4]["fut_temp"] == 15.0

@@ -155,8 +155,8 @@ def test_map_queries(fact, tables, run, small_fact):
     assert flags == 0
     sizes = table(M.marker_size(fact, run), "cell_id", "crop_id", "horizon_year")
     assert sizes[3, 1, 2054]["marker_size"] == 11.0 and sizes[5, 1, 2054]["marker_size"] == 2.0
-    label = fact.where("cell_id = 2 AND crop_id = 1").select(M.cell_label()).first()[0]
-    assert label.startswith("Grown cell lost; base area: 20 ha; failed criteria: temperature; soil: ")
+    label = extract.where("cell_id = 2 AND crop_id = 1").select(M.cell_label()).first()[0]
+    assert label.startswith("lost on 20 ha | temperature ") and "]: no | rain " in label
     metrics = M.status_metrics(small_fact.where("status = 'new'")).first()
     assert metrics["base_area"] == 0.0 and metrics["lost_area"] == 0.0 and metrics["net_change_pct"] is None
     assert table(M.best_crop(fact), "cell_id", "horizon_year")[5, 2054]["crop_id"] in (1, 2)
