@@ -29,8 +29,8 @@ BYTE_PATTERN = (
 )
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
-BATCH_CHARS = 3_000_000   # characters encoded at a time: bounds the memory of a task
-CACHE_CHUNKS = 400_000    # chunks of a generation; a worker remembers two
+BATCH_CHARS = 2_000_000   # characters encoded at a time: bounds the memory of a task
+CACHE_CHUNKS = 150_000    # chunks of a generation; a worker remembers two
 CACHED_LENGTH = 48        # longer chunks are not remembered
 LONG_FRAGMENT = 512       # longer fragments use the heap
 NONE = np.iinfo(np.int32).max

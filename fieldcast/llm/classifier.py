@@ -28,8 +28,8 @@ BATCH = 16
 SAMPLE = 1500          # labelled documents of each class at most, the smallest by a hash of the id
 FOLDS = 5              # rows of fold 0 are held out
 THRESHOLD = 0.3
-SLICE_CHARS = 3_000_000
-KNOWN = 300_000        # words of a generation that a worker remembers
+SLICE_CHARS = 2_000_000
+KNOWN = 120_000        # a worker forgets all words once it knows twice as many
 REPEAT = 0             # bucket of the mark for a repeated word
 
 
