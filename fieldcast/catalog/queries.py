@@ -6,7 +6,6 @@ the first of them, as users of the stored table would.
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -21,7 +20,7 @@ from fieldcast.operators import areas as A
 from fieldcast.operators.dedupe import keep_first
 from fieldcast.operators.mesh import assign_cell
 from fieldcast.operators.quantiles import exact_quantiles
-from fieldcast.operators.staging import stage, staging_root
+from fieldcast.operators.staging import stage, staged_path
 from fieldcast.plans import department_models as D
 from fieldcast.plans import marts as M
 from fieldcast.plans import quality as Q
@@ -354,7 +353,7 @@ def projection_fact_table(spark, folder):
 def partition_overwrite(spark, folder):
     """Store the fact, replace one partition by changed rows, read all back."""
     rows = fact(spark, folder)
-    path = f"{staging_root(spark)}/fieldcast/store-{uuid.uuid4().hex}"
+    path = staged_path(spark, "store")
     replace_partitions(rows, path)
     changed = rows.where(
         (F.col("crop_id") == SETTINGS.crops[0]) & (F.col("horizon_year") == SETTINGS.horizons[0])
@@ -504,7 +503,7 @@ def _located_customers(spark, folder):
         (F.lit(-5.5) + (key % 1530) / F.lit(100.0)).alias("lon"),
         "c_mktsegment", "c_acctbal",
     )
-    return assign_cell(points, driver_tables.coordinates(spark, folder), 0.75)
+    return assign_cell(points, driver_tables.coordinates(spark, folder), 60.0)
 
 
 @query
@@ -611,4 +610,4 @@ def model_comparison(spark, folder):
 
 @query
 def unknown_department(spark, folder):
-    return D.unknown_departments(stage(_dept_yields(spark, folder), "dept-yields"), 0, SETTINGS)
+    return D.unknown_departments(stage(_dept_yields(spark, folder), "dept-yields"), settings=SETTINGS)

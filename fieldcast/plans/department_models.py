@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.ml import Pipeline
 from pyspark.ml.regression import GBTRegressor, LinearRegression
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
+from fieldcast.operators.together import run_together
 from fieldcast.plans.model import errors, fill_values, filled, fit, forest, preparation
 from fieldcast.plans.yields import FEATURES
 from fieldcast.settings import Settings
@@ -107,20 +110,25 @@ def dept_fold(code) -> "F.Column":
     return F.pmod(F.xxhash64(code), F.lit(FOLDS)).cast("int")
 
 
-def unknown_departments(rows: DataFrame, fold: int = 0, settings: Settings | None = None) -> DataFrame:
-    """Errors on departments the model has never seen: one fold of them is left out."""
+def unknown_departments(rows: DataFrame, folds=range(FOLDS), settings: Settings | None = None) -> DataFrame:
+    """Errors on departments the model has never seen: each fold of them is left out in turn.
+
+    ``rows`` should be a staged table: the fits of all crops and folds run side by side on it.
+    """
     settings = settings or Settings()
-    unseen = dept_fold(F.col("dept_code")) == fold
-    found = []
-    for crop in settings.crops:
-        here = rows.where(F.col("crop_id") == crop).persist()
-        try:
-            train, test = here.where(~unseen), here.where(unseen)
-            if train.isEmpty() or test.isEmpty():
-                continue
-            fills, model = fit(train, regressors()["ridge"])
-            score = errors(model.transform(filled(test, fills)))
-            found.append((crop, fold, score["mae"], score["r2"]))
-        finally:
-            here.unpersist()
-    return rows.sparkSession.createDataFrame(found, "crop_id int, fold int, mae double, r2 double")
+
+    def left_out(crop: int, fold: int):
+        here = rows.where(F.col("crop_id") == crop)
+        unseen = dept_fold(F.col("dept_code")) == fold
+        train, test = here.where(~unseen), here.where(unseen)
+        n_rows = test.count()
+        if train.isEmpty() or not n_rows:
+            return []
+        fills, model = fit(train, regressors()["ridge"])
+        score = errors(model.transform(filled(test, fills)))
+        return [(crop, fold, n_rows, score["mae"], score["r2"])]
+
+    found = run_together(
+        rows.sparkSession, *[partial(left_out, c, f) for c in settings.crops for f in folds], most=4)
+    return rows.sparkSession.createDataFrame(
+        [r for part in found for r in part], "crop_id int, fold int, n_rows long, mae double, r2 double")

@@ -7,7 +7,7 @@ from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldcast.operators.staging import stage
+from fieldcast.operators.staging import stage, staging_run
 from fieldcast.operators.together import run_together
 from fieldcast.plans.fact import median_areas, projection_fact
 from fieldcast.plans.model import YieldModel, predict_by_crop, train_yield_model, usable_rows
@@ -19,6 +19,8 @@ from fieldcast.sources.tables import missing_crops
 
 log = logging.getLogger("fieldcast")
 
+#: Failures of the cluster, which no narrower build could avoid.
+NOT_THE_DATA = ("ExecutorLostFailure", "No space left", "SparkContext was shut down", "cancelled", "FetchFailed")
 RESULT = "crop_id int, horizon_year int, n_rows long, error string"
 
 
@@ -100,7 +102,9 @@ def build_fact(tables, settings: Settings, history, models, medians) -> tuple:
 
     try:
         return build(settings), {}
-    except Exception:  # noqa: BLE001
+    except Exception as error:  # noqa: BLE001
+        if any(mark in str(error) for mark in NOT_THE_DATA):
+            raise  # smaller builds would meet the same cluster
         log.exception("the joint build failed, building partition by partition")
     built, errors = [], {}
     for crop in settings.crops:
@@ -122,31 +126,32 @@ def run_projection(
     All partitions come from one plan, computed once into a staged table, checked in one
     pass, and written in one go without the unsound ones, whose stored rows stay as they
     were. Returns ``(crop_id, horizon_year, n_rows, error)``. With ``dry_run`` nothing is
-    written.
+    written. Intermediate tables lie in one folder, which is removed at the end.
     """
     settings = (settings or Settings()).narrowed(crops, horizons)
     check_constraints(tables, settings)
-    history = yield_history(tables, settings)
-    (models, failed), medians = run_together(
-        spark, lambda: train_models(history, settings), lambda: median_areas(tables, settings)
-    )
-    results = [(c, None, 0, e) for c, e in failed.items()]
-    if models:
-        trained = settings.narrowed(crops=[m.crop_id for m in models])
-        fact, unbuilt = build_fact(tables, trained, history, models, medians)
-        sound, errors = {}, {}
-        if fact is not None:
-            sound, errors = checked_partitions(fact, trained, trained.crops)
-            for row in partition_summary(fact).collect():
-                log.info("%s", row.asDict())
-        errors |= unbuilt
-        results += [(c, h, 0, e) for (c, h), e in errors.items()]
-        results += [(c, h, n, None) for (c, h), n in sound.items()]
-        if sound and not dry_run:
-            good = F.lit(False)
-            for crop, horizon in sound:
-                good = good | ((F.col("crop_id") == crop) & (F.col("horizon_year") == horizon))
-            replace_partitions(fact.where(good), fact_path)
+    with staging_run(spark):
+        history = yield_history(tables, settings)
+        (models, failed), medians = run_together(
+            spark, lambda: train_models(history, settings), lambda: median_areas(tables, settings)
+        )
+        results = [(c, None, 0, e) for c, e in failed.items()]
+        if models:
+            trained = settings.narrowed(crops=[m.crop_id for m in models])
+            fact, unbuilt = build_fact(tables, trained, history, models, medians)
+            sound, errors = {}, {}
+            if fact is not None:
+                sound, errors = checked_partitions(fact, trained, trained.crops)
+                for row in partition_summary(fact).collect():
+                    log.info("%s", row.asDict())
+            errors |= unbuilt
+            results += [(c, h, 0, e) for (c, h), e in errors.items()]
+            results += [(c, h, n, None) for (c, h), n in sound.items()]
+            if sound and not dry_run:
+                good = F.lit(False)
+                for crop, horizon in sound:
+                    good = good | ((F.col("crop_id") == crop) & (F.col("horizon_year") == horizon))
+                replace_partitions(fact.where(good), fact_path)
     frame = spark.createDataFrame(results, RESULT).orderBy("crop_id", "horizon_year")
     broken = [r for r in results if r[3]]
     if broken and raise_on_failure:

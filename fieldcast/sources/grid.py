@@ -35,11 +35,28 @@ def bbox_filter(
 
 
 def select_period(df: DataFrame, years=None, months=None) -> DataFrame:
-    """Years and months of a gridded table; partition filters where it is laid out so."""
+    """Years and months of a gridded table.
+
+    The years become ranges of ``time``, which prune row groups and files; columns ``year`` and
+    ``month``, where the table is laid out by them, prune folders.
+    """
+    time = F.col("time")
     if years is not None:
-        df = df.where(F.year("time").isin(*years))
+        runs = []
+        for y in sorted(set(years)):
+            runs = [*runs[:-1], (runs[-1][0], y)] if runs and runs[-1][1] == y - 1 else [*runs, (y, y)]
+        kind = df.schema["time"].dataType.simpleString()
+        inside = F.lit(False)
+        for first, last in runs:
+            start, end = (F.lit(f"{y:04d}-01-01").cast(kind) for y in (first, last + 1))
+            inside = inside | ((time >= start) & (time < end))
+        df = df.where(inside if runs else F.lit(False))
+        if "year" in df.columns:
+            df = df.where(F.col("year").isin(*years))
     if months is not None:
-        df = df.where(F.month("time").isin(*months))
+        df = df.where(F.month(time).isin(*months))
+        if "month" in df.columns:
+            df = df.where(F.col("month").isin(*months))
     return df
 
 

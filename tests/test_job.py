@@ -1,8 +1,10 @@
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
+from fieldcast.operators.staging import stage, staging_run
 from fieldcast.plans.department_models import (
     baseline_errors, compare_models, department_baseline, department_yields, unknown_departments,
 )
@@ -10,7 +12,7 @@ from fieldcast.plans.job import ProjectionError, run_projection
 from fieldcast.plans.model import predict_by_crop, train_yield_model
 from fieldcast.plans.yields import yield_training_set
 from fieldcast.settings import Settings
-from fieldcast.sources.factstore import read_fact, replace_partitions
+from fieldcast.sources.factstore import read_fact, replace_partitions, vacuum
 from fieldcast.sources.grid import bronze_to_silver, clean_grid, first_present, select_period
 from fieldcast.sources.tables import (
     missing_crops, ordered_constraints, read_catalog_tables, read_query, read_tables, write_tables,
@@ -95,6 +97,35 @@ def test_partition_overwrite(spark, fact, tmp_path):
         replace_partitions(new.where("FALSE"), path)
     plan = stored.where("crop_id = 1")._jdf.queryExecution().toString()
     assert "PartitionFilters: [isnotnull(crop_id" in plan
+    vacuum(spark, path)
+    assert read_fact(spark, path).count() == stored.count()
+
+
+def test_replacement_is_all_or_nothing(spark, fact, tmp_path, monkeypatch):
+    """A job that dies between write and switch leaves readers with the old rows."""
+    from fieldcast.sources import factstore
+
+    path = str(tmp_path / "fact")
+    replace_partitions(fact, path)
+    before = sorted(map(str, read_fact(spark, path).collect()))
+
+    def dies(*_):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(factstore, "switch", dies)
+        with pytest.raises(RuntimeError, match="lost"):
+            replace_partitions(fact.withColumn("base_area", F.lit(-1.0)), path)
+    assert sorted(map(str, read_fact(spark, path).collect())) == before
+    replace_partitions(fact.where("crop_id = 1").withColumn("base_area", F.lit(-1.0)), path)
+    assert read_fact(spark, path).where("base_area = -1").count() == fact.where("crop_id = 1").count()
+
+
+def test_staged_tables_go_with_their_run(spark):
+    with staging_run(spark) as folder:
+        files = stage(spark.range(5), "five").inputFiles()
+        assert files and all(folder in f for f in files)
+    assert not Path(folder.removeprefix("file:")).exists()
 
 
 def test_model(spark, long_tables, run):
@@ -127,7 +158,8 @@ def test_department_models(spark, long_tables, run):
     assert {(r["crop_id"], r["model"]) for r in found.collect()} == {(1, "linear"), (1, "lasso")}
     copies = rows.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(8))))
     many = copies.withColumn("dept_code", F.concat("dept_code", F.col("copy").cast("string")))
-    assert unknown_departments(many.where("crop_id = 1"), 0, run).count() == 1
+    some = unknown_departments(many.where("crop_id = 1"), (0, 1), run).collect()
+    assert {r["fold"] for r in some} <= {0, 1} and some and all(r["n_rows"] > 0 for r in some)
 
 
 def test_tables_round_trip(spark, tables, tmp_path):
@@ -162,6 +194,10 @@ def test_grid(spark, tmp_path):
     with pytest.raises(ValueError):
         first_present(raw, ("q",))
     assert select_period(raw, [2054], [5]).count() == 1
+    raw.write.parquet(str(tmp_path / "pruned"))
+    stored = spark.read.parquet(str(tmp_path / "pruned"))
+    plan = select_period(stored, [2054, 2055])._jdf.queryExecution().toString()
+    assert "PushedFilters: [IsNotNull(time), GreaterThanOrEqual(time" in plan
     assert zone_path("s3a://bucket/", "silver", "a") == "s3a://bucket/silver/a"
     with pytest.raises(ValueError):
         zone_path("/x", "copper", "a")

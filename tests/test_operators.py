@@ -9,7 +9,7 @@ from fieldcast.operators.climate import bias_correct, complete_seasons, monthly_
 from fieldcast.operators.dedupe import keep_first, keep_largest
 from fieldcast.operators.footprint import plot_footprint, plot_stats
 from fieldcast.operators.joins import closed_domain, spread_join
-from fieldcast.operators.mesh import assign_cell
+from fieldcast.operators.mesh import assign_cell, candidates, mesh_step_km
 from fieldcast.operators.quantiles import exact_quantiles, quantile_table
 from fieldcast.operators.staging import stage, staging_root
 from fieldcast.operators.thermal import (
@@ -128,7 +128,8 @@ def test_thermal(spark, tables, run):
     hot = spark.createDataFrame(
         [(1, c, 45.0, 1.0, m, t, t, 1, 10.0 * c) for c, m, t in
          [(1, 4, 33.0), (1, 5, 33.0), (1, 6, 31.0), (2, 4, 30.0), (2, 5, 30.1), (3, 4, 32.0), (4, 4, None)]],
-        "crop_id int, cell_id long, lat double, lon double, month int, base_temp double, fut_temp double, plot_count long, area double")
+        "crop_id int, cell_id long, lat double, lon double, month int, base_temp double, fut_temp double, plot_count long, area double"
+    ).withColumn("horizon_year", F.lit(2054))
     no_limit = tables.constraints.withColumn("temp_opt_max", F.lit(None).cast("long"))
     worst = worst_month(thermal_exposure(hot, no_limit, run, deltas=(0.0, 2.0)))
     got = table(worst, "scenario", "delta", "cell_id")
@@ -154,8 +155,39 @@ def test_assign_cell_against_brute_force(spark):
     points += [(1000 + i, 41.0, 1.0) for i in range(100)] + [(5000, 60.0, 60.0)]
     got = table(assign_cell(
         spark.createDataFrame(points, "point_id long, lat double, lon double"),
-        spark.createDataFrame(mesh, "cell_id long, lat double, lon double"), 0.3), "point_id")
+        spark.createDataFrame(mesh, "cell_id long, lat double, lon double"), 30.0), "point_id")
     assert len(got) == len(points)
+
+    def km(lat, lon, a, b):
+        h = (math.sin(math.radians(a - lat) / 2) ** 2 + math.cos(math.radians(lat)) * math.cos(math.radians(a))
+             * math.sin(math.radians(b - lon) / 2) ** 2)
+        return round(2 * 6371.0 * math.asin(math.sqrt(h)), 6)
+
     for p, lat, lon in points:
-        near = min((math.sqrt((lat - a) ** 2 + (lon - b) ** 2), c) for c, a, b in mesh)
-        assert got[p,]["cell_id"] == (near[1] if near[0] <= 0.3 else None)
+        near = min((km(lat, lon, a, b), c) for c, a, b in mesh)
+        assert got[p,]["cell_id"] == (near[1] if near[0] <= 30.0 else None)
+
+
+def test_assign_cell_on_a_fine_mesh(spark):
+    """The pairs of a point stay few however many cells lie within the radius."""
+    mesh = spark.range(10_000).select(
+        F.col("id").alias("cell_id"), (45 + F.col("id") % 100 * 0.003).alias("lat"),
+        (5 + F.floor(F.col("id") / 100) * 0.003).alias("lon"))
+    points = spark.range(500).select(
+        F.col("id").alias("point_id"), (45.01 + F.col("id") * 0.0005).alias("lat"), (5.01 + F.col("id") * 0.0005).alias("lon"))
+    found = assign_cell(points, mesh, 40.0)
+    rows = found.collect()
+    assert len(rows) == 500 and all(r["distance"] < 0.3 for r in rows)
+    pairs = candidates(points, mesh, mesh_step_km(mesh)).count()
+    assert 500 < pairs <= 500 * 40  # of 5 million pairs within the radius
+    twice = points.unionByName(points.limit(1))
+    with pytest.raises(Exception, match="repeated point_id"):
+        assign_cell(twice, mesh, 40.0).collect()
+
+
+def test_tidy_keeps_large_values_and_nan(spark):
+    from fieldcast.catalog.queries import tidy
+
+    rows = tidy(spark.createDataFrame([(1e15,), (-1e20,), (float("nan"),), (1.234567,), (None,)], "x double")).collect()
+    got = [r["x"] for r in rows]
+    assert got[0] == 1e15 and got[1] == pytest.approx(-1e20) and math.isnan(got[2]) and got[3] == 1.23457 and got[4] is None
