@@ -30,9 +30,10 @@ from fieldcast.plans import yields as Y
 from fieldcast.plans.fact import (
     PARTS, prediction_mask, projection_fact, scores_at, with_features,
 )
-from fieldcast.plans.job import train_models
-from fieldcast.plans.model import metrics_table, predict_by_crop
+from fieldcast.plans.job import run_projection, train_models
+from fieldcast.plans.model import fill_values, metrics_table, predict_by_crop
 from fieldcast.schemas import SOIL_TEXTURES
+from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS
 from fieldcast.sources import driver_tables
 from fieldcast.sources.driver_tables import SETTINGS
 from fieldcast.sources.factstore import read_fact, replace_partitions
@@ -569,7 +570,7 @@ def yield_model_metrics(spark, folder):
 @query
 def yield_predictions(spark, folder):
     rows = with_features(S.suitability(tables(spark, folder), SETTINGS))
-    predicted = predict_by_crop(models(spark, folder))(rows)
+    predicted = predict_by_crop(models(spark, folder), prediction_mask())(rows)
     return predicted.select(
         *KEY, F.when(prediction_mask(), F.greatest("predicted", F.lit(0.0))).otherwise(0.0)
         .alias("fut_yield"),
@@ -580,10 +581,78 @@ def yield_predictions(spark, folder):
 def projection_fact_model(spark, folder):
     return projection_fact(
         tables(spark, folder), SETTINGS, history(spark, folder),
-        predict_by_crop(models(spark, folder)),
+        predict_by_crop(models(spark, folder), prediction_mask()),
     ).drop("computed_at")
 
 
+@query
+def model_fills(spark, folder):
+    """What a missing input of each crop's model is replaced by."""
+    trimmed = history(spark, folder).trimmed
+    rows = [
+        (crop, *[fills[c] for c in (*Y.FEATURES, "soil_family")])
+        for crop in SETTINGS.crops
+        for fills in [fill_values(trimmed.where(F.col("crop_id") == crop))]
+    ]
+    kinds = ", ".join(f"{c} double" for c in Y.FEATURES)
+    return tidy(spark.createDataFrame(rows, f"crop_id int, {kinds}, soil_family string"))
+
+
+@query
+def holdout_split(spark, folder):
+    """Rows before and after the last training year, and whether they allow a model and its test."""
+    past, year = history(spark, folder), F.col("year") <= SETTINGS.last_training_year
+    usable = past.training.groupBy("crop_id").agg(F.count("*").alias("n_usable"))
+    split = past.trimmed.groupBy("crop_id").agg(
+        F.count("*").alias("n_rows"), F.count_if(year).alias("n_train"), F.count_if(~year).alias("n_test"))
+    return usable.join(split, "crop_id").select(
+        "crop_id", "n_usable", "n_rows", "n_train", "n_test",
+        (F.col("n_usable") >= MIN_MODEL_ROWS).alias("is_trained"),
+        ((F.col("n_train") >= MIN_MODEL_ROWS) & (F.col("n_test") >= MIN_VALIDATION_ROWS)).alias("is_tested"))
+
+
+@query
+def prediction_checks(spark, folder):
+    """Counts over the models' own predictions: masked rows are 0, no row is negative."""
+    rows = with_features(S.suitability(tables(spark, folder), SETTINGS))
+    mask = F.coalesce(prediction_mask(), F.lit(False))
+    predicted = predict_by_crop(models(spark, folder), prediction_mask())(rows).select(
+        "crop_id", "horizon_year", mask.alias("mask"), "predicted",
+        F.when(mask, F.greatest("predicted", F.lit(0.0))).otherwise(0.0).alias("fut_yield"))
+    return predicted.groupBy("crop_id", "horizon_year").agg(
+        F.count("*").alias("n_rows"), F.count_if("mask").alias("n_predicted"),
+        F.count_if(F.col("mask") & F.col("predicted").isNull()).alias("n_missing"),
+        F.count_if(~F.col("mask") & (F.col("fut_yield") != 0)).alias("n_masked_not_zero"),
+        F.count_if(F.col("fut_yield") < 0).alias("n_negative"))
+
+
+@query
+def soil_feature(spark, folder):
+    """The soil match as a model input, by crop and soil family."""
+    rows = Y.with_soil_score(
+        history(spark, folder).trimmed, tables(spark, folder).constraints, SETTINGS)
+    return rows.groupBy("crop_id", "soil_family", "soil_score").agg(F.count("*").alias("n_rows"))
+
+
+@query
+def score_parts(spark, folder):
+    """The points that each part score adds to the future fit score."""
+    parts = F.array(*[
+        F.struct(F.lit(p).alias("part"), F.col("soil_score" if p == "soil" else f"{p}_score_fut").alias("score"))
+        for p in (*PARTS, "soil")])
+    rows = fact(spark, folder).select(*KEY, F.inline(parts))
+    weighted = rows.join(F.broadcast(M.score_weights(spark)), "part")  # one row per part
+    return tidy(weighted.select(
+        *KEY, "part", "points", (F.col("score") * F.col("points") / 100.0).alias("added")))
+
+
+@query
+def projection_dry_run(spark, folder):
+    """The job for one crop and two horizons, checked but not written."""
+    return run_projection(
+        spark, tables(spark, folder), None, SETTINGS, crops=[2], horizons=[1999, 2001], dry_run=True)
+
+
 def _dept_yields(spark, folder):
     t = tables(spark, folder)
     return D.department_yields(Y.yield_training_set(t, SETTINGS), t.soils)

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldcast.operators.staging import stage, staging_run
 from fieldcast.operators.together import run_together
-from fieldcast.plans.fact import median_areas, projection_fact
+from fieldcast.plans.fact import median_areas, prediction_mask, projection_fact
 from fieldcast.plans.model import YieldModel, predict_by_crop, train_yield_model, usable_rows
 from fieldcast.plans.quality import duplicate_examples, fact_violations, partition_summary
 from fieldcast.plans.yields import yield_history
@@ -97,7 +97,7 @@ def build_fact(tables, settings: Settings, history, models, medians) -> tuple:
     def build(part: Settings) -> DataFrame:
         used = [m for m in models if m.crop_id in part.crops]
         return stage(
-            projection_fact(tables, part, history, predict_by_crop(used), medians), "fact"
+            projection_fact(tables, part, history, predict_by_crop(used, prediction_mask()), medians), "fact"
         )
 
     try:

@@ -9,9 +9,10 @@ from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.regression import RandomForestRegressor
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldcast.operators.quantiles import quantile_table
+from fieldcast.operators.staging import stage
 from fieldcast.plans.yields import FEATURES
 from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, UNKNOWN_SOIL, Settings
 
@@ -129,25 +130,20 @@ def usable_rows(training: DataFrame, settings: Settings) -> dict[int, int]:
     return {c: found.get(c, 0) for c in settings.crops}
 
 
-def predict_by_crop(models: list[YieldModel]):
-    """One pass over the rows: each row gets the prediction of its own crop's model.
+def predict_by_crop(models: list[YieldModel], mask: Column | None = None):
+    """Each model sees the rows of its own crop only, and of those the ones in ``mask`` (all, if
+    it is not given). Other rows get a NULL, which the caller's own mask turns into its value.
 
-    Rows without usable inputs get a number too; the caller masks them.
+    The rows are staged, as every model reads its part of them.
     """
 
     def predict(rows: DataFrame) -> DataFrame:
-        for model in models:
-            name = f"_predicted_{model.crop_id}"
-            rows = model.predict(rows).withColumnRenamed("predicted", name)
-        chosen = reduce(
-            lambda chain, m: chain.when(
-                F.col("crop_id") == m.crop_id, F.col(f"_predicted_{m.crop_id}")
-            ),
-            models, F,
-        )
-        return rows.withColumn("predicted", chosen).drop(
-            *[f"_predicted_{m.crop_id}" for m in models]
-        )
+        held = stage(rows, "to-predict")
+        wanted = F.lit(True) if mask is None else F.coalesce(mask, F.lit(False))
+        known = F.col("crop_id").isin(*[m.crop_id for m in models]) & wanted
+        parts = [m.predict(held.where((F.col("crop_id") == m.crop_id) & wanted)) for m in models]
+        rest = held.where(~F.coalesce(known, F.lit(False))).withColumn("predicted", F.lit(None).cast("double"))
+        return reduce(DataFrame.unionByName, parts, rest)
 
     return predict
 

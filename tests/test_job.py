@@ -74,7 +74,7 @@ def test_failures_stay_in_their_partition(spark, long_tables, run, history, fact
         return rows.withColumn("fut_area", F.when(F.col("crop_id") == 2, -1.0).otherwise(F.col("fut_area")))
 
     monkeypatch.setattr(job, "projection_fact", broken)
-    monkeypatch.setattr(job, "predict_by_crop", lambda models: None)
+    monkeypatch.setattr(job, "predict_by_crop", lambda models, mask: None)
     models = [job.YieldModel(c, {}, None) for c in run.crops]
     built, errors = job.build_fact(None, run, history, models, None)
     assert errors == {(1, 2084): "bad horizon"}
