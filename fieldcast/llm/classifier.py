@@ -13,11 +13,10 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldcast.llm.common import slices
+from fieldcast.llm.common import give_back, slices, texts_of
 
 BUCKETS = 1 << 16
 GRAMS = (3, 4)         # lengths of the character n-grams of <word>
@@ -199,11 +198,13 @@ def score_column(text: Column, model: Model) -> Column:
     """The probability of label 1 for each whole text; null counts as empty, and the score of
     an empty text is that of the bias alone."""
 
-    @F.pandas_udf("double")
-    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         scorer = Scorer(model)
-        for texts in batches:
-            yield pd.Series(scorer.scores(["" if t is None else t for t in texts]))
+        for column in batches:
+            yield pa.array(np.concatenate(
+                [np.zeros(0), *[scorer.scores(texts) for _, texts in texts_of(column, SLICE_CHARS)]]))
+        give_back()
 
     return run(text)
 

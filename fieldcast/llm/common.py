@@ -3,12 +3,15 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
@@ -85,6 +88,20 @@ def drop_shared(spark: SparkSession) -> None:
         return
 
 
+def texts_of(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
+    """(start, texts) of consecutive parts of a string column, nulls as empty texts: about
+    ``most`` bytes of a batch are Python strings at a time."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_pylist()
+    for a, b in slices(sizes, most):
+        yield a, ["" if t is None else t for t in column.slice(a, b - a).to_pylist()]
+
+
+def give_back() -> None:
+    """Return memory that a finished task no longer needs; Spark keeps its workers alive."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+
+
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:
     """Runs [start, end) of items whose sizes sum to about ``most``, one item at least."""
     start, total, end = 0, 0, 0

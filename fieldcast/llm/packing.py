@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fieldcast.llm.bpe import BATCH_CHARS, coder
-from fieldcast.llm.common import slices, write_shared
+from fieldcast.llm.common import give_back, texts_of, write_shared
 
 CAPACITY = 4096
 END_ID = 1
@@ -34,10 +34,9 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
         code, part, seen = coder(path), TaskContext.get().partitionId(), {}
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
-            texts = ["" if t is None else t for t in batch.column(1).to_pylist()]
             docs_, rows = batch.column(0), []
-            for a, b in slices(map(len, texts), BATCH_CHARS):
-                for k, ids in enumerate(code.encode(texts[a:b]), a):
+            for a, texts in texts_of(batch.column(1), BATCH_CHARS):
+                for k, ids in enumerate(code.encode(texts), a):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
                         raw = ids[at:at + 4 * capacity]
@@ -50,6 +49,8 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                 [docs_.take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()),
                  *[pa.array(c, pa.int64()) for c in cols[2:]]],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
+        code.forget()
+        give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 

@@ -10,15 +10,15 @@ exact distance.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldcast.llm.common import write_shared
+from fieldcast.llm.common import give_back, texts_of, write_shared
 from fieldcast.llm.components import components
 
 SHINGLE = 3       # words of a shingle
@@ -27,6 +27,7 @@ PARTITIONS = 3    # thresholds then sum to zero
 FEW = 8           # values with up to so many fingerprints count as equally cheap
 CROWD = 64        # values with more fingerprints are joined through shared neighbours
 HASH_ROWS = 1 << 16
+SLICE_BYTES = 1 << 21  # of texts held as Python strings at a time
 
 
 def fingerprint(text: str | None) -> int:
@@ -47,9 +48,12 @@ def fingerprint(text: str | None) -> int:
 
 
 def fingerprint_column(text: Column) -> Column:
-    @F.pandas_udf("long")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([fingerprint(t) for t in texts], dtype="int64")
+    @F.arrow_udf("long")
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for column in batches:
+            yield pa.array(
+                [fingerprint(t) for _, texts in texts_of(column, SLICE_BYTES) for t in texts], pa.int64())
+        give_back()
 
     return run(text)
 
