@@ -319,10 +319,6 @@ class TextCoder:
         ids = self.pairs.encode_words(flat) if flat else []
         return {c: b"".join(s or b"".join(ids[a:b]) for a, b, s in parts) for c, parts in plan}
 
-    def forget(self) -> None:
-        """Drop the remembered chunks, at the end of a task."""
-        self.young, self.old = {}, {}
-
     def encode(self, texts: Sequence[str]) -> list[bytes]:
         """The ids of each text as little-endian 32-bit integers; memory is bounded by
         ``BATCH_CHARS`` and the longest text without a safe cut."""
@@ -372,6 +368,12 @@ def coder(path: str) -> TextCoder:
     return _CODERS[path]
 
 
+def drop_coders() -> None:
+    """Free the vocabulary and the remembered chunks at the end of a task; loading it again takes
+    a fraction of a second."""
+    _CODERS.clear()
+
+
 def coded(text: Column, path: str) -> Column:
     """struct(ids binary, text string): the ids of a text, and what they decode to.
 

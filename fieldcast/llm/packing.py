@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldcast.llm.bpe import BATCH_CHARS, coder
+from fieldcast.llm.bpe import BATCH_CHARS, coder, drop_coders
 from fieldcast.llm.common import give_back, texts_of, write_shared
 
 CAPACITY = 4096
@@ -49,7 +49,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                 [docs_.take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()),
                  *[pa.array(c, pa.int64()) for c in cols[2:]]],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
-        code.forget()
+        drop_coders()
         give_back()
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
