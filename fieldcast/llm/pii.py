@@ -12,18 +12,21 @@ from __future__ import annotations
 
 import re
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from fieldcast.llm.common import write_shared
+
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
 SURE = 0.9
 ROUNDS = 20            # of message passing at most
-SAMPLE = 4000          # documents that the potentials are learned on
-FIRST_SPANS = 20       # base spans of each of them at most
+SAMPLE = 4000          # texts that the potentials are learned on, a quarter for each kind
+FIRST_SPANS = 20       # base spans of a kind in each of them at most
 STEPS = 400            # of gradient descent
 SPANS = "kind string, start int, end int"
 
@@ -248,10 +251,11 @@ def variants(kind: int, text: str) -> list[str]:
     return [digits[-10:], f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}", f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}", f"{digits[-7:-4]}-{digits[-4:]}"]
 
 
-def training_rows(spans: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]:
-    """Features and labels for pseudo-likelihood. Each form of a span occurs twice: tied to its
-    base span it has the label, alone it has none; a number tied to nothing has none."""
-    rows, labels = [], []
+def training_rows(spans: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and weights for pseudo-likelihood. Each form of a span occurs twice: tied to
+    its base span it has the label, alone it has none; a number tied to nothing has none. Every kind
+    weighs as much as any other, however many spans it has."""
+    rows, labels, kinds = [], [], []
     none = np.zeros(len(LABELS))
     for kind, text in spans:
         for form in variants(kind, text):
@@ -262,13 +266,17 @@ def training_rows(spans: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray]
             for skip, label in ((tied, kind + 1), (none, 0), (np.eye(len(LABELS))[0], 0)):
                 rows.append(np.concatenate([shape(form), none, skip]))
                 labels.append(label)
-    return np.array(rows).reshape(-1, WIDTH + 2 * len(LABELS)), np.array(labels, np.int64)
+                kinds.append(kind)
+    counts = np.bincount(np.array(kinds, np.int64), minlength=len(KINDS))
+    weights = 1.0 / (np.maximum(counts, 1) * max((counts > 0).sum(), 1))
+    return (np.array(rows).reshape(-1, WIDTH + 2 * len(LABELS)), np.array(labels, np.int64),
+            weights[np.array(kinds, np.int64)])
 
 
 def learn(spans: list[tuple[int, str]], seed: int = 3) -> Field:
     """Potentials by gradient descent on the pseudo-likelihood (a softmax over a node's features
     and the labels of its neighbours). Without spans the field adds nothing."""
-    x, y = training_rows(spans)
+    x, y, share = training_rows(spans)
     weights = np.zeros((WIDTH + 2 * len(LABELS), len(LABELS)))
     weights[0, 0] = 4.0  # a token is nothing unless something speaks for it
     for step in range(STEPS if len(x) else 0):
@@ -276,30 +284,45 @@ def learn(spans: list[tuple[int, str]], seed: int = 3) -> Field:
         p = np.exp(logits - logits.max(1, keepdims=True))
         p /= p.sum(1, keepdims=True)
         p[np.arange(len(y)), y] -= 1
-        weights -= 4.0 * (x.T @ p / len(x) + 1e-5 * weights)
+        weights -= 4.0 * (x.T @ (p * share[:, None]) + 1e-5 * weights)
     chain = weights[WIDTH:WIDTH + len(LABELS)]
     skip = weights[WIDTH + len(LABELS):]
     return Field(weights[:WIDTH], (chain + chain.T) / 2, (skip + skip.T) / 2)
 
 
 def fit(docs: DataFrame, most: int = SAMPLE) -> Field:
-    """Learn from the base spans of ``most`` documents, the smallest by a hash of the id; the
-    driver gets ``FIRST_SPANS`` spans of each at most. Repeated spans count once."""
+    """Learn from the base spans of ``most`` texts, as many for each kind: of the texts that hold the
+    kind, those with the smallest hash. A first pass over all rows finds the kinds of every text. The
+    driver gets ``FIRST_SPANS`` spans of a kind and text at most. Repeated texts and spans count once."""
+    each = -(-most // len(KINDS))
+
+    def kinds(batches):
+        for batch in batches:
+            rows = [(k, h) for h, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+                    for k in sorted({k for _, k, _ in base_spans(text)})]
+            yield pa.RecordBatch.from_arrays([
+                pa.array([k for k, _ in rows], pa.int32()), pa.array([h for _, h in rows], pa.int64())],
+                names=["kind", "at"])
 
     def find(batches):
         for batch in batches:
             rows = set()
             for text in batch.column(0).to_pylist():
-                rows |= {(k, text[a:b]) for a, k, b in base_spans(text or "")[:FIRST_SPANS]}
+                spans = base_spans(text)
+                for kind in range(len(KINDS)):
+                    rows |= {(k, text[a:b]) for a, k, b in [s for s in spans if s[1] == kind][:FIRST_SPANS]}
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k, _ in sorted(rows)], pa.int32()),
                 pa.array([t[:80] for _, t in sorted(rows)], pa.string())], names=["kind", "text"])
 
-    chosen = docs.select("doc_id").where("doc_id is not null").distinct().orderBy(
-        F.xxhash64("doc_id"), "doc_id").limit(most)
-    some = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # most ids: a proven bound
-    found = some.select("text").mapInArrow(find, "kind int, text string").distinct()
-    return learn(sorted((r[0], r[1]) for r in found.orderBy("kind", "text").limit(most * FIRST_SPANS).collect()))
+    texts = docs.where("text is not null").select(F.xxhash64("text").alias("at"), "text")
+    held = write_shared(texts.mapInArrow(kinds, "kind int, at long"), "kinds").distinct()
+    chosen = reduce(DataFrame.unionByName, [
+        held.where(F.col("kind") == k).select("at").orderBy("at").limit(each) for k in range(len(KINDS))]).distinct()
+    some = texts.join(F.broadcast(chosen), "at")  # about most ids: a proven bound
+    found = write_shared(some.select("text").mapInArrow(find, "kind int, text string").distinct(), "spans")
+    return learn(sorted((r[0], r[1]) for k in range(len(KINDS)) for r in found.where(
+        F.col("kind") == k).orderBy(F.xxhash64("text"), "text").limit(each * FIRST_SPANS).collect()))
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

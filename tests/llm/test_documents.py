@@ -56,6 +56,18 @@ def test_skip_chain_adds_tied_tokens_only(spark, documents):
     assert pii.personal_data(docs.where("false")).count() == 0
 
 
+def test_rare_kinds_are_learned_in_a_large_table(spark, documents):
+    rare = [TEXT, "x " + TEXT.replace("7857", "7858")]
+    many = [f"Write to someone.{k}@mail{k % 7}.example.com or someone.{k}." for k in range(150)]
+    plain = [f"No data in row {k}." for k in range(150)]
+    field = pii.fit(documents([*plain, *many, *rare, None]), 8)
+    base, spans = pii.all_spans(field, TEXT)
+    assert {"726-555-7857", "dmkhshb.45", "20-118-157-107"} <= {TEXT[a:b] for a, _, b in set(spans) - set(base)}
+    crowd = [(0, f"someone.{k}@mail{k % 7}.example.com") for k in range(5000)]
+    base, spans = pii.all_spans(pii.learn([*crowd, (3, "+1 (726) 555-7857")]), TEXT)
+    assert "726-555-7857" in {TEXT[a:b] for a, _, b in set(spans) - set(base)}
+
+
 def test_messages_agree_with_enumeration():
     rng = np.random.default_rng(1)
     field = pii.Field(rng.normal(size=(pii.WIDTH, 5)), np.zeros((5, 5)), np.eye(5) * 1.5)
