@@ -103,9 +103,12 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     ).alias("_m"))
 
 
-def references(measures: DataFrame, lang: str = "lang") -> dict[str, tuple[list[float], list[float]]]:
-    """Per language the shares of the character classes and of its common words (and of all
-    other words), summed over all rows. At most one row per listed language is collected."""
+def references(
+    measures: DataFrame, lang: str = "lang", least: int = MIN_REFERENCE,
+) -> dict[str, tuple[list[float], list[float], int]]:
+    """Per language with ``least`` words or more the shares of the character classes and of its
+    common words (and of all other words), summed over all rows, and its words. At most one row per listed
+    language is collected."""
     at = {w: i for i, w in enumerate(vocabulary())}
     sums = [F.sum(F.col("_m.classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
     sums += [F.sum(F.col("_m.common")[i]).alias(f"w{i}") for i in at.values()]
@@ -113,12 +116,12 @@ def references(measures: DataFrame, lang: str = "lang") -> dict[str, tuple[list[
         F.sum("_m.n_words").alias("n"), *sums).collect()
     out = {}
     for r in sorted(rows, key=lambda r: r[lang]):
-        if r["n"] < MIN_REFERENCE:
+        if r["n"] < least:
             continue
         classes = [float(r[f"c{i}"]) for i in range(len(CLASSES))]
         words = [float(r[f"w{at[w]}"]) for w in COMMON_WORDS[r[lang]]]
         words.append(r["n"] - sum(words))
-        out[r[lang]] = ([c / sum(classes) for c in classes], [w / sum(words) for w in words])
+        out[r[lang]] = ([c / sum(classes) for c in classes], [w / sum(words) for w in words], r["n"])
     return out
 
 
@@ -140,24 +143,29 @@ def base_failed(m: str = "_m") -> Column:
     return (n < MIN_WORDS) | (100 * F.col(f"{m}.n_repeat_words") > MAX_REPEATED * n)
 
 
-def kept(refs: dict[str, tuple[list[float], list[float]]], m: str = "_m") -> Column:
-    """The verdict on measured texts: the base rule, and closeness to a reference language.
-
-    Without any reference (a small or empty corpus) only the base rule counts.
-    """
-    if not refs:
-        return ~base_failed(m)
+def near(refs: dict[str, tuple[list[float], list[float], int]], m: str = "_m") -> dict[str, Column]:
+    """Per reference whether measured texts are close to it in both histograms."""
     at = {w: i for i, w in enumerate(vocabulary())}
     n, classes_of = F.col(f"{m}.n_words"), F.col(f"{m}.classes")
     chars = F.aggregate(classes_of, F.lit(0).cast("long"), lambda a, c: a + c)
-    near = []
-    for lang, (classes, words) in refs.items():
+    out = {}
+    for lang, (classes, words, _) in refs.items():
         own = [F.col(f"{m}.common")[at[w]] for w in COMMON_WORDS[lang]]
         own.append(n - reduce(lambda a, b: a + b, own))
-        near.append(
+        out[lang] = (
             ((chars < MIN_CHARS) | (js_distance(classes_of, classes) <= CLASS_LIMIT))
             & ((n < MIN_COMMON) | (js_distance(F.array(*own), words) <= WORD_LIMIT)))
-    return ~base_failed(m) & reduce(lambda a, b: a | b, near)
+    return out
+
+
+def kept(refs: dict[str, tuple[list[float], list[float], int]], m: str = "_m") -> Column:
+    """The verdict on measured texts: the base rule, and closeness to a reference language.
+
+    Without any reference (a small or empty corpus) only the base rule counts.
+    """
+    if not refs:
+        return ~base_failed(m)
+    return ~base_failed(m) & reduce(lambda a, b: a | b, near(refs, m).values())
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -172,10 +180,22 @@ def judged(docs: DataFrame) -> DataFrame:
         base_failed().alias("base_failed"), kept(references(measures)).alias("kept"))
 
 
+def sound(refs: dict[str, tuple[list[float], list[float], int]], lang: str = "lang", m: str = "_m") -> Column:
+    """The verdict by the language of the row: the base rule, and where the row's own language has a
+    reference, closeness to that or to one of ``MIN_REFERENCE`` words. Rows of other languages are
+    held to the base rule alone."""
+    if not refs:
+        return ~base_failed(m)
+    listed = F.coalesce(F.col(lang).isin(*refs), F.lit(False))
+    close = [c if refs[k][2] >= MIN_REFERENCE else c & (F.col(lang) == k) for k, c in near(refs, m).items()]
+    return ~base_failed(m) & (~listed | reduce(lambda a, b: a | b, close))
+
+
 def keep_sound(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with their columns unchanged."""
-    refs = references(measured(docs.select("text", "lang")))
+    """The rows of ``docs`` that are sound, with their columns unchanged. A listed language is a
+    reference at any size, so its few rows are never judged by other languages only."""
+    refs = references(measured(docs.select("text", "lang")), least=1)
     # The generator keeps the filter above the projections: pushed below, it would repeat their
     # expressions once for every use.
     held = measured(docs).select(*docs.columns, F.explode(F.array("_m")).alias("_m"))
-    return held.where(kept(refs)).select(*docs.columns)
+    return held.where(sound(refs)).select(*docs.columns)

@@ -115,6 +115,19 @@ def test_rules(spark, documents):
     assert rules.judged(documents([""]).limit(0)).count() == 0
 
 
+def test_rare_and_unlisted_languages_meet_the_base_rule(spark, documents):
+    pick = random.Random(9)
+    english = [prose(pick, 200) for _ in range(30)]
+    other = {lang: " ".join(pick.choice(words) if pick.random() < 0.4 else "".join(
+        pick.choice("aeinorstäöü") for _ in range(pick.randint(3, 9))) for _ in range(200))
+        for lang, words in {"de": rules.COMMON_WORDS["de"], "it": "il di che non per una sono".split()}.items()}
+    docs = documents([*english, other["de"], other["it"], other["it"], prose(pick, 200).upper(), "werde " * 80])
+    docs = docs.withColumn("lang", F.expr(
+        "case doc_id when 30 then 'de' when 31 then 'it' when 32 then null when 34 then 'de' else lang end"))
+    assert {r["doc_id"] for r in rules.keep_sound(docs).collect()} == set(range(33))
+    assert {r["doc_id"] for r in rules.keep_sound(docs.where("doc_id in (0, 30, 31)")).collect()} == {0, 30, 31}
+
+
 def test_classifier_learns_and_holds_out(spark, documents):
     pick = random.Random(6)
     texts = [prose(pick, 60) if i % 2 else prose(pick, 60).upper().replace(" ", "!! ") for i in range(80)]
