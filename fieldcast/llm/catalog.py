@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from fieldcast.llm import bpe, classifier, extract, licences, packing, pii, pivots, rules, simhash, warc
+from fieldcast.llm import (
+    bpe, classifier, extract, licences, packing, pii, pivots, prefixtrie, repair, rules, simhash, warc,
+)
 from fieldcast.llm.sql import SQL
 from fieldcast.llm.common import shared_path, ship_package
 
@@ -80,3 +82,13 @@ def op9_extract(spark, folder):
 @query
 def op10_licences(spark, folder):
     return licences.scan(table(spark, folder, "documents"))
+
+
+@query
+def op12_prefixes(spark, folder):
+    return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
+
+
+@query
+def op13_repair(spark, folder):
+    return repair.repair_report(table(spark, folder, "conversations"), damaged=True)

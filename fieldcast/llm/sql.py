@@ -129,5 +129,42 @@ SELECT page_id, octet_length(encode(t)) AS payload_bytes,
   CASE WHEN nth > 1 THEN first_page END AS refers_to
 FROM r"""
 
-
-SQL = {"op2_topk": TOP_K, "op5_warc": ARCHIVES, "op3_rules": rules_sql(), "op10_licences": licences_sql()}
+#: CRC-32 bit by bit (reversed polynomial 0xEDB88320), for a text of ASCII digits.
+_CRC = """xor(list_reduce([4294967295] || list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT)),
+    lambda c, b: list_reduce([xor(c, b)] || range(8),
+      lambda v, i: CASE WHEN v & 1 = 1 THEN xor(v >> 1, 3988292384) ELSE v >> 1 END)), 4294967295)"""
+
+PREFIX_TRIE = f"""
+WITH o AS (
+  SELECT CAST(conv_id AS BIGINT) AS c, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (
+    PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS i
+  FROM conversations WHERE conv_id IS NOT NULL),
+n AS (SELECT c, c - c % 5 AS b, {_CRC.format("c")} % 9 AS h, count(*) AS own FROM o GROUP BY c),
+shared AS (SELECT n.c, count(o.i) AS got FROM n LEFT JOIN o ON o.c = n.b AND o.i <= n.h GROUP BY n.c),
+r AS (
+  SELECT n.c, o.i AS d, o.role, o.text FROM n JOIN o ON o.c = n.b AND o.i <= n.h
+  UNION ALL
+  SELECT n.c, o.i - n.h + shared.got, o.role, o.text FROM n JOIN shared USING (c) JOIN o ON o.c = n.c AND o.i > n.h),
+m AS (
+  SELECT c, 0 AS d, '' AS k, NULL AS pk, 0 AS bytes FROM n
+  UNION ALL
+  SELECT c, d, k, CASE WHEN d = 1 THEN '' ELSE lag(k) OVER (PARTITION BY c ORDER BY d) END, bytes FROM (
+    SELECT c, d, octet_length(encode(text)) AS bytes, string_agg(sha256(sha256(role) || sha256(text)), '')
+      OVER (PARTITION BY c ORDER BY d) AS k FROM r)),
+nodes AS (
+  SELECT d, k, min(pk) AS pk, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * max(bytes) AS saved FROM m GROUP BY d, k),
+kids AS (SELECT d - 1 AS d, pk AS k, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY d, pk),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (d, k)),
+sums AS (
+  SELECT m.d, m.k, sum(CAST(f.n_children = 0 AS BIGINT)) AS n_leaves, sum(f.saved) AS saved_tokens
+  FROM full_nodes f JOIN m ON m.c = f.conv_id AND m.d <= f.d GROUP BY m.d, m.k),
+ends AS (
+  SELECT m.d, m.k, sha256(string_agg(CAST(m.c AS VARCHAR), ',' ORDER BY m.c)) AS ends_sha256
+  FROM m JOIN (SELECT c, max(d) AS d FROM m GROUP BY c) USING (c, d) GROUP BY m.d, m.k)
+SELECT f.conv_id, f.d AS depth, p.conv_id AS parent_conv_id, f.n_convs, f.n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, coalesce(ends_sha256, sha256('')) AS ends_sha256
+FROM full_nodes f JOIN sums USING (d, k) LEFT JOIN ends USING (d, k) LEFT JOIN full_nodes p ON p.d = f.d - 1 AND p.k = f.pk"""
+
+
+SQL = {"op2_topk": TOP_K, "op5_warc": ARCHIVES, "op3_rules": rules_sql(), "op10_licences": licences_sql(),
+       "op12_prefixes": PREFIX_TRIE}
