@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fieldcast.llm import (
-    bpe, classifier, extract, licences, packing, pii, pivots, prefixtrie, repair, rules, simhash, warc,
+    bpe, classifier, extract, licences, ngrams, packing, pii, pivots, prefixtrie, repair, rules, simhash, warc,
 )
 from fieldcast.llm.sql import SQL
 from fieldcast.llm.common import shared_path, ship_package
@@ -84,6 +84,11 @@ def op10_licences(spark, folder):
     return licences.scan(table(spark, folder, "documents"))
 
 
+@query
+def op11_ngrams(spark, folder):
+    return ngrams.score(table(spark, folder, "documents"))
+
+
 @query
 def op12_prefixes(spark, folder):
     return prefixtrie.prefix_trie(table(spark, folder, "conversations"))
