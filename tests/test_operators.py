@@ -10,6 +10,7 @@ from fieldcast.operators.dedupe import keep_first, keep_largest
 from fieldcast.operators.footprint import plot_footprint, plot_stats
 from fieldcast.operators.joins import closed_domain, spread_join
 from fieldcast.operators.mesh import assign_cell, candidates, mesh_step_km
+from fieldcast.operators import quantiles
 from fieldcast.operators.quantiles import exact_quantiles, quantile_table
 from fieldcast.operators.staging import stage, staging_root
 from fieldcast.operators.thermal import (
@@ -79,29 +80,57 @@ def test_joins_with_a_hot_key(spark):
         closed_domain(twice, "k", (1, 2)).collect()
 
 
-@pytest.mark.parametrize("accuracy", [10_000, 20])
+@pytest.mark.parametrize("most", [10_000, 40, 1])
 @pytest.mark.parametrize("way", [
     {"small_domain": True}, {"small_domain": False}, {"spread_on": ["r"]},
 ])
-def test_exact_quantiles(spark, way, accuracy):
-    """With accuracy 20, groups of more than 40 rows take the narrowed range."""
+def test_exact_quantiles(spark, way, most):
+    """With 40, groups of more than 40 rows are narrowed; with 1 all, down to single values."""
     rng = np.random.default_rng(5)
     groups = {
         1: rng.normal(size=1), 2: rng.normal(size=2), 3: rng.normal(size=39),
         4: rng.normal(size=5000), 5: np.repeat([1.0, 2.0], 900), 6: np.arange(777.0),
+        7: np.r_[np.zeros(400), 5e-324, -5e-324, 1e308, -1e308, 10.0 ** rng.uniform(-300, 300, 300)],
+        8: np.r_[1.0 + np.arange(300) * 2.0**-52, np.repeat(3.0, 500)],
+        10: np.array([float("-inf"), 0.0, 1.0, 1.5, float("inf")]),
     }
     rows = [(k, float(v)) for k, vs in groups.items() for v in vs]
     rows += [(4, None), (4, float("nan")), (None, 1.0), (9, None)]
     df = spark.createDataFrame(
         [(*row, i) for i, row in enumerate(rows)], "k int, v double, r int").repartition(5)
     probs = [0.0, 0.01, 0.5, 0.9, 0.99, 1.0]
-    got = table(exact_quantiles(df, ["k"], "v", probs, accuracy=accuracy, **way), "k", "prob")
+    got = table(exact_quantiles(df, ["k"], "v", probs, most=most, **way), "k", "prob")
     assert {k for k, _ in got} == set(groups)
     for k, values in groups.items():
         for p in probs:
             row = got[k, p]
             assert row["n"] == len(values)
-            assert row["quantile"] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+            if k == 10:  # numpy subtracts infinities
+                assert row["quantile"] == {0.0: -math.inf, 0.01: -math.inf, 0.5: 1.0, 0.9: math.inf, 0.99: math.inf, 1.0: math.inf}[p]
+            else:
+                assert row["quantile"] == pytest.approx(np.quantile(values, p), rel=1e-12, abs=1e-12)
+
+
+@pytest.mark.parametrize("n", [1_000_000, 8_000_000])
+def test_ranges_of_one_large_group_stay_bounded(spark, n):
+    """Whatever its size, at most ``MOST`` rows of a group and ``BINS`` counts meet in a window."""
+    rows = spark.range(n, numPartitions=8).select(
+        F.lit(1).alias("k"), (F.pow(F.col("id") * 7919 % n / n, 3.0) * 1e6).alias("_v"),
+        F.lit(1).cast("long").alias("_w"), F.col("id").alias("_spread"))
+    groups = rows.groupBy("k").agg(F.count("*").alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi"))
+    probs = [0.01, 0.5, 0.99]
+    for small_domain in (True, False):
+        ranges = quantiles.narrowed(stage(rows, "rows"), stage(groups, "groups"), ["k"], probs, small_domain, quantiles.MOST).collect()
+        assert len(ranges) == 6 and all(r["_inside"] <= quantiles.MOST and r["_before"] <= r["_rank"] < r["_before"] + r["_inside"] for r in ranges)
+    bins = quantiles._inside(rows, groups, ["k"], True).select(
+        quantiles._bin(F.col("_v"), F.col("_lo"), F.col("_hi")).alias("b")).agg(F.min("b"), F.max("b")).first()
+    assert tuple(bins) == (0, quantiles.BINS - 1)
+    got = exact_quantiles(rows.withColumnsRenamed({"_v": "v", "_spread": "r"}), ["k"], "v", probs, spread_on=["r"]).collect()
+    for row in got:
+        place = row["prob"] * (n - 1)
+        low, high = ((math.floor(place) + e) / n for e in (0, 1))
+        want = (low**3 + (high**3 - low**3) * (place - math.floor(place))) * 1e6
+        assert row["n"] == n and row["quantile"] == pytest.approx(want, rel=1e-9)
 
 
 def test_quantile_table(spark):
