@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
+_TABLES: list[str] = []
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -70,6 +71,19 @@ def write_shared(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def write_bucketed(df: DataFrame, key: str, label: str) -> DataFrame:
+    """As ``write_shared``, bucketed by ``key``: a join or grouping by it moves no row of the table.
+
+    The catalog of the session knows the table by a name of its own until the application ends.
+    """
+    spark = df.sparkSession
+    name = f"{label}_{uuid.uuid4().hex}"
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(buckets, key).option("path", shared_path(spark, label)).saveAsTable(name)
+    _TABLES.append(name)
+    return spark.table(name)
+
+
 def hadoop_fs(spark: SparkSession, path: str):
     """Hadoop's (file system, path) pair for any URI that Spark can write to."""
     jvm = spark.sparkContext._jvm
@@ -80,6 +94,8 @@ def hadoop_fs(spark: SparkSession, path: str):
 def drop_shared(spark: SparkSession) -> None:
     """Remove the intermediate tables; call it when the results have been read."""
     try:
+        while _TABLES:
+            spark.sql(f"DROP TABLE IF EXISTS {_TABLES.pop()}")
         root = _ROOTS.pop(spark.sparkContext.applicationId, None)
         if root:
             fs, at = hadoop_fs(spark, root)

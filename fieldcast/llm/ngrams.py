@@ -1,12 +1,14 @@
 """Operator 11: scores of a bigram language model held in Elias-Fano tries.
 
-Texts become chunks of tokens with a vocabulary of their own. Word counts are summed over all
-chunks, and every chunk gets the ids and counts of its words back. Each chunk then sends the
-different pairs of neighbouring words to shards, once each with their number in training texts.
-A shard sums the counts, builds a trie of its pairs (:mod:`fieldcast.llm.eliasfano`) and answers
-every chunk with the quantised probabilities of the pairs it sent, from which the chunk scores its
-texts. A shard holds a bounded number of pairs on average; contexts with very many tokens are
-spread over all shards by their successor. No table is held as a whole anywhere.
+Texts become chunks of tokens with a vocabulary of their own, kept in a table bucketed by chunk.
+Each chunk sends its words, once each, to shards by checksum; a shard sums their counts, numbers
+them and answers every chunk. With these numbers each chunk sends its different pairs of
+neighbouring words to shards, once each with their number in training texts. A shard sums the
+counts, builds a trie of its pairs (:mod:`fieldcast.llm.eliasfano`) and answers every chunk with
+the quantised probabilities of the pairs it sent, from which the chunk scores its texts. A shard
+holds a bounded number of words and pairs on average; contexts with very many tokens are spread
+over all shards by their successor, and a word or pair comes once from a chunk, however frequent
+it is. No table is held as a whole anywhere.
 
 Probability of word w after v: (c(v, w) + PRIOR * p(w)) / (c(v) + PRIOR), with p(w) =
 (c(w) + 1) / (N + V + 1) as in the base score; the probabilities sum to one over the vocabulary
@@ -26,13 +28,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from fieldcast.llm.common import give_back, write_shared
+from fieldcast.llm.common import give_back, write_bucketed, write_shared
 from fieldcast.llm.eliasfano import NgramTrie, dequantise, quantise
 
 CHUNK_BYTES = 8 << 20     # text of a chunk, one document at least
-SHARD_TOKENS = 4_000_000  # tokens of the corpus for each shard
+SHARD_TOKENS = 2_000_000  # tokens of the corpus for each shard
 PRIOR = 20.0              # tokens that the unigrams count for after any word
-END = b"\n"               # no word, as it is white space
+END = b""                 # no word has this text
 
 
 def packed(values: np.ndarray) -> bytes:
@@ -50,15 +52,27 @@ def unpacked(data: bytes) -> np.ndarray:
 
 _CHUNK = pa.schema([
     ("chunk", pa.int64()), ("doc_ids", pa.list_(pa.int64())), ("held_out", pa.list_(pa.bool_())),
-    ("codes", pa.binary()), ("lengths", pa.binary()), ("words", pa.list_(pa.binary())), ("trained", pa.list_(pa.int64()))])
-CHUNK = ("chunk long, doc_ids array<long>, held_out array<boolean>, codes binary, lengths binary, "
-         "words array<binary>, trained array<long>")
+    *[(c, pa.binary()) for c in ("codes", "lengths", "order", "words", "trained")], ("n_tokens", pa.int64())])
+CHUNK = ("chunk long, doc_ids array<long>, held_out array<boolean>, codes binary, lengths binary, order binary, "
+         "words binary, trained binary, n_tokens long")
 
 
 def held_out(doc_id: int | None, fold: int, held: int) -> bool:
     return zlib.crc32(b"" if doc_id is None else b"%d" % doc_id) % fold == held
 
 
+def checksums(words: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, words), np.uint64, len(words))
+
+
+def _text(words: list[bytes]) -> bytes:
+    return zstandard.compress(b" ".join(words), 1)
+
+
+def _words(data: bytes) -> list[bytes]:
+    return zstandard.decompress(data).split(b" ")
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], fold: int, held: int, most: int) -> Iterator[pa.RecordBatch]:
     number = TaskContext.get().partitionId() << 33
     vocabulary, codes, lengths, ids, size = defaultdict(), [], [], [], 0
@@ -73,8 +87,11 @@ def _chunks(batches: Iterator[pa.RecordBatch], fold: int, held: int, most: int)
         out = [held_out(d, fold, held) for d in ids]
         flat = np.concatenate(codes)
         trains = np.repeat(~np.array(out), lengths)
-        row = [number, ids, out, packed(flat), packed(np.array(lengths)), list(vocabulary),
-               np.bincount(flat[trains], minlength=len(vocabulary))]
+        words = list(vocabulary)
+        order = np.argsort(checksums(words), kind="stable")
+        trained = np.bincount(flat[trains], minlength=len(words))
+        row = [number, ids, out, packed(flat), packed(np.array(lengths)), packed(order),
+               _text([words[k] for k in order]), packed(trained[order]), len(flat)]
         number += 1
         return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(row, _CHUNK)], schema=_CHUNK)
 
@@ -102,11 +119,13 @@ class Chunk:
     def __init__(self, row: dict, starts: int, shards: int, hot: float):
         lengths = unpacked(row["lengths"])
         self.lengths, self.words = lengths, unpacked(row["codes"])
-        known = row["known"]
-        n = int(row["n_words"])
+        order = unpacked(row["order"])
+        n = len(order)
         self.counts = np.zeros(n + 1, np.int64)   # the last one is the mark at the start
         ids = np.full(n + 1, -1, np.int64)
-        self.counts[known[0]], ids[known[0]] = known[2], known[1]
+        told = [_split(a["answer"]) for a in sorted(row["known"], key=lambda a: a["shard"])]
+        ids[order], self.counts[order] = (np.concatenate([t[k] for t in told]) for k in (0, 1))
+        ids -= ids == 0
         self.counts[n], ids[n] = starts, 0 if starts else -1
         self.before = np.empty_like(self.words)
         self.before[1:] = self.words[:-1]
@@ -124,17 +143,61 @@ class Chunk:
 
 
 def _rows(batch: pa.RecordBatch) -> Iterator[dict]:
-    """Rows of a batch, one at a time; the known words as three arrays."""
-    names = batch.schema.names
     for i in range(batch.num_rows):
-        row = {c: batch[c][i].as_py() for c in names if c not in ("known", "answers")}
-        if "known" in names:
-            known = batch["known"][i].values
-            row["known"] = [np.zeros(0, np.int64)] * 3 if known is None else [
-                known.field(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in range(3)]
-        if "answers" in names:
-            row["answers"] = batch["answers"][i].as_py() or []
-        yield row
+        yield {c: batch[c][i].as_py() for c in batch.schema.names}
+
+
+_SENT = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("words", pa.binary()), ("trained", pa.binary())])
+_NUMBERED = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("answer", pa.binary()),
+                       ("tokens", pa.int64()), ("known", pa.int64())])
+
+
+def _record(rows: list[tuple], schema: pa.Schema) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array(c, f.type) for c, f in zip(zip(*rows) if rows else [[]] * len(schema), schema)], schema=schema)
+
+
+def _sent_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """The words of each chunk by shard; they lie in the order of their checksums, so do shards."""
+    for batch in batches:
+        for row in _rows(batch):
+            words, trained = _words(row["words"]), unpacked(row["trained"])
+            shard = (checksums(words) * np.uint64(shards)) >> np.uint64(32)
+            edges = np.searchsorted(shard, np.arange(shards + 1).astype(np.uint64))
+            yield _record([
+                (k, row["chunk"], _text(words[edges[k]:edges[k + 1]]), packed(trained[edges[k]:edges[k + 1]]))
+                for k in np.flatnonzero(np.diff(edges))], _SENT)
+    give_back()
+
+
+def _by_shard(batches: Iterator[pa.RecordBatch], answer) -> Iterator[pa.RecordBatch]:
+    """Rows of sorted batches, all of a shard at a time."""
+    here, held = None, []
+    for batch in batches:
+        for shard, *row in zip(*[c.to_pylist() for c in batch.columns]):
+            if shard != here and held:
+                yield answer(here, held)
+                held = []
+            here = shard
+            held.append(row)
+    if held:
+        yield answer(here, held)
+    give_back()
+
+
+def _numbered(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    def answer(shard: int, held: list) -> pa.RecordBatch:
+        places: defaultdict = defaultdict()
+        places.default_factory = places.__len__
+        sent = [np.fromiter(map(places.__getitem__, _words(words)), np.int64) for _, words, _ in held]
+        total = np.zeros(len(places), np.int64)
+        for at, (_, _, trained) in zip(sent, held):
+            total[at] += unpacked(trained)  # a chunk has a word once
+        ids = np.where(total > 0, (np.cumsum(total > 0) - 1) * shards + shard + 1, 0)
+        rows = [(chunk, shard, _joined([ids[at], total[at]]), 0, 0) for at, (chunk, *_) in zip(sent, held)]
+        return _record([*rows, (None, shard, None, int(total.sum()), int((total > 0).sum()))], _NUMBERED)
+
+    yield from _by_shard(batches, answer)
 
 
 _PAIRS = pa.schema([("shard", pa.int64()), ("chunk", pa.int64()), ("pairs", pa.binary())])
@@ -170,8 +233,7 @@ def _pairs(batches: Iterator[pa.RecordBatch], starts: int, shards: int, hot: flo
                 first = np.flatnonzero(np.r_[True, v[s][1:] != v[s][:-1]])
                 run = np.diff(np.r_[first, s.stop - s.start])
                 out.append((k, row["chunk"], _joined([np.diff(v[s][first], prepend=0), run, c[s][first], w[s], n[s]])))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(x, f.type) for x, f in zip(zip(*out) if out else [[]] * 3, _PAIRS)], schema=_PAIRS)
+            yield _record(out, _PAIRS)
     give_back()
 
 
@@ -179,20 +241,10 @@ _ANSWERS = pa.schema([("chunk", pa.int64()), ("shard", pa.int64()), ("answer", p
 
 
 def _answers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    here, held = None, []
-    for batch in batches:
-        for shard, chunk, pairs in zip(*[c.to_pylist() for c in batch.columns]):
-            if shard != here and held:
-                yield _answered(here, held)
-                held = []
-            here = shard
-            held.append((chunk, pairs))
-    if held:
-        yield _answered(here, held)
-    give_back()
+    yield from _by_shard(batches, _answered)
 
 
-def _answered(shard: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
+def _answered(shard: int, held: list) -> pa.RecordBatch:
     """The trie of a shard, and the codes of all pairs that were sent to it."""
     sent = [_split(pairs) for _, pairs in held]
     v = np.concatenate([np.repeat(np.cumsum(d), run) for d, run, _, _, _ in sent])
@@ -209,7 +261,7 @@ def _answered(shard: int, held: list[tuple[int, bytes]]) -> pa.RecordBatch:
     trie.close()
     ends = np.cumsum([len(s[3]) for s in sent])[:-1]
     rows = [(chunk, shard, packed(part)) for (chunk, _), part in zip(held, np.split(codes, ends))]
-    return pa.RecordBatch.from_arrays([pa.array(x, f.type) for x, f in zip(zip(*rows), _ANSWERS)], schema=_ANSWERS)
+    return _record(rows, _ANSWERS)
 
 
 _SCORE = pa.schema([("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
@@ -223,7 +275,7 @@ def _scores(batches: Iterator[pa.RecordBatch], starts: int, shards: int, hot: fl
         for row in _rows(batch):
             at = Chunk(row, starts, shards, hot)
             codes = np.zeros(len(at.v), np.uint16)
-            answers = [unpacked(a["answer"]) for a in sorted(row["answers"], key=lambda a: a["shard"])]
+            answers = [unpacked(a["answer"]) for a in sorted(row["answers"] or [], key=lambda a: a["shard"])]
             codes[at.order] = np.concatenate(answers) if answers else []
             single = (at.counts + 1) / (n + (v + 1))
             left = np.where(at.counts > 0, dequantise(quantise(PRIOR / (at.counts + PRIOR))), 1.0)
@@ -248,33 +300,22 @@ def score(docs: DataFrame, fold: int = 7, held: int = 2, shard_tokens: int = SHA
     empty table gives no rows.
     """
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    chunks = write_shared(rows.mapInArrow(partial(_chunks, fold=fold, held=held, most=chunk_bytes), CHUNK), "lm-chunks")
-    own = chunks.select("chunk", F.posexplode(F.arrays_zip("words", "trained")).alias("place", "_w")).select(
-        "chunk", "place", F.col("_w.words").alias("word"), F.col("_w.trained").alias("trained"))
-    # Written, so that the numbers of the words stay whatever task is repeated later.
-    words = write_shared(
-        own.where("trained > 0").groupBy("word").agg(F.sum("trained").alias("count"))
-        .select("word", "count", F.spark_partition_id().alias("part"), F.monotonically_increasing_id().alias("row")),
-        "lm-words")
-    parts = words.groupBy("part").agg(
-        F.count("*").alias("n"), F.sum("count").alias("count"), F.min("row").alias("row")).orderBy("part").collect()
-    offsets, vocabulary, tokens = [], 0, 0  # a row for each partition of the table of words
-    for r in parts:
-        offsets.append((r["part"], 1 + vocabulary - r["row"]))
-        vocabulary, tokens = vocabulary + r["n"], tokens + r["count"]
-    spark = docs.sparkSession
-    numbered = words.join(spark.createDataFrame(offsets, "part int, offset long"), "part").select(
-        "word", "count", (F.col("row") + F.col("offset")).alias("id"))
-    known = write_shared(
-        own.select("chunk", "place", "word").join(numbered, "word").groupBy("chunk").agg(
-            F.collect_list(F.struct("place", "id", "count")).alias("known")), "lm-known")
-    starts = chunks.agg(F.sum(F.size(F.filter("held_out", lambda x: ~x)))).first()[0] or 0
-    shards = 1 + tokens // shard_tokens
+    # Bucketed, so that neither of the two joins by chunk moves the tokens.
+    chunks = write_bucketed(
+        rows.mapInArrow(partial(_chunks, fold=fold, held=held, most=chunk_bytes), CHUNK), "chunk", "lm_chunks")
+    lengths = chunks.agg(F.sum(F.size(F.filter("held_out", lambda x: ~x))), F.sum("n_tokens")).first()
+    starts, shards = lengths[0] or 0, 1 + (lengths[1] or 0) // shard_tokens
+    sent = chunks.select("chunk", "words", "trained").mapInArrow(
+        partial(_sent_words, shards=shards), "shard long, chunk long, words binary, trained binary")
+    numbered = write_shared(sent.repartition("shard").sortWithinPartitions("shard", "chunk").mapInArrow(
+        partial(_numbered, shards=shards), "chunk long, shard long, answer binary, tokens long, known long"), "lm-words")
+    totals = numbered.agg(F.sum("tokens"), F.sum("known")).first()
+    tokens, vocabulary = totals[0] or 0, totals[1] or 0
+    known = numbered.where("chunk IS NOT NULL").groupBy("chunk").agg(
+        F.collect_list(F.struct("shard", "answer")).alias("known"))
+    slim = chunks.drop("words", "trained", "n_tokens").join(known, "chunk")
     at = {"starts": starts, "shards": shards, "hot": max(1.0, tokens / (8 * shards))}
-    slim = chunks.select("chunk", "doc_ids", "held_out", "codes", "lengths", F.size("words").alias("n_words")).join(
-        known, "chunk", "left")
-    pairs = slim.select("chunk", "held_out", "codes", "lengths", "n_words", "known").mapInArrow(
-        partial(_pairs, **at), "shard long, chunk long, pairs binary")
+    pairs = slim.drop("doc_ids").mapInArrow(partial(_pairs, **at), "shard long, chunk long, pairs binary")
     answers = pairs.repartition("shard").sortWithinPartitions("shard", "chunk").mapInArrow(
         _answers, "chunk long, shard long, answer binary")
     gathered = answers.groupBy("chunk").agg(F.collect_list(F.struct("shard", "answer")).alias("answers"))
