@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql import types as T
@@ -18,6 +19,7 @@ from fieldcast.operators import footprint as P
 from fieldcast.operators import thermal as H
 from fieldcast.operators import areas as A
 from fieldcast.operators.dedupe import keep_first
+from fieldcast.operators.joins import key_counts
 from fieldcast.operators.mesh import assign_cell
 from fieldcast.operators.quantiles import exact_quantiles
 from fieldcast.operators.staging import stage, staged_path
@@ -531,6 +533,24 @@ def crop_coverage_anti(spark, folder):
     return missing_crops(grown, range(1, 10))
 
 
+@query
+def join_cardinality(spark, folder):
+    """Rows and keys that would break the declared cardinality of the fact build's merges, and of a
+    table whose key does repeat."""
+    t = tables(spark, folder)
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    sides = {
+        "coordinates by cell": (t.coordinates, ["cell_id"]),
+        "soils by cell": (t.soils, ["cell_id"]),
+        "references by cell": (history(spark, folder).cells, ["cell_id"]),
+        "yields by cell, crop and year": (t.yields, ["cell_id", "crop_id", "year"]),
+        "lines by order and number": (lines, ["l_orderkey", "l_linenumber"]),
+        "lines by order": (lines, ["l_orderkey"]),
+    }
+    counted = [key_counts(df, keys).select(F.lit(name).alias("side"), "*") for name, (df, keys) in sides.items()]
+    return reduce(DataFrame.unionByName, counted)
+
+
 @query
 def key_uniqueness(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")

@@ -22,11 +22,13 @@ def season_rows(climate: DataFrame, years=None) -> DataFrame:
     return rows.where(F.col("year").isin(*[int(y) for y in years]))
 
 
-def monthly_climate(climate: DataFrame, years=None) -> DataFrame:
-    """Mean temperature, rain and sun per cell and month of the season."""
+def monthly_climate(climate: DataFrame, years=None, tags=()) -> DataFrame:
+    """Mean temperature, rain and sun per cell and month of the season. Columns ``tags`` keep
+    several climates in one table apart."""
     return (
         season_rows(climate, years)
         .groupBy(
+            *tags,
             F.col("cell_id").cast("long").alias("cell_id"),
             F.col("year").cast("int").alias("year"),
             F.col("month").cast("int").alias("month"),
@@ -38,7 +40,7 @@ def monthly_climate(climate: DataFrame, years=None) -> DataFrame:
     )
 
 
-def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True) -> DataFrame:
+def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True, tags=()) -> DataFrame:
     """Season figures per cell and year.
 
     With ``by_cell`` the months are spread by cell alone, so that this grouping and any
@@ -56,10 +58,10 @@ def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True) -> Da
         "sun_mean": F.avg("sun"),
         "sun": F.sum("sun_kwh"),
     }
-    months = monthly_climate(climate, years)
+    months = monthly_climate(climate, years, tags)
     return (
         (months.repartition("cell_id") if by_cell else months)
-        .groupBy("cell_id", "year")
+        .groupBy(*tags, "cell_id", "year")
         .agg(
             *[round_even(figure, 9).alias(name) for name, figure in figures.items()],
             F.count("*").cast("int").alias("n_months"),
@@ -67,6 +69,15 @@ def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True) -> Da
     )
 
 
+def tagged_seasons(past: DataFrame, future: DataFrame, past_years, horizons) -> DataFrame:
+    """Seasons of past and future years from one pass: as ``seasonal_climate``, with a column
+    ``ahead`` that is true for the rows of ``future``."""
+    columns = ["cell_id", "year", "month", "temp", "rain", "sun"]
+    both = season_rows(past, past_years).select(F.lit(False).alias("ahead"), *columns).unionByName(
+        season_rows(future, horizons).select(F.lit(True).alias("ahead"), *columns))
+    return seasonal_climate(both, tags=("ahead",))
+
+
 def complete_seasons(seasons: DataFrame) -> DataFrame:
     return seasons.where(F.col("n_months") == len(SEASON_MONTHS))
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 SALTS = 16
 
@@ -23,6 +23,50 @@ def closed_domain(df: DataFrame, key: str, values) -> DataFrame:
     )
 
 
+CARDINALITIES = ("one_to_one", "one_to_many", "many_to_one")
+
+
+def unique_by(df: DataFrame, keys: list[str], what: str = "rows") -> DataFrame:
+    """The same rows; the plan fails, naming a key, as soon as a key occurs twice.
+
+    A row with a NULL in its key matches nothing in a join and is not counted. The count needs
+    the rows of a key together and sorted, as a join by that key does anyway.
+    """
+    together = Window.partitionBy(*keys)
+    named = F.concat(F.lit(f"repeated key in {what}: "), F.to_json(F.struct(*keys)))
+    known = F.lit(True)
+    for key in keys:
+        known = known & F.col(key).isNotNull()
+    single = F.when(~known | (F.col("_times") == 1), True).otherwise(F.raise_error(named).cast("boolean"))
+    return df.withColumn("_times", F.count(F.lit(1)).over(together)).where(single).drop("_times")
+
+
+def checked_join(
+    left: DataFrame, right: DataFrame, on: list[str], how: str = "left", validate: str = "many_to_one",
+) -> DataFrame:
+    """Equi-join with a declared cardinality, checked inside the plan: a key that repeats on a side
+    declared ``one`` fails the job instead of multiplying rows."""
+    if validate not in CARDINALITIES:
+        raise ValueError(f"validate must be one of {CARDINALITIES}, got {validate!r}")
+    if validate.startswith("one"):
+        left = unique_by(left, on, "the left table")
+    if validate.endswith("one"):
+        right = unique_by(right, on, "the right table")
+    return left.join(right, on, how)
+
+
+def key_counts(df: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: ``n_rows``, ``n_keys``, ``n_repeated`` keys and the ``n_offending`` rows they hold."""
+    per_key = df.groupBy(*keys).agg(F.count("*").alias("_n"))
+    repeated = F.col("_n") > 1
+    for key in keys:
+        repeated = repeated & F.col(key).isNotNull()
+    return per_key.agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("n_rows"), F.count("*").alias("n_keys"),
+        F.count_if(repeated).alias("n_repeated"),
+        F.coalesce(F.sum(F.when(repeated, F.col("_n"))), F.lit(0)).alias("n_offending"))
+
+
 def spread_join(
     big: DataFrame, small: DataFrame, keys: list[str], spread_on: list[str],
     how: str = "left", salts: int = SALTS,

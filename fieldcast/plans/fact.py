@@ -9,10 +9,11 @@ from fieldcast.functions import (
 )
 from fieldcast.functions.numeric import percent_change
 from fieldcast.operators.areas import future_area, median_area_by_crop, median_area_by_dept
-from fieldcast.operators.joins import spread_join
+from fieldcast.operators.joins import spread_join, unique_by
 from fieldcast.operators.staging import stage
 from fieldcast.operators.together import run_together
-from fieldcast.plans.suitability import cell_dimensions, grown_cells, suitability
+from fieldcast.plans.shared import SharedInputs, grown_cells, shared_inputs
+from fieldcast.plans.suitability import cell_dimensions, suitability
 from fieldcast.plans.yields import FEATURES, MEASURES, YieldHistory, yield_history
 from fieldcast.schemas import FACT, require_columns
 from fieldcast.settings import Settings
@@ -20,11 +21,13 @@ from fieldcast.settings import Settings
 PARTS = ("yield", "temp", "rain", "sun")
 
 
-def median_areas(tables, settings: Settings) -> tuple[DataFrame, DataFrame]:
+def median_areas(
+    tables, settings: Settings, shared: SharedInputs | None = None,
+) -> tuple[DataFrame, DataFrame]:
     """Median grown area by department and by crop, over cells the fact table shows."""
     grown = stage(
-        grown_cells(tables, settings).join(
-            cell_dimensions(tables).select("cell_id", "dept_code", "dept_name"), "cell_id"
+        (shared.grown if shared else grown_cells(tables, settings)).join(
+            cell_dimensions(tables, checked=shared is not None).select("cell_id", "dept_code", "dept_name"), "cell_id"
         ),
         "grown-cells",
     )
@@ -116,9 +119,9 @@ def with_areas(
     rows = rows.withColumns({
         c: strip_space(F.col(c)) for c in ("dept_code", "dept_name")
     })
-    rows = spread_join(
-        rows, dept_medians.drop("n_cells"), ["crop_id", "dept_code", "dept_name"], ["cell_id"]
-    ).join(F.broadcast(crop_medians), "crop_id", "left")
+    by_dept = ["crop_id", "dept_code", "dept_name"]
+    medians = unique_by(dept_medians.drop("n_cells"), by_dept, "medians by department")
+    rows = spread_join(rows, medians, by_dept, ["cell_id"]).join(F.broadcast(crop_medians), "crop_id", "left")
     rows = rows.withColumn(
         "median_grown_area", F.coalesce("dept_median", "crop_median", F.lit(0.0))
     )
@@ -147,20 +150,23 @@ def stamped(rows: DataFrame, settings: Settings) -> DataFrame:
 
 def projection_fact(
     tables, settings: Settings, history: YieldHistory | None = None, predict=None, medians=None,
+    shared: SharedInputs | None = None,
 ) -> DataFrame:
     """Fact rows of all crops and horizons of the run.
 
     ``predict`` maps rows with the columns ``x_*``, ``soil_family`` and ``crop_id`` to rows
     with a ``predicted`` yield (see :mod:`fieldcast.plans.model`). Without one, the
-    reference yield of the cell stands for the prediction. ``history`` and ``medians`` are
-    built here unless given.
+    reference yield of the cell stands for the prediction. ``history``, ``medians`` and the
+    ``shared`` inputs are built here unless given. Climate, plots and yields are read once each.
+    A repeated row of coordinates, soils, references or medians fails the build.
     """
+    shared = shared or shared_inputs(tables, settings)
     history, (dept_medians, crop_medians) = run_together(
         tables.soils.sparkSession,
-        lambda: history or yield_history(tables, settings),
-        lambda: medians or median_areas(tables, settings),
+        lambda: history or yield_history(tables, settings, shared.past(settings.history_years)),
+        lambda: medians or median_areas(tables, settings, shared),
     )
-    rows = suitability(tables, settings, extra=history.cells)
+    rows = suitability(tables, settings, extra=history.cells, shared=shared)
     rows = with_features(with_references(rows, history.defaults))
     rows = (
         predict(rows) if predict else rows.withColumn("predicted", F.col("ref_yield_q_ha"))

@@ -12,6 +12,7 @@ from fieldcast.operators.together import run_together
 from fieldcast.plans.fact import median_areas, prediction_mask, projection_fact
 from fieldcast.plans.model import YieldModel, predict_by_crop, train_yield_model, usable_rows
 from fieldcast.plans.quality import duplicate_examples, fact_violations, partition_summary
+from fieldcast.plans.shared import shared_inputs
 from fieldcast.plans.yields import yield_history
 from fieldcast.settings import Settings
 from fieldcast.sources.factstore import replace_partitions
@@ -88,7 +89,7 @@ def checked_partitions(fact: DataFrame, settings: Settings, crops) -> tuple[dict
     return {k: n for k, n in counts.items() if k not in errors}, errors
 
 
-def build_fact(tables, settings: Settings, history, models, medians) -> tuple:
+def build_fact(tables, settings: Settings, history, models, medians, shared=None) -> tuple:
     """Staged fact rows of all partitions and the errors of those that cannot be built.
 
     One plan builds everything. Only if that fails are the partitions built one by one, to
@@ -97,7 +98,7 @@ def build_fact(tables, settings: Settings, history, models, medians) -> tuple:
     def build(part: Settings) -> DataFrame:
         used = [m for m in models if m.crop_id in part.crops]
         return stage(
-            projection_fact(tables, part, history, predict_by_crop(used, prediction_mask()), medians), "fact"
+            projection_fact(tables, part, history, predict_by_crop(used, prediction_mask()), medians, shared), "fact"
         )
 
     try:
@@ -131,14 +132,15 @@ def run_projection(
     settings = (settings or Settings()).narrowed(crops, horizons)
     check_constraints(tables, settings)
     with staging_run(spark):
-        history = yield_history(tables, settings)
+        shared = shared_inputs(tables, settings)
+        history = yield_history(tables, settings, shared.past(settings.history_years))
         (models, failed), medians = run_together(
-            spark, lambda: train_models(history, settings), lambda: median_areas(tables, settings)
+            spark, lambda: train_models(history, settings), lambda: median_areas(tables, settings, shared)
         )
         results = [(c, None, 0, e) for c, e in failed.items()]
         if models:
             trained = settings.narrowed(crops=[m.crop_id for m in models])
-            fact, unbuilt = build_fact(tables, trained, history, models, medians)
+            fact, unbuilt = build_fact(tables, trained, history, models, medians, shared)
             sound, errors = {}, {}
             if fact is not None:
                 sound, errors = checked_partitions(fact, trained, trained.crops)

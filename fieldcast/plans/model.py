@@ -94,6 +94,13 @@ def errors(predicted: DataFrame, column: str = "predicted") -> dict[str, float]:
     return {m: score.setMetricName(m).evaluate(predicted) for m in ("mae", "r2")}
 
 
+def in_fixed_order(rows: DataFrame) -> DataFrame:
+    """The same rows in the same partitions and order, however the table they come from lies in
+    files: the forest draws its samples by partition and row, and a repeated run must draw the same."""
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(n, "cell_id", "year").sortWithinPartitions(*rows.columns)
+
+
 def train_yield_model(
     crop_id: int, trimmed: DataFrame, settings: Settings, n_valid: int | None = None,
 ) -> YieldModel:
@@ -101,7 +108,7 @@ def train_yield_model(
 
     ``n_valid`` is the number of usable rows before trimming; too few fail the crop.
     """
-    rows = trimmed.where(F.col("crop_id") == crop_id)
+    rows = in_fixed_order(trimmed.where(F.col("crop_id") == crop_id))
     past = F.col("year") <= settings.last_training_year
     counts = rows.agg(
         F.count("*").alias("all"), F.count_if(past).alias("old"), F.count_if(~past).alias("new")

@@ -7,8 +7,9 @@ from pyspark.sql import Column, DataFrame, functions as F
 from fieldcast.functions import is_true
 from fieldcast.operators.climate import seasonal_climate
 from fieldcast.operators.dedupe import keep_first
-from fieldcast.operators.footprint import per_cell_map, plot_footprint
-from fieldcast.operators.joins import closed_domain
+from fieldcast.operators.footprint import per_cell_map
+from fieldcast.operators.joins import checked_join, closed_domain
+from fieldcast.plans.shared import SharedInputs, grown_cells
 from fieldcast.settings import SEASON_MONTHS, Settings
 
 DIMENSIONS = ["dept_code", "dept_name", "region_code", "region_name", "lat", "lon",
@@ -24,16 +25,17 @@ REASONS = {
 }
 
 
-def cell_dimensions(tables) -> DataFrame:
-    """One row per cell that has both coordinates and a soil; others drop out."""
-    place = keep_first(
-        tables.coordinates.select(F.col("cell_id").cast("long").alias("cell_id"), "lat", "lon"),
-        ["cell_id"], ["lat", "lon"],
-    )
-    soil = keep_first(
-        tables.soils.withColumn("cell_id", F.col("cell_id").cast("long")),
-        ["cell_id"], ["soil_family", "soil_texture", "dept_code", "dept_name"],
-    )
+def cell_dimensions(tables, checked: bool = False) -> DataFrame:
+    """One row per cell that has both coordinates and a soil; others drop out.
+
+    Of several rows for a cell the smallest counts, or, where ``checked``, the plan fails.
+    """
+    place = tables.coordinates.select(F.col("cell_id").cast("long").alias("cell_id"), "lat", "lon")
+    soil = tables.soils.withColumn("cell_id", F.col("cell_id").cast("long"))
+    if checked:
+        return checked_join(place, soil, ["cell_id"], "inner", "one_to_one").select("cell_id", *DIMENSIONS)
+    place = keep_first(place, ["cell_id"], ["lat", "lon"])
+    soil = keep_first(soil, ["cell_id"], ["soil_family", "soil_texture", "dept_code", "dept_name"])
     return place.join(soil, "cell_id").select("cell_id", *DIMENSIONS)
 
 
@@ -44,10 +46,6 @@ def cells_without_soil(tables) -> DataFrame:
     )
 
 
-def grown_cells(tables, settings: Settings) -> DataFrame:
-    return plot_footprint(tables.plots).where(F.col("crop_id").isin(*settings.crops))
-
-
 def crop_constraints(constraints: DataFrame, settings: Settings) -> DataFrame:
     """One row of bounds per crop of the run, sun bounds in the unit of the climate."""
     typed = constraints.withColumn("crop_id", F.col("crop_id").cast("int"))
@@ -56,34 +54,43 @@ def crop_constraints(constraints: DataFrame, settings: Settings) -> DataFrame:
     })
 
 
-def cell_crop_horizons(tables, settings: Settings, extra: DataFrame | None = None) -> DataFrame:
+def cell_crop_horizons(
+    tables, settings: Settings, extra: DataFrame | None = None, shared: SharedInputs | None = None,
+) -> DataFrame:
     """Cells with everything known about them, spread over crops and horizons.
 
     Seasons and footprints are folded into one row per cell first, so that all joins are
     joins of one row per cell on the same partitioning. Only then does a cell unfold into
     its crops and horizons, which needs no shuffle. ``extra`` is a further per-cell table
-    with a map column ``reference`` by crop.
+    with a map column ``reference`` by crop. With ``shared`` inputs, as in the fact build, neither
+    climate nor plots are read, and a cell that repeats in a dimension or in ``extra`` fails the plan.
     """
     measures = ["temp_avg", "temp_peak", "rain", "sun", "sun_mean", "n_months"]
-    base = seasonal_climate(tables.climate_past, [settings.base_year]).select(
+    base = (
+        shared.past([settings.base_year]) if shared
+        else seasonal_climate(tables.climate_past, [settings.base_year])
+    ).select(
         "cell_id",
         F.col("temp_avg").alias("base_temp_avg"), F.col("temp_peak").alias("base_temp_peak"),
         F.col("rain").alias("base_rain"), F.col("sun").alias("base_sun"),
     )
     ahead = per_cell_map(
-        seasonal_climate(tables.climate_future, list(settings.horizons)),
+        shared.future(settings.horizons) if shared
+        else seasonal_climate(tables.climate_future, list(settings.horizons)),
         "year", measures, "ahead",
     )
-    grown = per_cell_map(grown_cells(tables, settings), "crop_id", ["area", "plot_count"], "grown")
+    grown = per_cell_map(
+        shared.grown if shared else grown_cells(tables, settings), "crop_id", ["area", "plot_count"], "grown")
     cells = (
-        cell_dimensions(tables)
+        cell_dimensions(tables, checked=shared is not None)
         .join(ahead, "cell_id", "left")
         .join(grown, "cell_id", "left")
         .join(base, "cell_id", "left")
     )
     kept = ["cell_id", *DIMENSIONS, "base_temp_avg", "base_temp_peak", "base_rain", "base_sun"]
     if extra is not None:
-        cells = cells.join(extra, "cell_id", "left")
+        cells = (
+            checked_join(cells, extra, ["cell_id"]) if shared else cells.join(extra, "cell_id", "left"))
         reference = [F.try_element_at("reference", F.col("crop_id")).alias("reference")]
     else:
         reference = []
@@ -164,13 +171,14 @@ def judged(rows: DataFrame) -> DataFrame:
 
 def suitability(
     tables, settings: Settings, keep_hidden: bool = False, extra: DataFrame | None = None,
+    shared: SharedInputs | None = None,
 ) -> DataFrame:
     """Flags, reasons and status per cell, crop and horizon.
 
     Constraint columns stay in the result for the scoring. Cells neither grown nor suitable
     are left out unless ``keep_hidden``.
     """
-    rows = cell_crop_horizons(tables, settings, extra)
+    rows = cell_crop_horizons(tables, settings, extra, shared)
     bounds = crop_constraints(tables.constraints, settings)
     result = judged(suitability_flags(rows.join(F.broadcast(bounds), "crop_id")))
     return result if keep_hidden else result.where("is_grown OR suitable")

@@ -28,15 +28,16 @@ def _soil_families(tables) -> DataFrame:
     )
 
 
-def yield_training_set(tables, settings: Settings) -> DataFrame:
+def yield_training_set(tables, settings: Settings, seasons: DataFrame | None = None) -> DataFrame:
     """Yields above zero on a grown area, with the complete season of their year.
 
     The yields are joined as they are to one row per cell and year; a cell with very many
-    yields is split by adaptive execution.
+    yields is split by adaptive execution. ``seasons`` of the history years are computed here
+    unless given.
     """
-    seasons = complete_seasons(
-        seasonal_climate(tables.climate_past, settings.history_years, by_cell=False)
-    )
+    if seasons is None:
+        seasons = seasonal_climate(tables.climate_past, settings.history_years, by_cell=False)
+    seasons = complete_seasons(seasons)
     grown = tables.yields.where(
         F.col("crop_id").isin(*settings.crops)
         & (F.col("yield_q_ha") > 0)
@@ -140,13 +141,13 @@ class YieldHistory:
     defaults: DataFrame
 
 
-def yield_history(tables, settings: Settings) -> YieldHistory:
+def yield_history(tables, settings: Settings, seasons: DataFrame | None = None) -> YieldHistory:
     """Read the climate history once; everything after works on staged rows.
 
     Both tables keyed by crop come from crops of the run, a closed list, so they may be
     broadcast.
     """
-    training = stage(valid_rows(yield_training_set(tables, settings)), "training")
+    training = stage(valid_rows(yield_training_set(tables, settings, seasons)), "training")
     bounds = stage(yield_bounds(training), "yield-bounds")
     trimmed = trimmed_yields(training, bounds)
     cells = per_cell_map(

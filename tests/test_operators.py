@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from fieldcast.operators.climate import bias_correct, complete_seasons, monthly_climate, seasonal_climate
 from fieldcast.operators.dedupe import keep_first, keep_largest
 from fieldcast.operators.footprint import plot_footprint, plot_stats
-from fieldcast.operators.joins import closed_domain, spread_join
+from fieldcast.operators.joins import checked_join, closed_domain, key_counts, spread_join
 from fieldcast.operators.mesh import assign_cell, candidates, mesh_step_km
 from fieldcast.operators import quantiles
 from fieldcast.operators.quantiles import exact_quantiles, quantile_table
@@ -220,3 +220,20 @@ def test_tidy_keeps_large_values_and_nan(spark):
     rows = tidy(spark.createDataFrame([(1e15,), (-1e20,), (float("nan"),), (1.234567,), (None,)], "x double")).collect()
     got = [r["x"] for r in rows]
     assert got[0] == 1e15 and got[1] == pytest.approx(-1e20) and math.isnan(got[2]) and got[3] == 1.23457 and got[4] is None
+
+
+def test_checked_join(spark):
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, t string")
+    right = spark.createDataFrame([(1, "x"), (3, "z"), (None, "n"), (None, "m")], "k int, u string")
+    got = checked_join(left, right, ["k"])
+    assert got.columns == ["k", "t", "u"] and got.count() == 5 and got.where("u IS NOT NULL").count() == 1
+    assert checked_join(left, right, ["k"], "inner").count() == 1
+    with pytest.raises(Exception, match=r'repeated key in the left table: .*"k":2'):
+        checked_join(left, right, ["k"], validate="one_to_one").collect()
+    with pytest.raises(Exception, match=r'repeated key in the right table: .*"k":2'):
+        checked_join(right, left, ["k"]).count()
+    assert checked_join(right, left, ["k"], "inner", "one_to_many").count() == 1
+    with pytest.raises(ValueError, match="many_to_many"):
+        checked_join(left, right, ["k"], validate="many_to_many")
+    assert tuple(key_counts(left, ["k"]).first()) == (5, 3, 1, 2)
+    assert tuple(key_counts(left.where("false"), ["k"]).first()) == (0, 0, 0, 0)

@@ -195,3 +195,43 @@ def test_series(spark, tables, run, without):
     cells = table(compare_all_cells(t, run), "cell_id", "year")
     assert cells[2, 2054]["national"] == 12.0 and cells[2, 2054]["cell"] is None
     assert cells[1, 2024]["cell"] == 15.0 and (3, 2084) in cells and (1, 2084) not in cells
+
+
+def test_repeated_rows_fail_the_fact_build(tables, without, run, history, spark):
+    """Coordinates, soils, references and medians are declared unique; a repeated row raises there."""
+    from dataclasses import replace
+
+    from fieldcast.plans.fact import median_areas, projection_fact, with_areas
+    from fieldcast.plans.shared import shared_inputs
+
+    for name in ("coordinates", "soils"):
+        df = getattr(tables, name)
+        twice = without(**{name: df.unionByName(df.where("cell_id = 2"))})
+        with pytest.raises(Exception, match=r"repeated key in the (left|right) table: .*cell_id.*2"):
+            projection_fact(twice, run, history).collect()
+    cells = history.cells.unionByName(history.cells.where("cell_id = 1"))
+    shared = shared_inputs(tables, run)
+    with pytest.raises(Exception, match="repeated key in the right table"):
+        projection_fact(tables, run, replace(history, cells=cells), shared=shared).collect()
+    by_dept, by_crop = median_areas(tables, run, shared)
+    with pytest.raises(Exception, match="repeated key in medians by department"):
+        projection_fact(tables, run, history, medians=(by_dept.union(by_dept), by_crop), shared=shared).collect()
+    assert with_areas is not None and projection_fact(
+        tables, run, history, medians=(by_dept, by_crop), shared=shared).count() == 14
+
+
+def test_shared_inputs_equal_separate_ones(tables, run, fact, history):
+    from dataclasses import replace
+
+    from fieldcast.operators.climate import seasonal_climate
+    from fieldcast.plans.shared import shared_inputs
+
+    outside = replace(run, base_year=2024, history_years=(2018, 2020))
+    shared = shared_inputs(tables, outside)
+    rows = lambda df: sorted(map(str, df.collect()))
+    for mine, separate in (
+        (shared.past((2018, 2020)), seasonal_climate(tables.climate_past, (2018, 2020))),
+        (shared.past([2024]), seasonal_climate(tables.climate_past, [2024])),
+        (shared.future([2054]), seasonal_climate(tables.climate_future, [2054])),
+    ):
+        assert mine.count() and rows(mine.select(separate.columns)) == rows(separate)
