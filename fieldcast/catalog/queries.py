@@ -24,6 +24,7 @@ from fieldcast.operators.mesh import assign_cell
 from fieldcast.operators.quantiles import exact_quantiles
 from fieldcast.operators.staging import stage, staged_path
 from fieldcast.plans import department_models as D
+from fieldcast.plans import department_ridge as G
 from fieldcast.plans import marts as M
 from fieldcast.plans import quality as Q
 from fieldcast.plans import series as E
@@ -137,11 +138,7 @@ def plot_stats(spark, folder):
 
 @query
 def distinct_counts(spark, folder):
-    return tidy(tables(spark, folder).plots.agg(
-        F.count_distinct("plot_id").alias("n_plots"),
-        F.count_distinct("cell_id").alias("n_cells"),
-        F.sum("area_ha").alias("total_area"),
-    ))
+    return tidy(P.distinct_counts(tables(spark, folder).plots))
 
 
 @query
@@ -688,6 +685,32 @@ def department_baseline_errors(spark, folder):
     return tidy(D.baseline_errors(D.department_baseline(_dept_yields(spark, folder)), SETTINGS))
 
 
+def gram_digits() -> dict[str, int]:
+    """Digits kept of the sums: those with rain run into the billions."""
+    columns = [*G.INPUTS, G.TARGET]
+    names = [G.product_name(a, b) for i, a in enumerate(columns) for b in columns[i:]]
+    return {n: -3 if "rain" in n else 3 for n in names} | {f"sum_{c}": 1 if c == "rain" else 3 for c in columns}
+
+
+@query
+def department_gram(spark, folder):
+    """Sums of values and products over the department rows of the training years."""
+    train, _ = G.split(G.department_inputs(_dept_yields(spark, folder)), SETTINGS)
+    return tidy(G.gram_sums(train), **gram_digits())
+
+
+@query
+def department_ridge(spark, folder):
+    """Errors of the historical mean and of the ridge solved from those sums."""
+    return tidy(G.ridge_and_baseline(G.department_inputs(_dept_yields(spark, folder)), SETTINGS), 4)
+
+
+@query
+def department_regressors(spark, folder):
+    """The same with boosted trees beside them, which SQL cannot train."""
+    return tidy(G.department_models(G.department_inputs(_dept_yields(spark, folder)), SETTINGS), 4)
+
+
 @query
 def model_comparison(spark, folder):
     """Regressors side by side, with the soil match as a further input."""

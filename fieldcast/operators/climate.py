@@ -40,12 +40,15 @@ def monthly_climate(climate: DataFrame, years=None, tags=()) -> DataFrame:
     )
 
 
-def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True, tags=()) -> DataFrame:
+def seasonal_climate(
+    climate: DataFrame, years=None, by_cell: bool = True, tags=(), dealt: bool = False,
+) -> DataFrame:
     """Season figures per cell and year.
 
     With ``by_cell`` the months are spread by cell alone, so that this grouping and any
     later join or grouping by cell need no further shuffle; without, the result suits a
-    join by cell and year. By then a cell has at most five rows a year, whatever its share
+    join by cell and year. Where the climate is ``dealt`` out by cell already (a bucketed table),
+    nothing moves at all. By then a cell has at most five rows a year, whatever its share
     of the raw table.
 
     Figures are kept to nine decimals: a mean that is exactly on a bound stays there,
@@ -60,7 +63,7 @@ def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True, tags=
     }
     months = monthly_climate(climate, years, tags)
     return (
-        (months.repartition("cell_id") if by_cell else months)
+        (months.repartition("cell_id") if by_cell and not dealt else months)
         .groupBy(*tags, "cell_id", "year")
         .agg(
             *[round_even(figure, 9).alias(name) for name, figure in figures.items()],
@@ -69,13 +72,15 @@ def seasonal_climate(climate: DataFrame, years=None, by_cell: bool = True, tags=
     )
 
 
-def tagged_seasons(past: DataFrame, future: DataFrame, past_years, horizons) -> DataFrame:
+def tagged_seasons(
+    past: DataFrame, future: DataFrame, past_years, horizons, dealt: bool = False,
+) -> DataFrame:
     """Seasons of past and future years from one pass: as ``seasonal_climate``, with a column
     ``ahead`` that is true for the rows of ``future``."""
     columns = ["cell_id", "year", "month", "temp", "rain", "sun"]
     both = season_rows(past, past_years).select(F.lit(False).alias("ahead"), *columns).unionByName(
         season_rows(future, horizons).select(F.lit(True).alias("ahead"), *columns))
-    return seasonal_climate(both, tags=("ahead",))
+    return seasonal_climate(both, tags=("ahead",), dealt=dealt)
 
 
 def complete_seasons(seasons: DataFrame) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from fieldcast.operators.distinct import bit_counts, merged_bitmaps, number_bitmaps
+
 
 def plot_footprint(plots: DataFrame, positive_only: bool = True) -> DataFrame:
     """Grown area and number of plots per crop and cell.
@@ -20,13 +22,33 @@ def plot_footprint(plots: DataFrame, positive_only: bool = True) -> DataFrame:
     )
 
 
+def cell_bitmaps(plots: DataFrame) -> DataFrame:
+    """The cells of each crop as bitmaps, which also give those of several crops together."""
+    return number_bitmaps(plots.withColumn("crop_id", F.col("crop_id").cast("int")), ["crop_id"], "cell_id")
+
+
 def plot_stats(plots: DataFrame) -> DataFrame:
-    """Distinct plots, distinct cells and area of each crop."""
-    return plots.groupBy(F.col("crop_id").cast("int").alias("crop_id")).agg(
-        F.count_distinct("plot_id").alias("n_plots"),
-        F.count_distinct("cell_id").alias("n_cells"),
-        F.sum("area_ha").alias("total_area"),
-    )
+    """Distinct plots, distinct cells and area of each crop.
+
+    Plots are named by text and counted by value, cells by bitmaps: one distinct count at a time
+    needs no copy of the rows.
+    """
+    counted = plots.groupBy(F.col("crop_id").cast("int").alias("crop_id")).agg(
+        F.count_distinct("plot_id").alias("n_plots"), F.sum("area_ha").alias("total_area"))
+    cells = bit_counts(cell_bitmaps(plots), ["crop_id"], "n_cells")
+    both = counted.unionByName(cells, allowMissingColumns=True).groupBy("crop_id")  # a NULL crop counts too
+    return both.agg(
+        F.max("n_plots").alias("n_plots"), F.coalesce(F.max("n_cells"), F.lit(0)).alias("n_cells"),
+        F.max("total_area").alias("total_area"))
+
+
+def distinct_counts(plots: DataFrame) -> DataFrame:
+    """Distinct plots, distinct cells and area of all crops; the cells from the crops' bitmaps."""
+    counted = plots.agg(F.count_distinct("plot_id").alias("n_plots"), F.sum("area_ha").alias("total_area"))
+    cells = bit_counts(merged_bitmaps(cell_bitmaps(plots), []), [], "n_cells")
+    return counted.unionByName(cells, allowMissingColumns=True).agg(
+        F.max("n_plots").alias("n_plots"), F.coalesce(F.max("n_cells"), F.lit(0)).alias("n_cells"),
+        F.max("total_area").alias("total_area"))
 
 
 def per_cell_map(df: DataFrame, key: str, values: list[str], name: str) -> DataFrame:

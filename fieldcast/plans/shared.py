@@ -44,6 +44,7 @@ def shared_inputs(tables, settings: Settings) -> SharedInputs:
     return SharedInputs(*run_together(
         tables.plots.sparkSession,
         lambda: stage(tagged_seasons(
-            tables.climate_past, tables.climate_future, years, list(settings.horizons)), "seasons"),
+            tables.climate_past, tables.climate_future, years, list(settings.horizons), tables.by_cell),
+            "seasons"),
         lambda: stage(grown_cells(tables, settings), "footprint"),
     ))

@@ -68,7 +68,7 @@ def cell_crop_horizons(
     measures = ["temp_avg", "temp_peak", "rain", "sun", "sun_mean", "n_months"]
     base = (
         shared.past([settings.base_year]) if shared
-        else seasonal_climate(tables.climate_past, [settings.base_year])
+        else seasonal_climate(tables.climate_past, [settings.base_year], dealt=tables.by_cell)
     ).select(
         "cell_id",
         F.col("temp_avg").alias("base_temp_avg"), F.col("temp_peak").alias("base_temp_peak"),
@@ -76,7 +76,7 @@ def cell_crop_horizons(
     )
     ahead = per_cell_map(
         shared.future(settings.horizons) if shared
-        else seasonal_climate(tables.climate_future, list(settings.horizons)),
+        else seasonal_climate(tables.climate_future, list(settings.horizons), dealt=tables.by_cell),
         "year", measures, "ahead",
     )
     grown = per_cell_map(

@@ -20,6 +20,8 @@ class Tables:
     plots: DataFrame
     yields: DataFrame
 
+    by_cell = False  # whether rows lie by cell already, see write_cell_tables
+
     def checked(self) -> "Tables":
         for field in fields(self):
             require_columns(
@@ -78,6 +80,38 @@ def write_tables(tables: Tables, root: str) -> None:
             df.write.mode("overwrite").parquet(path)
 
 
+class CellTables(Tables):
+    """Tables whose scans come partitioned by cell."""
+
+    by_cell = True
+
+
+CELL_ORDER = {"climate_past": ["cell_id", "year", "month"], "climate_future": ["cell_id", "year", "month"]}
+
+
+def write_cell_tables(tables: Tables, database: str, buckets: int) -> None:
+    """Catalog tables bucketed and sorted by cell, constraints aside.
+
+    A season or footprint of a cell then needs no exchange, nor does any join by cell. The number
+    of buckets should be that of the shuffle partitions of the runs to come: fewer would be dealt
+    out anew. Rows are first dealt out by the same key, so that a bucket is one file.
+    """
+    for field in fields(tables):
+        df = getattr(tables, field.name)
+        if field.name == "constraints":
+            df.write.mode("overwrite").saveAsTable(f"{database}.{field.name}")
+            continue
+        rows = df.withColumn("cell_id", F.col("cell_id").cast("long")).repartition(buckets, "cell_id")
+        order = CELL_ORDER.get(field.name, ["cell_id"])
+        rows.write.mode("overwrite").bucketBy(buckets, "cell_id").sortBy(*order).saveAsTable(
+            f"{database}.{field.name}")
+
+
+def read_cell_tables(spark: SparkSession, database: str) -> CellTables:
+    return CellTables(**{
+        field.name: nan_to_null(spark.table(f"{database}.{field.name}")) for field in fields(CellTables)})
+
+
 def missing_crops(constraints: DataFrame, crops) -> DataFrame:
     """Requested crops that have no constraint row."""
     wanted = constraints.sparkSession.createDataFrame(
