@@ -22,6 +22,7 @@ from fieldcast.operators.dedupe import keep_first
 from fieldcast.operators.joins import key_counts
 from fieldcast.operators.mesh import assign_cell
 from fieldcast.operators.quantiles import exact_quantiles
+from fieldcast.operators.scans import scan_metrics
 from fieldcast.operators.staging import stage, staged_path
 from fieldcast.plans import department_models as D
 from fieldcast.plans import department_ridge as G
@@ -33,15 +34,19 @@ from fieldcast.plans import yields as Y
 from fieldcast.plans.fact import (
     PARTS, prediction_mask, projection_fact, scores_at, with_features,
 )
-from fieldcast.plans.job import run_projection, train_models
+from fieldcast.plans.job import error_class, refresh_partitions, run_projection, train_models
+from fieldcast.plans.martstore import stored_mart
 from fieldcast.plans.model import fill_values, metrics_table, predict_by_crop
 from fieldcast.schemas import SOIL_TEXTURES
-from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS
+from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, Settings
 from fieldcast.sources import driver_tables
 from fieldcast.sources.driver_tables import SETTINGS
 from fieldcast.sources.factstore import read_fact, replace_partitions
-from fieldcast.sources.grid import bbox_filter, clean_grid, kelvin_to_celsius
-from fieldcast.sources.tables import missing_crops
+from fieldcast.sources.grid import (
+    bbox_filter, clean_grid, kelvin_to_celsius, land_csv, requested, write_grid,
+)
+from fieldcast.sources.tables import missing_crops, ordered_constraints, read_query
+from fieldcast.sources.zones import write_csv, zone_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _FACTS: dict[tuple[str, str], DataFrame] = {}
@@ -362,6 +367,46 @@ def partition_overwrite(spark, folder):
     return tidy(read_fact(spark, path).select(*KEY, "status", "base_area"))
 
 
+@query
+def mart_freshness(spark, folder):
+    """A stored mart read twice, and once more after a partition of its facts was replaced."""
+    rows, path = fact(spark, folder), staged_path(spark, "mart-store")
+    replace_partitions(rows, path)
+
+    def read(when: str) -> DataFrame:
+        mart = stored_mart(spark, path, "status_metrics", M.status_metrics)
+        return mart.select(F.lit(when).alias("read"), "crop_id", "horizon_year", "grown_cells", "base_area", "fut_area")
+
+    first, again = read("first"), read("again")
+    changed = rows.where(
+        (F.col("crop_id") == SETTINGS.crops[0]) & (F.col("horizon_year") == SETTINGS.horizons[0])
+    ).withColumn("base_area", F.col("base_area") * 2.0)
+    replace_partitions(changed, path)
+    return tidy(first.unionByName(again).unionByName(read("fresh")))
+
+
+@query
+def failure_isolation(spark, folder):
+    """A refresh in which one partition cannot be built and the rows of another break a rule: both
+    keep their stored rows, all others are replaced."""
+    rows, path = fact(spark, folder), staged_path(spark, "isolation")
+    replace_partitions(rows.withColumn("model_version", F.lit("first")), path)
+    crop, horizon = F.col("crop_id"), F.col("horizon_year")
+
+    def build(part: Settings) -> DataFrame:
+        here = rows.where(crop.isin(*part.crops) & horizon.isin(*part.horizons))
+        return here.withColumns({
+            "model_version": F.lit("second"),
+            "fut_area": F.when((crop == 1) & (horizon == 1999), F.raise_error(F.lit("no season")).cast("double"))
+            .when((crop == 2) & (horizon == 2000), -1.0).otherwise(F.col("fut_area")),
+        })
+
+    results = refresh_partitions(spark, build, path, SETTINGS).withColumn("error_class", error_class(F.col("error")))
+    stored = read_fact(spark, path).groupBy("crop_id", "horizon_year", F.col("model_version").alias("stored_by")).agg(
+        F.count("*").alias("n_stored"))
+    return results.drop("error").join(stored, ["crop_id", "horizon_year"], "full")
+
+
 # --- marts ---------------------------------------------------------------------------------
 
 @query
@@ -454,6 +499,45 @@ def grid_clean(spark, folder):
     return tidy(clean_grid(_grid(spark, folder)))
 
 
+LANDED = T.StructType([
+    T.StructField("time", T.TimestampNTZType()), T.StructField("lat", T.DoubleType()),
+    T.StructField("lon", T.DoubleType()), T.StructField("tas", T.DoubleType())])
+
+
+@query
+def landing_round_trip(spark, folder):
+    """Order lines landed as a CSV, some with an unreadable number or time: cleaned, written as
+    Parquet and CSV, both read back by type, with the number of lines that did not fit."""
+    lines = _grid(spark, folder).select(
+        F.when(F.col("lon") > 8.5, F.concat(F.lit("on "), F.col("time").cast("string")))
+        .otherwise(F.col("time").cast("string")).alias("time"),
+        "lat", "lon", F.coalesce(F.col("tas").cast("string"), F.lit("n/a")).alias("tas"))
+    root = staged_path(spark, "zones")
+    write_csv(lines, zone_path(root, "bronze", "lines"))
+    silver, rejected = land_csv(spark, root, "lines", "lines", LANDED)
+    by_year = silver.groupBy(F.year("time").alias("year")).agg(
+        F.count("*").alias("n_rows"), F.sum("temp_celsius").alias("temp_sum"))
+    refused = rejected.agg(F.count("*").alias("n_rejected"))
+    return tidy(by_year.crossJoin(F.broadcast(refused)))  # one row
+
+
+@query
+def source_request(spark, folder):
+    """Years, months and a box asked of a landed grid: what comes back, the folders that the scan
+    opened, and whether it decoded fewer rows than they hold."""
+    path = staged_path(spark, "landed")
+    write_grid(_grid(spark, folder), path, page_rows=50)
+    landed = spark.read.parquet(path)
+    years, months = [1996, 1998], [5, 6, 7]
+    rows = requested(landed, years, months, north=46.05, west=-3.05, south=44.95, east=5.05)
+    (scan,) = scan_metrics(rows.select("time", "lat", "lon", "tas"))
+    there = landed.where(F.col("year").isin(*years) & F.col("month").isin(*months)).count()
+    return tidy(rows.groupBy(F.year("time").alias("year"), F.month("time").alias("month")).agg(
+        F.count("*").alias("n_rows"), F.count("tas").alias("n_values"), F.sum("tas").alias("tas_sum"),
+    ).withColumns({
+        "n_folders": F.lit(int(scan["folders"])), "skipped_rows": F.lit(scan["rows"] < there)}))
+
+
 @query
 def dedupe_first(spark, folder):
     lines = spark.read.parquet(f"{folder}/lineitem.parquet")
@@ -567,6 +651,56 @@ def fact_violations(spark, folder):
     return Q.fact_violations(spoilt)
 
 
+@query
+def first_repeated_keys(spark, folder):
+    """The first ten repeated keys of a table, as an error message names them."""
+    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    return Q.first_duplicates(lines, ["l_orderkey", "l_linenumber"])
+
+
+@query
+def empty_inputs(spark, folder):
+    """Which inputs of a run hold no row; the climate of a year to come holds none."""
+    t = tables(spark, folder)
+    return Q.emptiness({
+        "coordinates": t.coordinates, "soils": t.soils, "plots": t.plots, "yields": t.yields,
+        "past": t.climate_past, "future": t.climate_future, "future 2054": t.climate_future.where("year = 2054")})
+
+
+@query
+def constraints_in_order(spark, folder):
+    """The constraints by crop, with the plots and cells that each crop has."""
+    t = tables(spark, folder)
+    stats = P.plot_stats(t.plots).select("crop_id", "n_plots", "n_cells")
+    return ordered_constraints(t.constraints.join(stats, "crop_id", "left").select(
+        F.col("crop_id").cast("int").alias("crop_id"), "crop_name", "temp_opt_min", "temp_opt_max", "n_plots", "n_cells"))
+
+
+@query
+def bound_parameters(spark, folder):
+    """A SQL text with named values, bound and not pasted in: a value that looks like SQL stays a value."""
+    text = f"""SELECT l_returnflag AS flag, count(*) AS n_lines, min(l_shipdate) AS first_day
+        FROM parquet.`{folder}/lineitem.parquet`
+        WHERE l_quantity BETWEEN :low AND :high AND l_returnflag <> :flag GROUP BY l_returnflag"""
+    return read_query(spark, text, {"low": 10, "high": 20.5, "flag": "A' OR 'a' = 'a"})
+
+
+@query
+def divisor_checks(spark, folder):
+    """Which of the discounts and brands of the tables a run takes as its divisor of the sun bounds:
+    numbers above zero only. Both columns have a few distinct values."""
+    discounts = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        (F.col("l_discount") + F.lit(0.0)).cast("string").alias("divisor"))
+    brands = spark.read.parquet(f"{folder}/part.parquet").select(F.col("p_brand").alias("divisor"))
+    checked = []
+    for value in sorted(r[0] for r in discounts.union(brands).distinct().collect()):
+        try:
+            checked.append((value, True, Settings(sun_divisor=value).sun_divisor))
+        except ValueError:
+            checked.append((value, False, None))
+    return spark.createDataFrame(checked, "divisor string, accepted boolean, used double")
+
+
 @query
 def partition_summary(spark, folder):
     return tidy(Q.partition_summary(fact(spark, folder)))
@@ -643,6 +777,19 @@ def prediction_checks(spark, folder):
         F.count_if(F.col("fut_yield") < 0).alias("n_negative"))
 
 
+@query
+def models_per_crop(spark, folder):
+    """One model per crop, trained on all its trimmed rows and used for every horizon."""
+    found = models(spark, folder)
+    trained = spark.createDataFrame(
+        [(m.crop_id, len([x for x in found if x.crop_id == m.crop_id]), m.metrics["n_rows"]) for m in found],
+        "crop_id int, n_models int, n_rows long")
+    rows = with_features(S.suitability(tables(spark, folder), SETTINGS))
+    used = predict_by_crop(found, prediction_mask())(rows).where("predicted IS NOT NULL").groupBy("crop_id").agg(
+        F.count_distinct("horizon_year").alias("n_horizons"), F.count("*").alias("n_predicted"))
+    return trained.join(used, "crop_id", "left")
+
+
 @query
 def soil_feature(spark, folder):
     """The soil match as a model input, by crop and soil family."""
@@ -720,6 +867,18 @@ def model_comparison(spark, folder):
     return D.compare_models(rows, SETTINGS, features=[*Y.FEATURES, "soil_score"])
 
 
+@query
+def comparison_rows(spark, folder):
+    """The rows behind each regressor of the comparison."""
+    return D.comparison_sizes(history(spark, folder).trimmed, SETTINGS)
+
+
+@query
+def department_folds(spark, folder):
+    """The departments and rows that each fold of the test on unseen departments leaves out."""
+    return D.fold_sizes(_dept_yields(spark, folder))
+
+
 @query
 def unknown_department(spark, folder):
     return D.unknown_departments(stage(_dept_yields(spark, folder), "dept-yields"), settings=SETTINGS)

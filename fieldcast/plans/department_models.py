@@ -107,7 +107,23 @@ def compare_models(
 
 
 def dept_fold(code) -> "F.Column":
-    return F.pmod(F.xxhash64(code), F.lit(FOLDS)).cast("int")
+    return (F.crc32(code.cast("binary")) % FOLDS).cast("int")
+
+
+def fold_sizes(rows: DataFrame) -> DataFrame:
+    """``(crop_id, fold, n_departments, n_rows)`` of the folds that ``unknown_departments`` leaves out."""
+    return rows.groupBy("crop_id", dept_fold(F.col("dept_code")).alias("fold")).agg(
+        F.count_distinct("dept_code").alias("n_departments"), F.count("*").alias("n_rows"))
+
+
+def comparison_sizes(trimmed: DataFrame, settings: Settings) -> DataFrame:
+    """``(crop_id, model, n_train, n_test)``: the rows on which each compared regressor is fitted and
+    judged; crops that lack either have none."""
+    past = F.col("year") <= settings.last_training_year
+    counts = trimmed.where(F.col("crop_id").isin(*settings.crops)).groupBy("crop_id").agg(
+        F.count_if(past).alias("n_train"), F.count_if(~past).alias("n_test"))
+    names = F.explode(F.array(*[F.lit(m) for m in regressors()]))
+    return counts.where("n_train > 0 AND n_test > 0").select("crop_id", names.alias("model"), "n_train", "n_test")
 
 
 def unknown_departments(rows: DataFrame, folds=range(FOLDS), settings: Settings | None = None) -> DataFrame:

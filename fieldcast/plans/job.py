@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable
 from functools import partial, reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldcast.operators.staging import stage, staging_run
 from fieldcast.operators.together import run_together
@@ -90,16 +91,23 @@ def checked_partitions(fact: DataFrame, settings: Settings, crops) -> tuple[dict
 
 
 def build_fact(tables, settings: Settings, history, models, medians, shared=None) -> tuple:
-    """Staged fact rows of all partitions and the errors of those that cannot be built.
+    """Staged fact rows of all partitions, by the models of their crops, and the errors of those
+    that cannot be built."""
+    def build(part: Settings) -> DataFrame:
+        used = [m for m in models if m.crop_id in part.crops]
+        return projection_fact(tables, part, history, predict_by_crop(used, prediction_mask()), medians, shared)
+
+    return built_partitions(build, settings)
+
+
+def built_partitions(fact_of: Callable[[Settings], DataFrame], settings: Settings) -> tuple:
+    """Staged rows of all partitions of ``settings`` and the errors of those that cannot be built.
 
     One plan builds everything. Only if that fails are the partitions built one by one, to
     tell the sound ones from the others.
     """
     def build(part: Settings) -> DataFrame:
-        used = [m for m in models if m.crop_id in part.crops]
-        return stage(
-            projection_fact(tables, part, history, predict_by_crop(used, prediction_mask()), medians, shared), "fact"
-        )
+        return stage(fact_of(part), "fact")
 
     try:
         return build(settings), {}
@@ -118,6 +126,43 @@ def build_fact(tables, settings: Settings, history, models, medians, shared=None
     return (reduce(DataFrame.unionByName, built) if built else None), errors
 
 
+def store_sound(fact: DataFrame | None, unbuilt: dict, fact_path: str | None, settings: Settings) -> list[tuple]:
+    """Check built rows and replace the stored partitions that passed, all at once; ``(crop, horizon,
+    n_rows, error)`` of every partition. Without a path nothing is written."""
+    sound, errors = {}, {}
+    if fact is not None:
+        sound, errors = checked_partitions(fact, settings, settings.crops)
+        for row in partition_summary(fact).collect():
+            log.info("%s", row.asDict())
+    errors |= unbuilt
+    if sound and fact_path is not None:
+        good = F.lit(False)
+        for crop, horizon in sound:
+            good = good | ((F.col("crop_id") == crop) & (F.col("horizon_year") == horizon))
+        replace_partitions(fact.where(good), fact_path)
+    return [(c, h, 0, e) for (c, h), e in errors.items()] + [(c, h, n, None) for (c, h), n in sound.items()]
+
+
+def refresh_partitions(
+    spark: SparkSession, fact_of: Callable[[Settings], DataFrame], fact_path: str, settings: Settings,
+) -> DataFrame:
+    """Build partitions by ``fact_of``, check them, and replace the sound ones; every failure stays
+    in its partition, whose stored rows stay too. ``(crop_id, horizon_year, n_rows, error)``."""
+    with staging_run(spark):
+        results = store_sound(*built_partitions(fact_of, settings), fact_path, settings)
+    return spark.createDataFrame(results, RESULT).orderBy("crop_id", "horizon_year")
+
+
+def error_class(error: Column) -> Column:
+    """What kind of failure a result's text tells of: the rule that rows broke, or Spark's name of
+    the error condition; NULL for none."""
+    conditions = F.regexp_extract_all(error, F.lit(r"\[([A-Z_]+)[.\]]"), 1)  # the cause comes last
+    condition = F.try_element_at(conditions, F.lit(-1))
+    rule = F.regexp_extract(error, r"^([a-z_]+): \d+", 1)
+    return F.when(error.isNull(), None).otherwise(F.coalesce(
+        F.nullif(rule, F.lit("")), condition, F.lit("other")))
+
+
 def run_projection(
     spark: SparkSession, tables, fact_path: str | None, settings: Settings | None = None,
     crops=None, horizons=None, dry_run: bool = False, raise_on_failure: bool = True,
@@ -130,6 +175,8 @@ def run_projection(
     written. Intermediate tables lie in one folder, which is removed at the end.
     """
     settings = (settings or Settings()).narrowed(crops, horizons)
+    if fact_path is None and not dry_run:
+        raise ValueError("a run that is not dry needs a path for the fact table")
     check_constraints(tables, settings)
     with staging_run(spark):
         shared = shared_inputs(tables, settings)
@@ -141,19 +188,7 @@ def run_projection(
         if models:
             trained = settings.narrowed(crops=[m.crop_id for m in models])
             fact, unbuilt = build_fact(tables, trained, history, models, medians, shared)
-            sound, errors = {}, {}
-            if fact is not None:
-                sound, errors = checked_partitions(fact, trained, trained.crops)
-                for row in partition_summary(fact).collect():
-                    log.info("%s", row.asDict())
-            errors |= unbuilt
-            results += [(c, h, 0, e) for (c, h), e in errors.items()]
-            results += [(c, h, n, None) for (c, h), n in sound.items()]
-            if sound and not dry_run:
-                good = F.lit(False)
-                for crop, horizon in sound:
-                    good = good | ((F.col("crop_id") == crop) & (F.col("horizon_year") == horizon))
-                replace_partitions(fact.where(good), fact_path)
+            results += store_sound(fact, unbuilt, None if dry_run else fact_path, trained)
     frame = spark.createDataFrame(results, RESULT).orderBy("crop_id", "horizon_year")
     broken = [r for r in results if r[3]]
     if broken and raise_on_failure:

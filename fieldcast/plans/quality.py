@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, functions as F
 
 from fieldcast.functions import is_true
@@ -20,9 +22,22 @@ def duplicate_keys(fact: DataFrame, key=FACT_KEY) -> DataFrame:
     return fact.groupBy(*key).agg(F.count("*").alias("n_rows")).where("n_rows > 1")
 
 
+def first_duplicates(fact: DataFrame, key=FACT_KEY, n: int = 10) -> DataFrame:
+    """The first ``n`` repeated keys in order, with their number of rows."""
+    return duplicate_keys(fact, key).orderBy(*key).limit(n)
+
+
+def emptiness(frames: dict[str, DataFrame]) -> DataFrame:
+    """``(name, is_empty)``: whether a frame has any row at all, by one row of each."""
+    parts = [
+        df.limit(1).agg((F.count(F.lit(1)) == 0).alias("is_empty")).select(F.lit(name).alias("name"), "is_empty")
+        for name, df in frames.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 def duplicate_examples(fact: DataFrame, key=FACT_KEY, n: int = 10) -> list[tuple]:
     """A few duplicate keys for an error message."""
-    return [tuple(r)[:-1] for r in duplicate_keys(fact, key).limit(n).collect()]
+    return [tuple(r)[:-1] for r in first_duplicates(fact, key, n).collect()]
 
 
 def fact_violations(fact: DataFrame) -> DataFrame:

@@ -15,9 +15,10 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from fieldcast.schemas import FACT, FACT_PARTITIONS
 
 MANIFESTS = "_manifests"
+MARTS = "_marts"
 
 
-def _fs(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """Hadoop's file system of a path, and its constructor of paths."""
     maker = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return maker(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), maker
@@ -28,7 +29,7 @@ def current_manifest(spark: SparkSession, path: str) -> dict:
 
     A manifest has one entry per crop and horizon, a closed list.
     """
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     folder = at(f"{path}/{MANIFESTS}")
     names = [s.getPath().getName() for s in fs.listStatus(folder)] if fs.exists(folder) else []
     numbers = sorted(int(n.removesuffix(".json")) for n in names if n.endswith(".json") and n[0].isdigit())
@@ -38,9 +39,12 @@ def current_manifest(spark: SparkSession, path: str) -> dict:
     return json.loads(lines[0][0])
 
 
-def read_fact(spark: SparkSession, path: str, schema=FACT, partitions=FACT_PARTITIONS) -> DataFrame:
-    """The rows of the newest manifest; filters on the partition columns prune folders."""
-    versions = current_manifest(spark, path)["versions"]
+def read_fact(
+    spark: SparkSession, path: str, schema=FACT, partitions=FACT_PARTITIONS, manifest: dict | None = None,
+) -> DataFrame:
+    """The rows of a manifest, by default the newest one; filters on the partition columns prune
+    folders."""
+    versions = (manifest or current_manifest(spark, path))["versions"]
     if not versions:
         return spark.createDataFrame([], schema)
     found = None
@@ -77,7 +81,7 @@ def switch(spark: SparkSession, path: str, version: str, keys: list[tuple]) -> N
     versions = {v: [k for k in kept if tuple(k) not in taken] for v, kept in old["versions"].items()}
     versions = {v: kept for v, kept in versions.items() if kept} | {version: [list(k) for k in keys]}
     number = old["number"] + 1
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     temporary, final = (at(f"{path}/{MANIFESTS}/{n}") for n in (f".{uuid.uuid4().hex}", f"{number:012d}.json"))
     out = fs.create(temporary)
     out.write(json.dumps({"number": number, "versions": versions}).encode())
@@ -104,9 +108,9 @@ def replace_partitions(df: DataFrame, path: str, partitions=FACT_PARTITIONS) ->
 
 
 def vacuum(spark: SparkSession, path: str) -> None:
-    """Remove versions that the newest manifest does not list, and older manifests."""
+    """Remove versions that the newest manifest does not list, older manifests and their marts."""
     manifest = current_manifest(spark, path)
-    fs, at = _fs(spark, path)
+    fs, at = file_system(spark, path)
     for status in fs.listStatus(at(path)):
         name = status.getPath().getName()
         if name.startswith("version-") and name not in manifest["versions"]:
@@ -114,3 +118,8 @@ def vacuum(spark: SparkSession, path: str) -> None:
     for status in fs.listStatus(at(f"{path}/{MANIFESTS}")):
         if status.getPath().getName() != f"{manifest['number']:012d}.json":
             fs.delete(status.getPath(), False)
+    marts = at(f"{path}/{MARTS}")
+    for mart in fs.listStatus(marts) if fs.exists(marts) else []:
+        for status in fs.listStatus(mart.getPath()):
+            if status.getPath().getName() != f"{manifest['number']:012d}":
+                fs.delete(status.getPath(), True)

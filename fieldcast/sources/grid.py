@@ -7,7 +7,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from fieldcast.functions import coerce_double, round_even
 from fieldcast.operators.dedupe import keep_first
 from fieldcast.settings import SOURCE_BOX
-from fieldcast.sources.zones import read_grid, write_csv, write_parquet, zone_path
+from fieldcast.sources.zones import (
+    read_grid, read_typed_csv, sound_lines, write_csv, write_parquet, zone_path,
+)
 
 # Fixed values.
 TEMP_COLUMNS = ("t2m", "tas", "2m_air_temperature", "tasmax")
@@ -88,3 +90,47 @@ def bronze_to_silver(
     cleaned = spark.read.parquet(silver)
     write_csv(cleaned, zone_path(root, "silver", f"{target}_clean_csv"))
     return cleaned
+
+
+def land_csv(
+    spark: SparkSession, root: str, source: str, target: str, schema, **options
+) -> tuple[DataFrame, DataFrame]:
+    """Read a landed CSV by its declared types, keep the lines that do not fit beside it, write the
+    cleaned rows to silver as Parquet and as CSV, and read both of those back.
+
+    Returns (silver rows, rejected lines). The silver CSV is read by the types of the Parquet copy
+    and must hold the same rows; a line of it that does not fit fails the landing.
+    """
+    typed = read_typed_csv(spark, zone_path(root, "bronze", source), schema)
+    sound, rejected = sound_lines(typed)
+    refused = zone_path(root, "bronze", f"{target}_rejected")
+    write_parquet(rejected, refused)
+    silver = zone_path(root, "silver", f"{target}_clean")
+    write_parquet(clean_grid(sound, **options), silver)
+    cleaned = spark.read.parquet(silver)
+    write_csv(cleaned, zone_path(root, "silver", f"{target}_clean_csv"))
+    again, broken = sound_lines(read_typed_csv(spark, zone_path(root, "silver", f"{target}_clean_csv"), cleaned.schema))
+    n = again.count()
+    if not broken.isEmpty() or n != cleaned.count():
+        raise ValueError(f"{target}: the silver CSV does not hold the rows of the Parquet copy")
+    return again, spark.read.parquet(refused)
+
+
+#: Layout of a landed grid that is asked for by period and box: folders by year and month, rows by
+#: latitude in small pages, so that whole folders, row groups and pages can be left out.
+PAGE_ROWS = 500
+
+
+def write_grid(df: DataFrame, path: str, page_rows: int = PAGE_ROWS) -> None:
+    rows = df.withColumns({"year": F.year("time"), "month": F.month("time")})
+    (
+        rows.hint("rebalance", "year", "month").sortWithinPartitions("year", "month", "lat", "lon")
+        .write.mode("overwrite").option("parquet.page.row.count.limit", page_rows)
+        .partitionBy("year", "month").parquet(path)
+    )
+
+
+def requested(df: DataFrame, years=None, months=None, **box) -> DataFrame:
+    """Rows of a landed grid by years, months and box (north, west, south, east) together."""
+    rows = select_period(df, years, months)
+    return bbox_filter(rows, **box) if box else rows
