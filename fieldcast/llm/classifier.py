@@ -222,7 +222,7 @@ def quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of ``docs`` predicted good, with their columns unchanged."""
+    """The rows of ``docs`` predicted good, with their columns unchanged, whatever their names."""
     model = fit(docs, labels)
-    return docs.withColumn("_score", score_column(F.col("text"), model)).where(
-        F.col("_score") >= THRESHOLD).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), score_column(F.col("text"), model).alias("score"))
+    return rows.where(F.col("score") >= THRESHOLD).select("row.*")

@@ -2,9 +2,11 @@
 
 Each text becomes two histograms: its characters by class and its common words. Both are
 compared with those of the reference languages by the Jensen-Shannon distance (base 2, from 0
-to 1); a text that is close to no language in both is not kept. References are summed over
-all documents of a language. Texts below the minimum lengths are not judged by divergence,
-as their histograms are mostly noise.
+to 1); a text of a listed language that is close to no reference in both is not kept. References
+are fixed shares, so the verdict on a text depends on nothing but the text and its language: it
+is the same alone, in a small table and among billions. Texts of languages without a reference
+are held to the base rule alone, and texts below the minimum lengths are not judged by
+divergence, as their histograms are mostly noise. One pass, without a shuffle.
 """
 
 from __future__ import annotations
@@ -14,15 +16,26 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldcast.llm.common import write_shared
-
-# The languages and their common words.
+# The languages, their common words, and rounded shares in general prose: of the
+# characters by class (below) and, in percent of all words, of the common words.
 COMMON_WORDS = {
     "en": ["the", "of", "and", "to", "in", "is", "that", "it", "for", "was", "with", "on"],
     "de": ["der", "die", "und", "in", "den", "von", "zu", "das", "mit", "ist", "ein", "nicht"],
     "fr": ["de", "la", "le", "et", "les", "des", "en", "un", "du", "une", "que", "pour"],
     "es": ["de", "la", "que", "el", "en", "y", "los", "se", "del", "las", "un", "por"],
 }
+WORD_SHARES = {
+    "en": [6.0, 3.0, 2.7, 2.6, 2.0, 1.1, 1.1, 1.0, 0.95, 0.9, 0.7, 0.7],
+    "de": [3.3, 3.3, 2.5, 1.8, 1.3, 1.1, 1.1, 1.1, 1.0, 1.0, 0.9, 0.8],
+    "fr": [4.8, 2.7, 2.7, 2.3, 2.1, 2.0, 1.6, 1.5, 1.2, 1.1, 0.9, 0.8],
+    "es": [6.4, 4.1, 3.0, 2.8, 2.7, 2.5, 1.7, 1.1, 1.0, 0.9, 1.0, 0.9],
+}
+CLASS_SHARES = {  # space, upper, digit, stop, symbol, wide; plain letters are the rest
+    "en": [17.0, 2.5, 0.5, 2.5, 0.05, 0.1],
+    "de": [15.0, 5.5, 0.5, 2.5, 0.05, 1.8],
+    "fr": [16.5, 2.0, 0.5, 3.0, 0.05, 3.5],
+    "es": [16.5, 2.0, 0.5, 2.5, 0.05, 2.2],
+}
 CLASSES = ["space", "upper", "digit", "stop", "symbol", "wide", "plain"]
 PATTERNS = {
     "upper": "[A-Z]+", "digit": "[0-9]+", "stop": "[.,;:!?]+", "symbol": "[#*$%&|<>]+",
@@ -33,7 +46,6 @@ MIN_WORDS = 50           # the base rule
 MIN_COMMON = 150         # words, the least for judging by common words
 MIN_CHARS = 200          # characters, the least for judging by character classes
 MAX_REPEATED = 50        # percent of the words in repeated windows
-MIN_REFERENCE = 2000     # words that a language needs to be a reference
 CLASS_LIMIT = 0.30
 WORD_LIMIT = 0.28
 
@@ -103,25 +115,12 @@ def measured(docs: DataFrame, text: str = "text") -> DataFrame:
     ).alias("_m"))
 
 
-def references(
-    measures: DataFrame, lang: str = "lang", least: int = MIN_REFERENCE,
-) -> dict[str, tuple[list[float], list[float], int]]:
-    """Per language with ``least`` words or more the shares of the character classes and of its
-    common words (and of all other words), summed over all rows, and its words. At most one row per listed
-    language is collected."""
-    at = {w: i for i, w in enumerate(vocabulary())}
-    sums = [F.sum(F.col("_m.classes")[i]).alias(f"c{i}") for i in range(len(CLASSES))]
-    sums += [F.sum(F.col("_m.common")[i]).alias(f"w{i}") for i in at.values()]
-    rows = measures.where(F.col(lang).isin(*COMMON_WORDS)).groupBy(lang).agg(
-        F.sum("_m.n_words").alias("n"), *sums).collect()
+def references() -> dict[str, tuple[list[float], list[float]]]:
+    """Per language the shares of the character classes, and of its common words and all others."""
     out = {}
-    for r in sorted(rows, key=lambda r: r[lang]):
-        if r["n"] < least:
-            continue
-        classes = [float(r[f"c{i}"]) for i in range(len(CLASSES))]
-        words = [float(r[f"w{at[w]}"]) for w in COMMON_WORDS[r[lang]]]
-        words.append(r["n"] - sum(words))
-        out[r[lang]] = ([c / sum(classes) for c in classes], [w / sum(words) for w in words], r["n"])
+    for lang in COMMON_WORDS:
+        classes, words = ([x / 100 for x in table[lang]] for table in (CLASS_SHARES, WORD_SHARES))
+        out[lang] = ([*classes, 1 - sum(classes)], [*words, 1 - sum(words)])
     return out
 
 
@@ -143,13 +142,13 @@ def base_failed(m: str = "_m") -> Column:
     return (n < MIN_WORDS) | (100 * F.col(f"{m}.n_repeat_words") > MAX_REPEATED * n)
 
 
-def near(refs: dict[str, tuple[list[float], list[float], int]], m: str = "_m") -> dict[str, Column]:
+def near(m: str = "_m") -> dict[str, Column]:
     """Per reference whether measured texts are close to it in both histograms."""
     at = {w: i for i, w in enumerate(vocabulary())}
     n, classes_of = F.col(f"{m}.n_words"), F.col(f"{m}.classes")
     chars = F.aggregate(classes_of, F.lit(0).cast("long"), lambda a, c: a + c)
     out = {}
-    for lang, (classes, words, _) in refs.items():
+    for lang, (classes, words) in references().items():
         own = [F.col(f"{m}.common")[at[w]] for w in COMMON_WORDS[lang]]
         own.append(n - reduce(lambda a, b: a + b, own))
         out[lang] = (
@@ -158,44 +157,32 @@ def near(refs: dict[str, tuple[list[float], list[float], int]], m: str = "_m") -
     return out
 
 
-def kept(refs: dict[str, tuple[list[float], list[float], int]], m: str = "_m") -> Column:
-    """The verdict on measured texts: the base rule, and closeness to a reference language.
+def kept(lang: str = "lang", m: str = "_m") -> Column:
+    """The verdict on measured texts: the base rule and, where the language of the row is a listed
+    one, closeness to a reference. The reference of another language will do, as labels err."""
+    listed = F.coalesce(F.col(lang).isin(*COMMON_WORDS), F.lit(False))
+    return ~base_failed(m) & (~listed | reduce(lambda a, b: a | b, near(m).values()))
 
-    Without any reference (a small or empty corpus) only the base rule counts.
-    """
-    if not refs:
-        return ~base_failed(m)
-    return ~base_failed(m) & reduce(lambda a, b: a | b, near(refs, m).values())
+
+def held(docs: DataFrame) -> DataFrame:
+    """``measured``, behind a generator. It keeps later filters and columns above the measures:
+    merged with them, they would repeat their expressions once for every use."""
+    return measured(docs).select(*docs.columns, F.explode(F.array("_m")).alias("_m"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept.
 
-    One row per row of ``docs``. Null texts have no words and fail the base rule; a null or
-    unlisted language only keeps a row out of the references. Other columns play no part.
+    One row per row of ``docs``. Null texts have no words and fail the base rule; rows of a null or
+    unlisted language are held to the base rule alone. Other columns play no part.
     """
-    measures = write_shared(measured(docs.select("doc_id", "text", "lang")).select("doc_id", "lang", "_m"), "measures")
-    return measures.select(
+    return held(docs.select("doc_id", "text", "lang")).select(
         "doc_id", *[f"_m.{k}" for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")],
-        base_failed().alias("base_failed"), kept(references(measures)).alias("kept"))
-
-
-def sound(refs: dict[str, tuple[list[float], list[float], int]], lang: str = "lang", m: str = "_m") -> Column:
-    """The verdict by the language of the row: the base rule, and where the row's own language has a
-    reference, closeness to that or to one of ``MIN_REFERENCE`` words. Rows of other languages are
-    held to the base rule alone."""
-    if not refs:
-        return ~base_failed(m)
-    listed = F.coalesce(F.col(lang).isin(*refs), F.lit(False))
-    close = [c if refs[k][2] >= MIN_REFERENCE else c & (F.col(lang) == k) for k, c in near(refs, m).items()]
-    return ~base_failed(m) & (~listed | reduce(lambda a, b: a | b, close))
+        base_failed().alias("base_failed"), kept().alias("kept"))
 
 
 def keep_sound(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that are sound, with their columns unchanged. A listed language is a
-    reference at any size, so its few rows are never judged by other languages only."""
-    refs = references(measured(docs.select("text", "lang")), least=1)
-    # The generator keeps the filter above the projections: pushed below, it would repeat their
-    # expressions once for every use.
-    held = measured(docs).select(*docs.columns, F.explode(F.array("_m")).alias("_m"))
-    return held.where(sound(refs)).select(*docs.columns)
+    """The rows of ``docs`` that ``judged`` keeps, with their columns unchanged, whatever their names.
+    Every text is measured once."""
+    rows = docs.select(F.struct("*").alias("row"), F.col("text"), F.col("lang"))
+    return held(rows).where(kept()).select("row.*")

@@ -233,16 +233,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def one_per_group(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` without near-duplicates: of each component the row with the smallest
-    doc_id stays (nulls last; of equal rows one). Columns are those of ``docs``.
+    doc_id stays (nulls last; of equal rows one). Columns are those of ``docs``, whatever their names.
 
     Rows that agree in doc_id and fingerprint count as one document.
     """
     prints = write_shared(docs.select("doc_id", fingerprint_column(F.col("text")).alias("fp")), "prints")
     best = prints.join(groups_of(prints), "fp").groupBy("root").agg(F.min(F.struct(
         F.col("doc_id").isNull().alias("nameless"), F.col("doc_id").alias("id"), F.col("fp"))).alias("b"))
-    keys = best.select(F.col("b.id").alias("_id"), F.col("b.fp").alias("_fp"))
-    marked = docs.withColumn("_print", fingerprint_column(F.col("text")))
-    kept = marked.join(keys, marked["doc_id"].eqNullSafe(keys["_id"]) & (marked["_print"] == keys["_fp"]))
-    same = kept.withColumn("_nth", F.expr(
-        "row_number() over (partition by _id, _fp order by xxhash64(text))"))
-    return same.where("_nth = 1").select(*docs.columns)
+    keys = best.select(F.col("b.id").alias("id"), F.col("b.fp").alias("fp"))
+    rows = docs.select(
+        F.struct("*").alias("row"), "doc_id", fingerprint_column(F.col("text")).alias("print"), F.xxhash64("text").alias("hash"))
+    kept = rows.join(keys, rows["doc_id"].eqNullSafe(keys["id"]) & (rows["print"] == keys["fp"]))
+    same = kept.withColumn("nth", F.expr("row_number() over (partition by id, fp order by hash)"))
+    return same.where("nth = 1").select("row.*")

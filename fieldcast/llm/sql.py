@@ -28,18 +28,15 @@ def rules_sql() -> str:
         f"length(t) - length(regexp_replace(t, {text(p)}, '', 'g')) AS k_{k}" for k, p in rules.PATTERNS.items())
     common = ", ".join(f"len(list_filter(wl, lambda x: x = {text(w)})) AS w{i}" for w, i in at.items())
     near = []
-    for lang, words in rules.COMMON_WORDS.items():
-        own = [f"w{at[w]}" for w in words]
-        refs = [f"r.w{at[w]} / r.n" for w in words] + [f"(r.n - ({' + '.join('r.' + x for x in own)})) / r.n"]
-        total = " + ".join(f"r.{c}" for c in classes)
+    for lang, (class_shares, word_shares) in rules.references().items():
+        own = [f"w{at[w]}" for w in rules.COMMON_WORDS[lang]]
         mine = _distance([f"m.{x}" for x in own] + [f"(m.n_words - ({' + '.join('m.' + x for x in own)}))"],
-                         [f"({q})" for q in refs])
-        chars = _distance([f"m.{c}" for c in classes], [f"(r.{c} / ({total}))" for c in classes])
+                         [f"({q!r}::DOUBLE)" for q in word_shares])
+        chars = _distance([f"m.{c}" for c in classes], [f"({q!r}::DOUBLE)" for q in class_shares])
         size = " + ".join(f"m.{c}" for c in classes)
         near.append(
-            f"WHEN {text(lang)} THEN ({size} < {rules.MIN_CHARS} OR {chars} <= {rules.CLASS_LIMIT})"
-            f" AND (m.n_words < {rules.MIN_COMMON} OR {mine} <= {rules.WORD_LIMIT})")
-    sums = ", ".join(f"sum({x}) AS {x}" for x in [*classes, *[f"w{i}" for i in at.values()]])
+            f"(({size} < {rules.MIN_CHARS} OR {chars} <= {rules.CLASS_LIMIT})"
+            f" AND (m.n_words < {rules.MIN_COMMON} OR {mine} <= {rules.WORD_LIMIT}))")
     space = "length(t) - word_chars"
     plain = "word_chars - (" + " + ".join(f"k_{k}" for k in rules.PATTERNS) + ")"
     return f"""
@@ -64,17 +61,12 @@ m AS (
     {space} AS c0, {', '.join(f'k_{k} AS c{i}' for i, k in enumerate(rules.PATTERNS, 1))},
     {plain} AS c{len(classes) - 1}, {common}
   FROM k LEFT JOIN covered USING (rid)),
-r AS (
-  SELECT lang, sum(n_words) AS n, {sums} FROM m
-  WHERE lang IN ({', '.join(text(x) for x in rules.COMMON_WORDS)})
-  GROUP BY lang HAVING sum(n_words) >= {rules.MIN_REFERENCE}),
-v AS (
-  SELECT m.rid, bool_or(CASE r.lang {' '.join(near)} END) AS near FROM m LEFT JOIN r ON true GROUP BY m.rid),
 f AS (
-  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed
-  FROM m JOIN v USING (rid))
+  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed,
+    coalesce(lang IN ({', '.join(text(x) for x in rules.COMMON_WORDS)}), false) AS listed, {' OR '.join(near)} AS near
+  FROM m)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND coalesce(near, true) AS kept FROM f"""
+  NOT base_failed AND (NOT listed OR near) AS kept FROM f"""
 
 
 def licences_sql() -> str:

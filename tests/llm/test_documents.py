@@ -1,11 +1,13 @@
 import random
 import re
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from fieldcast.llm import classifier, licences, pii, rules, simhash
+from fieldcast.llm.sql import SQL
 
 BASE = {
     "email": re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"),
@@ -86,7 +88,7 @@ def test_messages_agree_with_enumeration():
 
 def prose(pick, n):
     words = rules.COMMON_WORDS["en"]
-    return " ".join(pick.choice(words) if pick.random() < 0.4 else "".join(
+    return " ".join(pick.choice(words) if pick.random() < 0.25 else "".join(
         pick.choice("aeinorst") for _ in range(pick.randint(3, 9))) for _ in range(n)) + "."
 
 
@@ -115,17 +117,56 @@ def test_rules(spark, documents):
     assert rules.judged(documents([""]).limit(0)).count() == 0
 
 
-def test_rare_and_unlisted_languages_meet_the_base_rule(spark, documents):
+LETTERS = {"en": "aeinorstaeinorstbcdfghlmpuwy", "de": "aeinorstaeinorstbcdfghlmuwzä", "it": "aeiolrsntcaeiolrsntcdmpuvg",
+           "es": "aeinorstaeinorstbcdglmpuvñ"}
+
+
+def foreign(pick, lang, n):
+    words = rules.COMMON_WORDS.get(lang) or "il di che non per una sono".split()
+    return " ".join(pick.choice(words) if pick.random() < 0.2 else "".join(
+        pick.choice(LETTERS[lang]) for _ in range(pick.randint(3, 9))) for _ in range(n)).capitalize() + "."
+
+
+def test_verdicts_do_not_depend_on_the_table(spark, documents):
+    """Few texts of a language, a language without a reference, one text alone, and all together."""
     pick = random.Random(9)
-    english = [prose(pick, 200) for _ in range(30)]
-    other = {lang: " ".join(pick.choice(words) if pick.random() < 0.4 else "".join(
-        pick.choice("aeinorstäöü") for _ in range(pick.randint(3, 9))) for _ in range(200))
-        for lang, words in {"de": rules.COMMON_WORDS["de"], "it": "il di che non per una sono".split()}.items()}
-    docs = documents([*english, other["de"], other["it"], other["it"], prose(pick, 200).upper(), "werde " * 80])
-    docs = docs.withColumn("lang", F.expr(
-        "case doc_id when 30 then 'de' when 31 then 'it' when 32 then null when 34 then 'de' else lang end"))
-    assert {r["doc_id"] for r in rules.keep_sound(docs).collect()} == set(range(33))
-    assert {r["doc_id"] for r in rules.keep_sound(docs.where("doc_id in (0, 30, 31)")).collect()} == {0, 30, 31}
+    texts = [foreign(pick, "en", 200) for _ in range(30)] + [foreign(pick, "de", 290) for _ in range(4)]
+    texts += [foreign(pick, "it", 200), foreign(pick, "it", 200), foreign(pick, "en", 200).upper(), "werde " * 80,
+              foreign(pick, "es", 200), foreign(pick, "en", 200).upper()]
+    langs = ["en"] * 30 + ["de"] * 4 + ["it", None, "en", "de", "fr", None]
+    docs = documents(texts).withColumn("lang", F.get(F.array(*[F.lit(x) for x in langs]), F.col("doc_id").cast("int")))
+    want = {*range(36), 38, 39}  # the Spanish text with a wrong label, capitals without a label
+    assert {r["doc_id"] for r in rules.keep_sound(docs).collect()} == want
+    assert {r["doc_id"] for r in rules.judged(docs).where("kept").collect()} == want
+    for few in ([31], [36], [30, 31, 32, 33, 0], [34]):
+        part = docs.where(F.col("doc_id").isin(few))
+        assert {r["doc_id"] for r in rules.keep_sound(part).collect()} == want & set(few)
+
+
+def test_rules_equal_sql(spark, documents):
+    pick = random.Random(10)
+    texts = [foreign(pick, lang, pick.randint(20, 260)) for lang in ("en", "de", "es", "it") for _ in range(12)]
+    texts += [t.upper() for t in texts[:6]] + [t.replace(" ", " $") for t in texts[6:12]] + [None, "", "a b c " * 40, "x\n\nx\ny"]
+    langs = ["en", "de", "es", "it", None]
+    rows = [(i, t, langs[i // 12 % 5]) for i, t in enumerate(texts)]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR, lang VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?, ?)", rows)
+    result = duck.execute(SQL["op3_rules"])
+    names = [d[0] for d in result.description]
+    got = rules.judged(spark.createDataFrame(rows, "doc_id long, text string, lang string")).select(names).collect()
+    assert sorted(map(tuple, got)) == sorted(result.fetchall())
+
+
+def test_stages_leave_clashing_columns_alone(spark, documents):
+    names = ["_m", "_t", "_w", "_chars", "_score", "_print", "_id", "_fp", "_nth", "row", "nth", "hash", "id", "fp"]
+    pick = random.Random(12)
+    docs = documents([foreign(pick, "en", 80) for _ in range(4)]).withColumns({
+        n: F.concat(F.lit(n), F.col("doc_id").cast("string")) for n in names})
+    labels = spark.createDataFrame([(900, 1)], "doc_id long, quality int")
+    for stage in (lambda d: classifier.keep_good(d, labels), rules.keep_sound, simhash.one_per_group):
+        out = stage(docs)
+        assert out.columns == docs.columns and sorted(map(str, out.collect())) == sorted(map(str, docs.collect()))
 
 
 def test_classifier_learns_and_holds_out(spark, documents):

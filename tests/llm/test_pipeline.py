@@ -15,7 +15,7 @@ from fieldcast.llm import classifier, packing, pii, rules, simhash
 
 def prose(pick, n):
     words = rules.COMMON_WORDS["en"]
-    return " ".join(pick.choice(words) if pick.random() < 0.4 else "".join(
+    return " ".join(pick.choice(words) if pick.random() < 0.25 else "".join(
         pick.choice("aeinorst") for _ in range(pick.randint(3, 9))) for _ in range(n)) + "."
 
 
@@ -55,23 +55,24 @@ def histograms(text):
     named = [sum(map(len, re.findall(p, text))) for p in (
         "[A-Z]", "[0-9]", "[.,;:!?]", "[#*$%&|<>]", r"[^\x00-\x7F]")]
     space = len(text) - sum(map(len, words))
-    common = [sum(w.lower() == x for w in words) for x in rules.COMMON_WORDS["en"]]
-    return [space, *named, len(text) - space - sum(named)], [*common, len(words) - sum(common)], words
+    return [space, *named, len(text) - space - sum(named)], words
 
 
 def sound(docs):
-    found = [histograms(t or "") for _, t, *_ in docs]
-    classes = [sum(x) for x in zip(*[f[0] for f in found])]
-    common = [sum(x) for x in zip(*[f[1] for f in found])]
     out = []
-    for d, (c, w, words) in zip(docs, found):
+    for d in docs:
+        classes, words = histograms(d[1] or "")
         grams = list(zip(words, words[1:], words[2:]))
         seen = {}
         for g in grams:
             seen[g] = seen.get(g, 0) + 1
         places = {k + n for k, g in enumerate(grams) if seen[g] > 1 for n in range(3)}
-        near = distance(c, [x / sum(classes) for x in classes]) <= rules.CLASS_LIMIT or sum(c) < rules.MIN_CHARS
-        near &= distance(w, [x / sum(common) for x in common]) <= rules.WORD_LIMIT or len(words) < rules.MIN_COMMON
+        near = False
+        for lang, (class_shares, word_shares) in rules.references().items():
+            common = [sum(w.lower() == x for w in words) for x in rules.COMMON_WORDS[lang]]
+            near |= ((sum(classes) < rules.MIN_CHARS or distance(classes, class_shares) <= rules.CLASS_LIMIT) and (
+                len(words) < rules.MIN_COMMON
+                or distance([*common, len(words) - sum(common)], word_shares) <= rules.WORD_LIMIT))
         if len(words) >= 50 and 100 * len(places) <= 50 * len(words) and near:
             out.append(d)
     return out
