@@ -79,31 +79,38 @@ def compare_models(
 ) -> DataFrame:
     """Errors of each regressor and crop on the years after the last training year.
 
-    The inputs are prepared once per crop and shared by all regressors.
+    The inputs are prepared once per crop and shared by all regressors; the crops, and then the
+    fits of a crop, run side by side.
     """
     spark: SparkSession = trimmed.sparkSession
     past = F.col("year") <= settings.last_training_year
-    found = []
-    for crop in settings.crops:
-        rows = trimmed.where(F.col("crop_id") == crop).persist()
+    counts = {r["crop_id"]: r for r in trimmed.groupBy("crop_id").agg(
+        F.count_if(past).alias("old"), F.count_if(~past).alias("new")).collect()}
+    chosen = {n: r for n, r in regressors().items() if names is None or n in names}
+
+    def compared(crop: int) -> list[tuple]:
+        rows = trimmed.where(F.col("crop_id") == crop)
+        train, test = rows.where(past), rows.where(~past)
+        fills = fill_values(train, features)
+        prepare = Pipeline(stages=preparation(features)).fit(filled(train, fills))
+        columns = ["yield_q_ha", "features"]
+        ready = prepare.transform(filled(train, fills)).select(*columns).persist()
+        unseen = prepare.transform(filled(test, fills)).select(*columns).persist()
+
+        def judged(name: str) -> tuple:
+            score = errors(chosen[name].fit(ready).transform(unseen))
+            return crop, name, score["mae"], score["r2"]
+
         try:
-            train, test = rows.where(past), rows.where(~past)
-            if train.isEmpty() or test.isEmpty():
-                continue
-            fills = fill_values(train, features)
-            prepare = Pipeline(stages=preparation(features)).fit(filled(train, fills))
-            columns = ["yield_q_ha", "features"]
-            ready = prepare.transform(filled(train, fills)).select(*columns).persist()
-            unseen = prepare.transform(filled(test, fills)).select(*columns).persist()
-            for name, regressor in regressors().items():
-                if names is None or name in names:
-                    score = errors(regressor.fit(ready).transform(unseen))
-                    found.append((crop, name, score["mae"], score["r2"]))
+            return run_together(spark, *[partial(judged, n) for n in chosen], most=2)
+        finally:
             ready.unpersist()
             unseen.unpersist()
-        finally:
-            rows.unpersist()
-    return spark.createDataFrame(found, "crop_id int, model string, mae double, r2 double")
+
+    usable = [c for c in settings.crops if c in counts and counts[c]["old"] and counts[c]["new"]]
+    found = run_together(spark, *[partial(compared, c) for c in usable], most=3) if usable and chosen else []
+    return spark.createDataFrame(
+        [r for part in found for r in part], "crop_id int, model string, mae double, r2 double")
 
 
 def dept_fold(code) -> "F.Column":
