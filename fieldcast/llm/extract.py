@@ -22,8 +22,8 @@ from pyspark.sql import Column, DataFrame, functions as F
 SAMPLE = 400            # pages that the classifier is fitted on, the smallest by a hash of the id
 SAMPLE_BLOCKS = 200     # blocks of each of them at most
 FOLLOW = 0.6            # capacity between blocks that follow each other
-DEEPEST = 500           # open elements that are told apart; what is nested deeper belongs to the last
 NEAR = 1.2              # capacity between blocks of one parent; less the further apart they are
+LEVELS = 3              # ancestors through which blocks are tied
 
 TAG = re.compile(r"""<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 LOOSE_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>")
@@ -35,36 +35,49 @@ BLOCKS = frozenset(
     " p pre search section select summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset(
-    "script style textarea title noscript template iframe svg math object audio video canvas xmp noembed"
-    " noframes head select button datalist".split())
-RAW = frozenset("script style textarea title iframe xmp noembed noframes".split())
+    "script style textarea title template iframe noembed noframes head select button datalist annotation"
+    " annotation-xml".split())
+RAW = frozenset("script style textarea title iframe noembed noframes".split())
 CLOSES_P = BLOCKS - {"option", "td", "th", "tr", "tbody", "thead", "tfoot", "body", "html", "head"}
 SAME = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
         "th": {"td", "th"}, "option": {"option"}}
 SCOPES = frozenset("article aside body div footer form header html main nav section table td ul ol dl".split())
 
 BAD_NAME = re.compile(
-    r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|footer|foot|header|masthead"
-    r"|side\w*|aside|comments?\w*|disqus|repl(?:y|ies)|respond|cookies?\w*|consent|gdpr|notices?|notification|alert|popup|modal"
-    r"|overlay|share|sharing|social|related|recommend\w*|breadcrumbs?|subscribe|newsletter|signup|login|search|widget"
-    r"|toolbar|pagination|pager|copyright|legal|form|hidden|skip\w*|tags|toc)(?=$|[-_\s])", re.I)
+    r"(?:^|[-_\s])(?:ad|ads|adv|advert\w*|adsense|banner|promo\w*|sponsor\w*|nav\w*|menu\w*|footer|sidebar\w*"
+    r"|comments?\w*|disqus|repl(?:y|ies)|respond|cookies?\w*|consent|gdpr|notification|popup|modal"
+    r"|overlay|share|sharing|social|related|recommend\w*|breadcrumbs?|subscribe|newsletter|signup|login"
+    r"|toolbar|pagination|pager|skip\w*)(?=$|[-_\s])", re.I)
+#: Names that tell of boilerplate around an article, but of its own parts inside one.
+VAGUE_NAME = re.compile(
+    r"(?:^|[-_\s])(?:header|foot|masthead|side\w*|aside|notices?|alert|search|widget|copyright|legal|form|hidden|tags"
+    r"|toc)(?=$|[-_\s])", re.I)
 GOOD_NAME = re.compile(
     r"(?:^|[-_\s])(?:article\w*|post|entry|content|main|story|body|text|prose)(?=$|[-_\s])", re.I)
+OWNER = re.compile(r"©|\(c\)\s*[12][0-9]{3}|\bcopyright\b|all rights reserved", re.I)
+BAR = re.compile(r"\s[|·•»›/]\s")
+COMMENT_HEAD = re.compile(
+    r"\W*(?:[0-9]+\s+)?(?:(?:reader|user|leave a|add a|post a)\s+)?(?:comments?|responses?|replies|reply|kommentare?"
+    r"|commentaires?|comentarios?)\W*(?:\(?[0-9]+\)?)?\W*", re.I)
 END_MARK = re.compile(r"[.!?…。]['\"»”)]?\s*$")
 
-LANDMARKS = frozenset(["nav", "footer", "aside", "form", "bad name", "header", "hidden"])
-FEATURES = ["bias", "article", "main", "nav", "footer", "header", "aside", "form", "bad name", "good name", "links",
-            "long", "short", "sentence", "heading", "paragraph", "item", "copyright", "hidden"]
+LANDMARKS = frozenset(["nav", "footer", "aside", "form", "bad name", "vague name", "header", "hidden", "comments"])
+MARKS = ["article", "main", "nav", "footer", "header", "aside", "form", "bad name", "vague name", "good name",
+         "comments", "hidden"]
+#: What is known of a block: marks of the elements around it, and its own text and place.
+FEATURES = ["bias", *MARKS, "links", "long", "short", "sentence", "heading", "paragraph", "item", "owner", "bar", "edge"]
 #: The weights before any page is seen; fitting moves them as far as the sample speaks for it.
-PRIOR = np.array([-0.5, 4.0, 3.0, -7.0, -7.0, -4.0, -7.0, -6.0, -8.0, 1.5, -3.0, 2.0, -0.6, 1.0, 0.5, 0.5, -0.2, -2.0, -8.0])
+PRIOR = np.array([-0.5, 4.0, 3.0, -7.0, -7.0, -4.0, -7.0, -6.0, -8.0, -4.0, 1.5, -7.0, -8.0,
+                  -3.0, 2.0, -0.6, 1.0, 0.5, 0.5, -0.2, -3.0, -4.0, -0.3])
 
 
 @dataclass
 class Element:
     name: str
-    number: int
     kinds: frozenset
-    path: tuple = ()
+    path: tuple = ()                    # numbers of the block elements around it, the last few
+    link: bool = False                  # whether it lies in a link
+    block: "Element | None" = None      # the block element that text in it belongs to
 
 
 @dataclass
@@ -89,8 +102,11 @@ def kinds_of(name: str, attributes: str, above: frozenset) -> frozenset:
     if attributes:
         values = {k.lower(): v.strip("\"'") for k, v in ATTRIBUTE.findall(attributes)}
         names = f"{values.get('class', '')} {values.get('id', '')}"
-        if name not in ("html", "body", "article", "main") and BAD_NAME.search(names):
-            own.add("bad name")
+        if name not in ("html", "body", "article", "main"):
+            if BAD_NAME.search(names):
+                own.add("bad name")
+            elif not above & {"article", "main"} and VAGUE_NAME.search(names):
+                own.add("vague name")
         if GOOD_NAME.search(names):
             own.add("good name")
         role = {"navigation": "nav", "contentinfo": "footer", "banner": "header", "complementary": "aside",
@@ -107,10 +123,13 @@ def kinds_of(name: str, attributes: str, above: frozenset) -> frozenset:
 
 
 def blocks_of(page: str) -> list[Block]:
-    """The text blocks of a page, in order. Comments, scripts, styles and controls have none."""
+    """The text blocks of a page, in order. Scripts, styles and controls have none. Elements may be
+    nested to any depth: what is asked of the open ones is kept with each of them or by name."""
     out: list[Block] = []
-    stack = [Element("#page", 0, frozenset())]
-    counter, pieces, linked, total, opened, deeper = 0, [], 0, 0, stack[0], 0
+    root = Element("#page", frozenset())
+    root.block = root
+    stack, places = [root], {}  # places: where elements of a name lie in the stack
+    counter, pieces, linked, total, opened = 0, [], 0, 0, root
 
     def flush():
         nonlocal pieces, linked, total
@@ -123,18 +142,23 @@ def blocks_of(page: str) -> list[Block]:
     def add(text: str):
         nonlocal linked, total, opened
         if not pieces or not total:
-            opened = next(e for e in reversed(stack) if e.name in BLOCKS or e.name == "#page")
+            opened = stack[-1].block
         pieces.append(text)
         size = len(text.strip())
         total += size
-        if any(e.name == "a" for e in stack[-4:]):
+        if stack[-1].link:
             linked += size
 
     def close(k: int):
         if any(e.name in BLOCKS for e in stack[k:]):
             flush()
+        for e in stack[k:]:
+            places[e.name].pop()
         del stack[k:]
 
+    def last(names) -> int:
+        return max((places[n][-1] for n in names if places.get(n)), default=0)
+
     at, end = 0, len(page)
     while at < end:
         lt = page.find("<", at)
@@ -163,17 +187,10 @@ def blocks_of(page: str) -> list[Block]:
             if name == "br":
                 add(" ")
                 continue
-            if deeper:
-                deeper -= 1
-                if name in BLOCKS:
-                    flush()
-                continue
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name == name:
-                    close(k)
-                    break
-                if stack[k].name in ("table", "article", "body") and name not in SCOPES | {"p", "html", "table"}:
-                    break
+            k = last((name,))
+            inner = name not in SCOPES and name not in ("p", "html", "table")
+            if k and not (inner and last(("table", "article", "body")) > k):
+                close(k)
             continue
         if name in SKIPPED and not tag[3].endswith("/"):
             stop = skipped_to(page, at, name)
@@ -187,24 +204,39 @@ def blocks_of(page: str) -> list[Block]:
         if name in BLOCKS:
             flush()
             closing = ({"p"} if name in CLOSES_P else set()) | SAME.get(name, set())
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].name in closing:
-                    close(k)
-                    break
-                if stack[k].name in SCOPES and stack[k].name not in closing:
-                    break
-        if name not in VOID and len(stack) > DEEPEST:
-            deeper += 1
-        elif name not in VOID:
+            k = last(closing)
+            if k and last(SCOPES - closing) < k:
+                close(k)
+        if name not in VOID:
             counter += 1
             above = stack[-1]
-            kinds = kinds_of(name, tag[3], above.kinds)
-            path = (*above.path, counter) if name in BLOCKS else above.path
-            stack.append(Element(name, counter, kinds, path[-12:]))
+            path = (*above.path, counter)[-LEVELS - 1:] if name in BLOCKS else above.path
+            element = Element(name, kinds_of(name, tag[3], above.kinds), path, above.link or name == "a", above.block)
+            if name in BLOCKS:
+                element.block = element
+            places.setdefault(name, []).append(len(stack))
+            stack.append(element)
         elif name == "img":
             add(" ")
     flush()
-    return out
+    return with_comments(out)
+
+
+HEADINGS = ("h1", "h2", "h3", "h4", "h5", "h6")
+
+
+def with_comments(blocks: list[Block]) -> list[Block]:
+    """Mark what follows a heading of reader comments, up to the next other heading, as such."""
+    inside = False
+    for b in blocks:
+        if b.tag in HEADINGS or len(b.text) < 40:
+            if COMMENT_HEAD.fullmatch(b.text):
+                inside = True
+            elif b.tag in HEADINGS:
+                inside = False
+        if inside:
+            b.kinds = b.kinds | {"comments"}
+    return blocks
 
 
 def skipped_to(page: str, at: int, name: str) -> int:
@@ -224,14 +256,27 @@ def skipped_to(page: str, at: int, name: str) -> int:
     return at  # never closed: only the tag itself goes
 
 
-def features(block: Block) -> np.ndarray:
+def features(block: Block, place: int = 0, n_blocks: int = 1) -> np.ndarray:
     n, kinds = len(block.text), block.kinds
-    marks = [float(k in kinds) for k in ("article", "main", "nav", "footer", "header", "aside", "form", "bad name", "good name")]
+    short = n < 25
     return np.array([
-        1.0, *marks, block.links, min(math.log1p(n) / 6, 1.0) if n > 80 else 0.0, float(n < 25),
-        float(bool(END_MARK.search(block.text))), float(block.tag in ("h1", "h2", "h3", "h4", "h5", "h6")),
+        1.0, *[float(k in kinds) for k in MARKS], block.links, min(math.log1p(n) / 6, 1.0) if n > 80 else 0.0, float(short),
+        float(bool(END_MARK.search(block.text))), float(block.tag in HEADINGS),
         float(block.tag in ("p", "blockquote", "pre", "td")), float(block.tag in ("li", "dt", "dd", "option")),
-        float("©" in block.text or "all rights reserved" in block.text.lower()), float("hidden" in kinds)])
+        float(n < 200 and bool(OWNER.search(block.text))),
+        float(n < 200 and len(BAR.findall(block.text)) > 1 and not END_MARK.search(block.text)),
+        float(n_blocks > 1 and place in (0, n_blocks - 1))])
+
+
+def page_features(blocks: list[Block]) -> np.ndarray:
+    return np.stack([features(b, i, len(blocks)) for i, b in enumerate(blocks)])
+
+
+def without_marks(x: np.ndarray) -> np.ndarray:
+    """Features of a page that tells nothing by its elements and names."""
+    x = x.copy()
+    x[..., 1:1 + len(MARKS)] = 0.0
+    return x
 
 
 def weak_label(block: Block) -> int | None:
@@ -257,24 +302,27 @@ def fit_weights(x: np.ndarray, y: np.ndarray, strength: float = 20.0) -> np.ndar
 
 
 def ties(blocks: list[Block]) -> list[tuple[int, int, float]]:
-    """(block, block, capacity): neighbours in the text, and neighbours among the blocks below one
-    ancestor, up to three levels up. The latter have the same landmarks, so that an advert between
-    two paragraphs does not part them. Edges grow in step with the blocks."""
+    """(block, block, capacity): neighbours in the text, more firmly below one parent, and neighbours
+    among the blocks below one ancestor, up to three levels up, less with every level that either is
+    further down. The latter have the same landmarks, so that an advert between two paragraphs does
+    not part them. Edges grow in step with the blocks."""
     out: dict[tuple[int, int], float] = {}
-    last: dict[tuple[int, frozenset], int] = {}
+    last: dict[tuple[int, frozenset], tuple[int, int]] = {}
     close: set[tuple[int, int]] = set()
     for i, b in enumerate(blocks):
         marks = b.kinds & LANDMARKS
         if i:
-            out[i - 1, i] = FOLLOW if marks == blocks[i - 1].kinds & LANDMARKS else FOLLOW / 6
-        for up, ancestor in enumerate(reversed(b.path[-4:-1] if len(b.path) > 1 else b.path)):
+            before = blocks[i - 1]
+            firm = marks == before.kinds & LANDMARKS and b.path[-2:-1] == before.path[-2:-1]
+            out[i - 1, i] = FOLLOW if firm else FOLLOW / 6
+        for up, ancestor in enumerate(reversed(b.path[:-1] if len(b.path) > 1 else b.path)):
             key = ancestor, marks
             if key in last:
-                pair = last[key], i
+                pair = last[key][0], i
                 if pair not in close:
                     close.add(pair)
-                    out[pair] = out.get(pair, 0.0) + NEAR / 2 ** up
-            last[key] = i
+                    out[pair] = out.get(pair, 0.0) + NEAR / 2 ** (up + last[key][1])
+            last[key] = i, up
     return [(i, j, c) for (i, j), c in out.items()]
 
 
@@ -381,21 +429,24 @@ def main_text(page: str | None, weights: np.ndarray) -> str:
     blocks = blocks_of(page or "")
     if not blocks:
         return ""
-    lean = np.stack([features(b) for b in blocks]) @ weights
-    content = minimum_cut(lean, ties(blocks))
+    content = minimum_cut(page_features(blocks) @ weights, ties(blocks))
     return "\n".join(b.text for b, c in zip(blocks, content) if c)
 
 
 def fit(pages: DataFrame, most: int = SAMPLE) -> np.ndarray:
     """Classifier weights from the landmarks of ``most`` pages; the driver gets the features of at
-    most ``SAMPLE_BLOCKS`` labelled blocks of each, equal ones once."""
+    most ``SAMPLE_BLOCKS`` labelled blocks of each, equal ones once. Every block also counts without
+    its landmarks, so that text, links and place are learned for pages that have none."""
 
     def find(batches):
         for batch in batches:
             rows = set()
             for page in batch.column(0).to_pylist():
-                labelled = [b for b in blocks_of(page or "") if weak_label(b) is not None]
-                rows |= {(*features(b).tolist(), float(weak_label(b))) for b in labelled[:SAMPLE_BLOCKS]}
+                blocks = blocks_of(page or "")
+                labelled = [(i, b) for i, b in enumerate(blocks) if weak_label(b) is not None]
+                for i, b in labelled[:SAMPLE_BLOCKS]:
+                    x = features(b, i, len(blocks))
+                    rows |= {(*v.tolist(), float(weak_label(b))) for v in (x, without_marks(x))}
             yield pa.RecordBatch.from_arrays(
                 [pa.array([list(r) for r in sorted(rows)], pa.list_(pa.float64()))], names=["row"])
 
@@ -403,7 +454,7 @@ def fit(pages: DataFrame, most: int = SAMPLE) -> np.ndarray:
         F.xxhash64("page_id"), "page_id").limit(most)
     some = pages.select("page_id", "html").join(F.broadcast(chosen), "page_id")  # most ids: a proven bound
     found = some.select("html").mapInArrow(find, "row array<double>").distinct()
-    rows = np.array([r[0] for r in found.orderBy("row").limit(most * SAMPLE_BLOCKS).collect()])
+    rows = np.array([r[0] for r in found.orderBy("row").limit(2 * most * SAMPLE_BLOCKS).collect()])
     return fit_weights(rows[:, :-1], rows[:, -1]) if len(rows) else PRIOR.copy()
 
 
