@@ -1,11 +1,12 @@
 """Operator 1: personal data, by patterns and a skip-chain conditional random field.
 
-Patterns find the base spans. The field then labels other tokens of the same document that
-are equal or similar to each other or to a base span: a phone number without its country
-code, a card written with other separators, the local part of an address. Tokens are nodes;
-neighbours share a chain potential, and tokens with a common key share a skip potential, over
-any distance. Loopy sum-product passes messages until labels of one entity agree. Base spans
-are clamped; what the field adds has a posterior of ``SURE`` or more.
+Patterns find the base spans. The field then labels other tokens of the document: a phone
+number without its country code, a card written with other separators, the local part of an
+address. Tokens are nodes, in every document, whether it has a base span or not. Neighbours, at
+most ``GAP`` characters apart, share a chain potential, and tokens with a common key (equal or
+similar forms) share a skip potential over any distance. Loopy sum-product passes messages until
+labels of one entity agree. Base spans are clamped; what the field adds has a posterior of
+``SURE`` or more. All potentials are learned from the node sequences of real texts.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ LABELS = ["none", *KINDS]
 SURE = 0.9
 ROUNDS = 20            # of message passing at most
 SAMPLE = 4000          # texts that the potentials are learned on, a quarter for each kind
-FIRST_SPANS = 20       # base spans of a kind in each of them at most
+FIRST_SPANS = 20       # base spans of a kind in each of them at most, and as many other tokens
+LONGEST = 200          # characters of a span that is learned from
+GAP = 24               # characters between neighbours of the chain at most
 STEPS = 400            # of gradient descent
 SPANS = "kind string, start int, end int"
 
@@ -88,13 +91,19 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
+def same_letters(word: str) -> list[str]:
+    """The key of words that differ in their separators only."""
+    bare = re.sub("[^a-z0-9]", "", word.lower())
+    return ["~" + bare] if len(bare) >= 6 and re.search("[0-9]", bare) and re.search("[a-z]", bare) else []
+
+
 def keys_of(kind: int, text: str) -> list[str]:
     """What a token shares with other forms of the same entity."""
     if kind == 0:
         local, _, domain = text.lower().partition("@")
         keys = ["@" + text.lower()]
         if len(local) >= 5 and re.search("[0-9._+-]", local):
-            keys.append("@" + local)
+            keys += ["@" + local, *same_letters(local)]
         return keys
     if kind == 1:
         return ["." + ".".join(str(int(p)) if len(p) < 9 else p for p in re.findall("[0-9]+", text))]
@@ -107,7 +116,7 @@ def token_keys(text: str) -> list[str]:
     groups = re.findall("[0-9]+", text)
     digits = "".join(groups)
     if not re.fullmatch(r"[0-9()+.:/\[\]\x20-]*", text):
-        return ["@" + text.lower()] if len(text) >= 5 and re.search("[0-9._+-]", text) else []
+        return ["@" + text.lower(), *same_letters(text)] if len(text) >= 5 and re.search("[0-9._+-]", text) else []
     keys = ["." + ".".join(str(int(g)) if len(g) < 9 else g for g in groups)] if len(groups) == 4 else []
     if len(digits) >= 7:
         keys.append("#" + digits)
@@ -144,7 +153,7 @@ class Field:
 def nodes_of(text: str) -> tuple[list[tuple[int, int, int, list[str]]], list[tuple[int, int, int]]]:
     """((start, end, kind or -1, keys) of each node in order, base spans)."""
     base = base_spans(text)
-    if not base:
+    if not base and not DIGIT.search(text):
         return [], base
     found = [(a, b, k, keys_of(k, text[a:b])) for a, k, b in base]
     known = {key for node in found for key in node[3]}
@@ -176,7 +185,7 @@ def edges_of(nodes) -> list[tuple[int, int, int]]:
     and to the last base node with each of its keys, so edges grow in step with the nodes."""
     out, last, clear = set(), {}, {}
     for i, (start, _, kind, keys) in enumerate(nodes):
-        if i and start - nodes[i - 1][1] <= 1 and start >= nodes[i - 1][1]:
+        if i and 0 <= start - nodes[i - 1][1] <= GAP:
             out.add((i - 1, i, 0))
         for key in keys:
             for seen in (last, clear):
@@ -251,29 +260,49 @@ def variants(kind: int, text: str) -> list[str]:
     return [digits[-10:], f"({digits[-10:-7]}) {digits[-7:-4]}-{digits[-4:]}", f"{digits[-10:-7]}-{digits[-7:-4]}-{digits[-4:]}", f"{digits[-7:-4]}-{digits[-4:]}"]
 
 
-def training_rows(spans: list[tuple[int, str]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Features, labels and weights for pseudo-likelihood. Each form of a span occurs twice: tied to
-    its base span it has the label, alone it has none; a number tied to nothing has none. Every kind
-    weighs as much as any other, however many spans it has."""
+def beside(nodes) -> list[tuple[int, int]]:
+    """Kinds of the chain neighbours before and after each node: -1 for a token that is no base span,
+    -2 where there is no neighbour."""
+    out = [[-2, -2] for _ in nodes]
+    for i in range(1, len(nodes)):
+        if 0 <= nodes[i][0] - nodes[i - 1][1] <= GAP:
+            out[i][0], out[i - 1][1] = nodes[i - 1][2], nodes[i][2]
+    return [tuple(x) for x in out]
+
+
+def training_rows(spans: list[tuple]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features, labels and weights for pseudo-likelihood, of nodes (kind, text, kind before, kind
+    after) as they stand in texts; a pair (kind, text) stands alone.
+
+    Each other form of a base span occurs four times: tied to its base span it has the label, alone
+    or tied to a number that is none it has none, and among its neighbours it has the label where one
+    of them is of its kind. Tokens that are no base span count as none among theirs: most are, and the
+    few that the field is to find are outweighed. Every kind weighs as much as any other, however many
+    spans it has, and each other token as much as a form on average.
+    """
     rows, labels, kinds = [], [], []
-    none = np.zeros(len(LABELS))
-    for kind, text in spans:
-        for form in variants(kind, text):
-            if not token_keys(form):
-                continue
-            tied = none.copy()
-            tied[kind + 1] = 1.0
-            for skip, label in ((tied, kind + 1), (none, 0), (np.eye(len(LABELS))[0], 0)):
-                rows.append(np.concatenate([shape(form), none, skip]))
-                labels.append(label)
-                kinds.append(kind)
-    counts = np.bincount(np.array(kinds, np.int64), minlength=len(KINDS))
-    weights = 1.0 / (np.maximum(counts, 1) * max((counts > 0).sum(), 1))
-    return (np.array(rows).reshape(-1, WIDTH + 2 * len(LABELS)), np.array(labels, np.int64),
-            weights[np.array(kinds, np.int64)])
-
-
-def learn(spans: list[tuple[int, str]], seed: int = 3) -> Field:
+    none, of = np.zeros(len(LABELS)), np.eye(len(LABELS))
+    for kind, text, *near in spans:
+        near = [k for k in near if k >= -1]
+        chain = sum((of[k + 1] for k in near), none)
+        if kind < 0:
+            found = [(text, chain, none, 0)]
+        else:
+            found = [(form, c, skip, label) for form in variants(kind, text) if token_keys(form) for c, skip, label in (
+                (none, of[kind + 1], kind + 1), (none, none, 0), (none, of[0], 0),
+                *([(chain, none, kind + 1)] if kind in near else []))]
+        for form, c, skip, label in found:
+            rows.append(np.concatenate([shape(form), c, skip]))
+            labels.append(label)
+            kinds.append(kind)
+    at = np.array(kinds, np.int64) + 1
+    counts = np.bincount(at, minlength=len(LABELS))
+    weights = 1.0 / (np.maximum(counts, 1) * max((counts[1:] > 0).sum(), 1))
+    weights[0] = 1.0 / max(counts[1:].sum() or counts[0], 1)
+    return (np.array(rows).reshape(-1, WIDTH + 2 * len(LABELS)), np.array(labels, np.int64), weights[at])
+
+
+def learn(spans: list[tuple]) -> Field:
     """Potentials by gradient descent on the pseudo-likelihood (a softmax over a node's features
     and the labels of its neighbours). Without spans the field adds nothing."""
     x, y, share = training_rows(spans)
@@ -290,10 +319,25 @@ def learn(spans: list[tuple[int, str]], seed: int = 3) -> Field:
     return Field(weights[:WIDTH], (chain + chain.T) / 2, (skip + skip.T) / 2)
 
 
+NODE = pa.schema([("kind", pa.int32()), ("text", pa.string()), ("before", pa.int32()), ("after", pa.int32())])
+
+
+def examples(text: str) -> set[tuple[int, str, int, int]]:
+    """The nodes of a text to learn from: ``FIRST_SPANS`` of each kind, and as many others."""
+    nodes, _ = nodes_of(text)
+    out, counts = set(), dict.fromkeys(range(-1, len(KINDS)), 0)
+    for (a, b, kind, _), near in zip(nodes, beside(nodes)):
+        if counts[kind] < FIRST_SPANS and b - a <= LONGEST:
+            counts[kind] += 1
+            out.add((kind, text[a:b], *near))
+    return out
+
+
 def fit(docs: DataFrame, most: int = SAMPLE) -> Field:
-    """Learn from the base spans of ``most`` texts, as many for each kind: of the texts that hold the
+    """Learn from the nodes of ``most`` texts, as many for each kind: of the texts that hold the
     kind, those with the smallest hash. A first pass over all rows finds the kinds of every text. The
-    driver gets ``FIRST_SPANS`` spans of a kind and text at most. Repeated texts and spans count once."""
+    driver gets ``FIRST_SPANS`` nodes of a kind and text at most, of ``LONGEST`` characters at most.
+    Repeated texts and nodes count once."""
     each = -(-most // len(KINDS))
 
     def kinds(batches):
@@ -306,23 +350,18 @@ def fit(docs: DataFrame, most: int = SAMPLE) -> Field:
 
     def find(batches):
         for batch in batches:
-            rows = set()
-            for text in batch.column(0).to_pylist():
-                spans = base_spans(text)
-                for kind in range(len(KINDS)):
-                    rows |= {(k, text[a:b]) for a, k, b in [s for s in spans if s[1] == kind][:FIRST_SPANS]}
-            yield pa.RecordBatch.from_arrays([
-                pa.array([k for k, _ in sorted(rows)], pa.int32()),
-                pa.array([t[:80] for _, t in sorted(rows)], pa.string())], names=["kind", "text"])
+            rows = sorted(set().union(*[examples(text) for text in batch.column(0).to_pylist()]))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(NODE)], schema=NODE)
 
     texts = docs.where("text is not null").select(F.xxhash64("text").alias("at"), "text")
     held = write_shared(texts.mapInArrow(kinds, "kind int, at long"), "kinds").distinct()
     chosen = reduce(DataFrame.unionByName, [
         held.where(F.col("kind") == k).select("at").orderBy("at").limit(each) for k in range(len(KINDS))]).distinct()
     some = texts.join(F.broadcast(chosen), "at")  # about most ids: a proven bound
-    found = write_shared(some.select("text").mapInArrow(find, "kind int, text string").distinct(), "spans")
-    return learn(sorted((r[0], r[1]) for k in range(len(KINDS)) for r in found.where(
-        F.col("kind") == k).orderBy(F.xxhash64("text"), "text").limit(each * FIRST_SPANS).collect()))
+    found = write_shared(some.select("text").mapInArrow(find, "kind int, text string, before int, after int").distinct(), "nodes")
+    return learn(sorted(tuple(r) for k in range(-1, len(KINDS)) for r in found.where(F.col("kind") == k).orderBy(
+        F.xxhash64("text", "before", "after"), "text", "before", "after").limit(each * FIRST_SPANS).collect()))
 
 
 def written(spans: list[tuple[int, int, int]]) -> str:

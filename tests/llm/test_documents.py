@@ -1,3 +1,4 @@
+import itertools
 import random
 import re
 
@@ -71,19 +72,56 @@ def test_rare_kinds_are_learned_in_a_large_table(spark, documents):
 
 
 def test_messages_agree_with_enumeration():
+    """Chain and skip potentials on up to eight nodes without a loop, against all labellings."""
     rng = np.random.default_rng(1)
-    field = pii.Field(rng.normal(size=(pii.WIDTH, 5)), np.zeros((5, 5)), np.eye(5) * 1.5)
-    nodes = [(0, 3, 3, []), (5, 8, -1, []), (9, 12, -1, [])]
-    edges, texts = [(0, 1, 1), (1, 2, 0)], ["+49", "030", "123"]
-    p = pii.posteriors(field, nodes, edges, texts)
-    unary = np.stack([pii.shape(t) for t in texts]) @ field.unary
-    total = np.zeros((3, 5))
-    for a in range(5):
-        for b in range(5):
-            weight = np.exp(unary[1, a] + unary[2, b] + field.skip[4, a] + field.chain[a, b])
-            total[1, a] += weight
-            total[2, b] += weight
-    assert np.allclose(p[1:], (total / total.sum(1, keepdims=True).clip(1e-9))[1:], atol=1e-3)
+    for n in (3, 5, 8):
+        chain, skip = rng.normal(size=(5, 5)), rng.normal(size=(5, 5))
+        field = pii.Field(rng.normal(size=(pii.WIDTH, 5)) / 3, (chain + chain.T) / 2, (skip + skip.T) / 2)
+        texts = ["+49 30 1234567", "030", "1.2.3.4", "555-7857", "4111111111111111", "12345678", "x.77", "0301234"][:n]
+        nodes = [(10 * i, 10 * i + 5, 3 if i == 0 else -1, []) for i in range(n)]
+        edges = [(i, i + 1, 0) for i in range(n - 1) if i != 2] + ([(1, 3, 1)] if n > 3 else [])
+        p = pii.posteriors(field, nodes, edges, texts)
+        unary = np.stack([pii.shape(t) for t in texts]) @ field.unary
+        total = np.zeros((n, 5))
+        for labels in itertools.product(range(5), repeat=n - 1):
+            labels = (4, *labels)
+            score = sum(unary[i, labels[i]] for i in range(1, n))
+            score += sum((field.skip if kind else field.chain)[labels[a], labels[b]] for a, b, kind in edges)
+            total[np.arange(n), labels] += np.exp(score)
+        assert np.allclose(p, total / total.sum(1, keepdims=True), atol=2e-3)
+
+
+def test_the_chain_is_learned_and_decides(spark, documents):
+    """Second numbers without a key of any base span, beside one of their kind: only the chain of the
+    field, learned from pairs of base spans, finds them; alone, or beside another kind, they stay."""
+    pick = random.Random(4)
+    phone = lambda: f"+1 (726) 555-{pick.randint(1000, 9999)}"
+    ip = lambda: f"10.{pick.randint(1, 250)}.3.{pick.randint(1, 250)}"
+    pairs = [f"Call {phone()} or {phone()} now." for _ in range(60)] + [f"Hosts {ip()} and {ip()} fail." for _ in range(60)]
+    other = [f"Order {pick.randint(10**9, 10**10)} from {ip()} came." for _ in range(60)]
+    planted = "Call +1 (726) 555-4321 or 914-555-8877 now."
+    far = "Call +1 (726) 555-4321 at any time of the day or night. Part 914-555-8877 is sold out."
+    alone, mixed = "Part 914-555-8877 is sold out.", "Order 9145558877 from 10.1.3.9 came."
+    field = pii.fit(documents([*pairs, *other]))
+    assert np.abs(field.chain).max() > 0.5 and np.allclose(field.chain, field.chain.T)
+
+    def added(f, text):
+        base, spans = pii.all_spans(f, text)
+        return {text[a:b]: pii.KINDS[k] for a, k, b in set(spans) - set(base)}
+
+    assert added(field, planted) == {"914-555-8877": "phone"}
+    assert not added(field, far) and not added(field, alone) and not added(field, mixed)
+    inert = pii.Field(field.unary, np.zeros((5, 5)), field.skip)
+    assert not added(inert, planted)
+    rows = pii.personal_data(documents([planted, far, alone, mixed, *pairs, *other])).collect()
+    assert [len(r["spans"].split(",")) if r["spans"] else 0 for r in rows if r["doc_id"] < 4] == [2, 1, 0, 1]
+
+
+def test_similar_forms_are_tied(spark, documents):
+    text = "Write to dmkhshb.45@mail5.example.com; dmkhshb-45 and DMKHSHB_45 are the same, dmkhshb.46 is not."
+    crowd = [f"Mail someone.{k}@mail{k % 7}.example.com or someone.{k}." for k in range(60)]
+    base, spans = pii.all_spans(pii.fit(documents(crowd)), text)
+    assert {text[a:b] for a, _, b in set(spans) - set(base)} == {"dmkhshb-45", "DMKHSHB_45"}
 
 
 def prose(pick, n):
