@@ -65,9 +65,30 @@ def fit_pivots(vectors: DataFrame, pivots: int, sample: int, rounds: int = 8) ->
     return out
 
 
+SLACK = 1e-9        # of the squared norms: what rounding may cost a bound, many times over
+
+
 def distances(data: np.ndarray, centres: np.ndarray) -> np.ndarray:
-    square = (data ** 2).sum(1)[:, None] + (centres ** 2).sum(1) - 2 * data @ centres.T
-    return np.sqrt(np.maximum(square, 0))
+    """From differences: squares of long vectors close to each other would cancel out."""
+    out = np.empty((len(data), len(centres)))
+    for k, centre in enumerate(centres):
+        out[:, k] = np.sqrt(((data - centre) ** 2).sum(1))
+    return out
+
+
+def upper_bound(near, far, low, high, size, norm):
+    """The best inner product of a query of norm ``size``, at a distance of ``near`` to ``far`` from a
+    pivot, with a vector of norm ``norm`` at most, ``low`` to ``high`` from the pivot. Works on columns
+    and on arrays of doubles alike."""
+    greatest, least = (F.greatest, F.least) if isinstance(near, Column) else (_greatest, np.minimum)
+    zero = F.lit(0.0) if isinstance(near, Column) else 0.0
+    gap = greatest(zero, near - high, low - far)
+    squares = size * size + norm * norm
+    return least((squares - gap * gap) / 2, size * norm) + squares * SLACK + 1e-3
+
+
+def _greatest(*values):
+    return np.maximum(np.maximum(values[0], values[1]), values[2])
 
 
 def nearest(data: np.ndarray, centres: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -204,11 +225,8 @@ def bounds(groups: DataFrame, index: DataFrame, pivots: dict[int, np.ndarray]) -
     spans = groups.select("group", "dim", "n", "norm", "vectors").mapInArrow(
         ranges, "group long, dim int, pivot int, near double, far double, size double")
     meta = index.select("block", "dim", "pivot", "low", "high", "norm")
-    gap = F.greatest(F.lit(0.0), F.col("near") - F.col("high"), F.col("low") - F.col("far"))
-    by_gap = (F.col("size") ** 2 + F.col("norm") ** 2 - gap ** 2) / 2
-    bound = F.least(by_gap, F.col("size") * F.col("norm"))
-    return spans.join(meta, ["dim", "pivot"]).select(
-        "group", "block", (bound + F.abs(bound) * 1e-9 + 1e-3).alias("bound"))  # past rounding
+    bound = upper_bound(*[F.col(c) for c in ("near", "far", "low", "high", "size", "norm")])
+    return spans.join(meta, ["dim", "pivot"]).select("group", "block", bound.alias("bound"))
 
 
 def scored(tiles: DataFrame, groups: DataFrame, index: DataFrame, floors: str | None, k: int) -> DataFrame:

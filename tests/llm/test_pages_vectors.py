@@ -120,6 +120,38 @@ def test_bounds_hold_and_prune(spark):
     assert any(t["bound"] < best[t["group"]] for t in tiles)
 
 
+@pytest.mark.parametrize("power", [4, 15, 20, 25])
+@pytest.mark.parametrize("dim", [2, 64])
+def test_bounds_never_fall_below_the_product(power, dim):
+    """Vectors near a pivot, with components up to 2**25: exact products in whole numbers."""
+    rng = np.random.default_rng(power)
+    pivot = rng.uniform(-1, 1, dim) * 2.0**power
+    for spread in (1e-7, 1e-3, 1.0):
+        x, q = (np.rint(pivot + rng.normal(size=(400, dim)) * spread * 2.0**power).clip(-(2.0**26) + 1, 2.0**26 - 1) for _ in range(2))
+        gx, gq = (pivots.distances(v, pivot[None])[:, 0] for v in (x, q))
+        nx, nq = (np.sqrt((v**2).sum(1)) for v in (x, q))
+        bound = pivots.upper_bound(gq, gq, gx, gx, nq, nx)
+        product = [sum(int(a) * int(b) for a, b in zip(u, v)) for u, v in zip(q, x)]
+        assert all(b >= p for b, p in zip(bound, product))
+
+
+def test_share_of_tiles_left_out(spark):
+    """Clustered vectors: most blocks are ruled out for a group of queries from one cluster."""
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 16)) * 3
+    rows = [(i, [float(x) for x in centres[i % 12] + rng.normal(size=16) * 0.1]) for i in range(6000)]
+    vectors = pivots.usable(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), "vec_id", "embedding", 256)
+    found = pivots.fit_pivots(vectors, 12, 1000)
+    index = pivots.blocks(pivots.keyed(vectors, found), 128, True).cache()
+    groups = pivots.blocks(pivots.keyed(vectors.where("vec_id % 12 = 0 AND vec_id % 50 = 0"), found), 16, False).withColumnRenamed(
+        "block", "group").cache()
+    whole = np.array([[int(np.floor(x * 256)) for x in v] for _, v in rows])
+    floor = {r["group"]: min(np.sort(np.frombuffer(r["vectors"], "<i4").reshape(r["n"], -1).astype(int) @ whole.T, axis=1)[:, -6])
+             for r in groups.collect()}
+    tiles = pivots.bounds(groups, index, found).collect()
+    assert sum(t["bound"] < floor[t["group"]] for t in tiles) > 0.8 * len(tiles)
+
+
 PAGE = """<html><head><title>T</title></head><body><div id="cookie-notice"><p>We use cookies here. Accept?</p></div>
 <header><h1>Site</h1></header><ul class="menu"><li><a href=x>Home</a><li><a href=y>News</a></ul><div class="post-content">
 <h2>A title</h2><p>First long  paragraph of the text,<br>with <a href=q>one link</a> in it.&nbsp;Fine &lt;b&gt;.</p>
