@@ -33,7 +33,7 @@ from fieldcast.llm.eliasfano import NgramTrie, dequantise, quantise
 
 CHUNK_BYTES = 8 << 20     # text of a chunk, one document at least
 SHARD_TOKENS = 2_000_000  # tokens of the corpus for each shard
-PRIOR = 20.0              # tokens that the unigrams count for after any word
+PRIOR = 100.0             # tokens that the unigrams count for after any word
 END = b""                 # no word has this text
 
 

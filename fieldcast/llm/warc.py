@@ -15,6 +15,7 @@ import io
 import json
 import uuid
 import zlib
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pandas as pd
@@ -24,7 +25,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fieldcast.llm.common import hadoop_fs, write_shared
 
-ROLL = 1 << 20        # compressed bytes after which a file ends
+ROLL = 1 << 20        # compressed bytes after which a file ends, at least
+LARGEST_ROLL = 1 << 30  # and at most
+FILES = 1000          # files up to which it stays at the least: large corpora have files in proportion
+MOVERS = 16           # files moved to their final names at a time
 LEAST_BYTES = 0       # smaller payloads are never revisits
 HEADER_BYTES = 300    # allowed for the headers of a record
 DATE = "2024-01-01T00:00:00Z"
@@ -114,6 +118,7 @@ def planned(pages: DataFrame, roll: int, least_bytes: int) -> DataFrame:
     for part, more, n in totals:
         starts.append((part, size, rows))
         size, rows = size + more, rows + n
+    roll = max(roll, min(LARGEST_ROLL, size // FILES))
     begin = pages.sparkSession.createDataFrame(starts, "part long, bytes long, rows long")
     return ordered.join(begin, "part").select(
         "page_id", "url", "digest", "payload_bytes", "first", "first_page", "first_url",
@@ -191,8 +196,8 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL, least_bytes:
     whole.sortWithinPartitions("shard", "position").select("shard", text.alias("value")).write.partitionBy(
         "shard").option("lineSep", END).option("compression", "gzip").text(temporary)
     counts = {r["shard"]: r["n"] for r in plan.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # one a file
-    manifest = []
-    for shard, n in sorted(counts.items()):
+
+    def moved(shard: int) -> dict:
         found = [s.getPath() for s in fs.listStatus(path(f"{temporary}/shard={shard}"))]
         found = [p for p in found if p.getName().startswith("part-")]
         if len(found) != 1:
@@ -200,7 +205,11 @@ def write_archives(pages: DataFrame, folder: str, roll: int = ROLL, least_bytes:
         name = f"pages-{shard:06d}.warc.gz"
         if not fs.rename(found[0], path(f"{folder}/{name}")):
             raise RuntimeError(f"could not move shard {shard} to {name}")
-        manifest.append({"file": name, "records": n, "bytes": fs.getFileStatus(path(f"{folder}/{name}")).getLen()})
+        return {"file": name, "records": counts[shard], "bytes": fs.getFileStatus(path(f"{folder}/{name}")).getLen()}
+
+    # A call of the file system for each file, whatever its size; side by side, as each mostly waits.
+    with ThreadPoolExecutor(MOVERS) as pool:
+        manifest = list(pool.map(moved, sorted(counts)))
     out = fs.create(path(f"{temporary}/manifest.json"))
     out.write("".join(json.dumps(m) + "\n" for m in manifest).encode())
     out.close()

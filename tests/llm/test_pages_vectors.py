@@ -73,6 +73,34 @@ def test_no_pages_and_least_bytes(spark, pages, tmp_path):
     assert len(rows) == pages.count() and all(r["record_type"] == "response" for r in rows)
 
 
+def test_a_failed_move_commits_nothing(spark, pages, tmp_path, monkeypatch):
+    """One file cannot be moved: no manifest appears, readers see nothing, and a new folder works."""
+    monkeypatch.setattr(warc, "FILES", 3)  # few files: larger ones
+    warc.write_archives(pages, str(tmp_path / "few"), roll=100)
+    assert len(list((tmp_path / "few").glob("*.warc.gz"))) <= 4
+    monkeypatch.setattr(warc, "FILES", 1000)
+    folder = tmp_path / "a"
+    original = warc.hadoop_fs
+
+    class Broken:
+        def __init__(self, fs):
+            self.fs = fs
+
+        def __getattr__(self, name):
+            return getattr(self.fs, name)
+
+        def rename(self, a, b):
+            return False if b.getName() == "pages-000001.warc.gz" else self.fs.rename(a, b)
+
+    monkeypatch.setattr(warc, "hadoop_fs", lambda spark, at: (Broken(original(spark, at)[0]), None))
+    with pytest.raises(RuntimeError, match="could not move shard 1"):
+        warc.write_archives(pages, str(folder), roll=900)
+    assert not (folder / "manifest.json").exists()
+    monkeypatch.undo()
+    warc.write_archives(pages, str(tmp_path / "b"), roll=900)
+    assert warc.read_archives(spark, str(tmp_path / "b")).count() == pages.count()
+
+
 def brute_force(rows, k):
     usable = [(i, np.floor(np.array(e, float) * 256).astype(int)) for i, e in rows
               if i is not None and e is not None and all(x is not None and np.isfinite(x) for x in e)]
