@@ -1,8 +1,7 @@
 """Tables written once between two jobs.
 
 An intermediate that several later jobs read is written as Parquet below the folder in
-``spark.checkpoint.dir``, or below the warehouse where that is unset: both are on the
-session's own file system and shared by all executors. Writing cuts the lineage (a lost
+``spark.checkpoint.dir``, or below a shared warehouse where that is unset. Writing cuts the lineage (a lost
 executor costs no recomputation), lets later scans prune columns, and gives Spark the true
 size for the choice between broadcast and shuffled joins.
 """
@@ -22,12 +21,23 @@ _LOCK = threading.Lock()
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The shared folder; nothing is set on the session."""
-    return (
-        spark.conf.get(_CONF, None)
-        or spark.sparkContext.getCheckpointDir()
-        or spark.conf.get("spark.sql.warehouse.dir")
-    ).rstrip("/")
+    """The shared folder; nothing is set on the session.
+
+    Where no folder is named, the warehouse serves: in local mode, or if it is on a file system that
+    all machines reach. On a cluster a folder of one machine is refused.
+    """
+    named = spark.conf.get(_CONF, None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named.rstrip("/")
+    warehouse = spark.conf.get("spark.sql.warehouse.dir").rstrip("/")
+    if is_local(warehouse) and not spark.sparkContext.master.startswith("local"):
+        raise ValueError(f"set {_CONF} to a folder that all executors share; {warehouse} is on one machine")
+    return warehouse
+
+
+def is_local(path: str) -> bool:
+    """Whether a path without a scheme, or with that of plain files, names a folder of a machine."""
+    return path.startswith(("/", "file:")) or "://" not in path
 
 
 def _folder(spark: SparkSession) -> str:

@@ -159,3 +159,22 @@ def test_folds_hold_every_department_once(spark):
     sizes = D.fold_sizes(rows).collect()
     assert {r["fold"] for r in sizes} == set(range(D.FOLDS))
     assert sum(r["n_departments"] for r in sizes) == 40 and sum(r["n_rows"] for r in sizes) == 80
+
+
+def test_intermediate_tables_need_a_shared_folder():
+    from types import SimpleNamespace as Name
+
+    from fieldcast.operators.staging import staging_root
+
+    def session(master, warehouse, checkpoint=None, named=None):
+        conf = {"spark.checkpoint.dir": named, "spark.sql.warehouse.dir": warehouse}
+        return Name(conf=Name(get=lambda k, d=None: conf.get(k) or d),
+                    sparkContext=Name(master=master, getCheckpointDir=lambda: checkpoint))
+
+    assert staging_root(session("local[4]", "file:/tmp/w/")) == "file:/tmp/w"
+    assert staging_root(session("yarn", "hdfs://n/w/")) == "hdfs://n/w"
+    assert staging_root(session("yarn", "file:/w", named="s3a://b/c/")) == "s3a://b/c"
+    assert staging_root(session("yarn", "/w", checkpoint="file:///mnt/shared/c")) == "file:///mnt/shared/c"
+    for warehouse in ("/w", "file:/w", "spark-warehouse"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            staging_root(session("spark://host:7077", warehouse))
