@@ -14,6 +14,8 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
+from fieldcast.operators.staging import staging_root
+
 _ROOTS: dict[str, str] = {}
 _SHIPPED: set[str] = set()
 _TABLES: list[str] = []
@@ -41,16 +43,11 @@ def shared_root(spark: SparkSession) -> str:
     """This application's folder for intermediate tables, below ``spark.checkpoint.dir``.
 
     The session's setting is only read. Where it is unset (tests), the folder lies in the
-    warehouse, which is as shared as the tables kept there.
+    warehouse, unless that is a folder of one machine of a cluster.
     """
     app = spark.sparkContext.applicationId
     if app not in _ROOTS:
-        base = (
-            spark.conf.get("spark.checkpoint.dir", None)
-            or spark.sparkContext.getCheckpointDir()
-            or spark.conf.get("spark.sql.warehouse.dir")
-        )
-        _ROOTS[app] = f"{base.rstrip('/')}/llm-{app}"
+        _ROOTS[app] = f"{staging_root(spark)}/llm-{app}"
         atexit.register(drop_shared, spark)
     return _ROOTS[app]
 
