@@ -76,20 +76,27 @@ def licences_sql() -> str:
     return f"""
 WITH t(licence, tb) AS (VALUES {known}),
 d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+pl AS (SELECT rid, regexp_split_to_array(text, {text(licences.PARAGRAPH)}) AS ps FROM d),
 p AS (
-  SELECT DISTINCT rid, s FROM (
+  SELECT DISTINCT rid, trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')) AS s FROM (
     SELECT rid, text AS s FROM d
-    UNION ALL SELECT rid, unnest(regexp_split_to_array(text, '\\n[ \\t\\r]*\\n')) FROM d
-    UNION ALL SELECT rid, unnest(string_split(text, chr(10))) FROM d) WHERE s IS NOT NULL),
-w AS (SELECT rid, s, string_split(trim(regexp_replace(lower(s), '[^a-z0-9]+', ' ', 'g')), ' ') AS w FROM p),
+    UNION ALL SELECT rid, unnest(ps) FROM pl
+    UNION ALL SELECT rid, unnest(string_split(text, chr(10))) FROM d
+    UNION ALL SELECT rid, unnest(regexp_split_to_array(text, {text(licences.SENTENCE)})) FROM d
+    UNION ALL SELECT rid, unnest(regexp_split_to_array(text, {text(licences.PART)})) FROM d
+    UNION ALL SELECT rid, unnest(regexp_split_to_array(text, {text(licences.CLAUSE)})) FROM d
+    UNION ALL SELECT rid, array_to_string(list_slice(ps, i, i + r - 1), chr(10) || chr(10)) FROM (
+      SELECT rid, ps, r, unnest(range(1, len(ps) - r + 2)) AS i FROM pl, range(2, {licences.RUN} + 1) v(r)))
+  WHERE s IS NOT NULL),
+w AS (SELECT rid, s, string_split(s, ' ') AS w FROM p),
 b AS (
   SELECT rid, s, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS pb
   FROM w WHERE len(w) > 1),
 m AS (
-  SELECT rid, s, licence, 2 * len(list_intersect(pb, tb)) / (len(pb) + len(tb)) AS dice
+  SELECT rid, s, licence, len(tb) AS size, 2 * len(list_intersect(pb, tb)) / (len(pb) + len(tb)) AS dice
   FROM b JOIN t ON 2 * least(len(pb), len(tb)) >= {limit} * (len(pb) + len(tb))),
 g AS (
-  SELECT rid, min(struct_pack(worse := -dice, licence := licence)) AS best,
+  SELECT rid, min(struct_pack(worse := -dice, size := -size, licence := licence)) AS best,
     count(DISTINCT s) AS n_passages, string_agg(DISTINCT licence, ',' ORDER BY licence) AS licences
   FROM m WHERE dice >= {limit} GROUP BY rid)
 SELECT doc_id, best.licence AS licence, coalesce(-best.worse, 0.0) AS dice,

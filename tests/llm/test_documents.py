@@ -309,6 +309,39 @@ def test_licences(spark, documents):
     assert licences.scan(documents([""]).limit(0)).count() == 0
 
 
+def test_every_licence_in_every_form(spark, documents):
+    """Whole, without its title, as paragraphs among others, and as a phrase inside a sentence."""
+    texts, want = [], []
+    for licence, names in licences.NAMES.items():
+        title, paragraphs = licences.WHOLE.get(licence, (names[0], licences.OWN_PARAGRAPHS.get(licence)))
+        forms = [" ".join(paragraphs), "\n\n".join([title, "Copyright (c) 2024 Some Firm", *paragraphs]) if licence in licences.WHOLE
+                 else "\n\n".join([title, *paragraphs]),
+                 "\n\n".join(["Something else first.", *[p.replace(" the ", "\nthe ") for p in paragraphs], "And more of it after."]),
+                 f"The package is released under the {names[0]} and the docs are free.",
+                 f"Read on. The tool is licensed under {names[-1]}. It is small, fast and good at many things, as you will see."]
+        texts += forms if licence in licences.WHOLE else [paragraphs[0], *forms[1:]]
+        want += [licence] * len(forms)
+    rows = {r["doc_id"]: r["licence"] for r in licences.scan(documents(texts)).collect()}
+    assert [(want[i], rows[i], texts[i][:90]) for i in range(len(texts)) if rows[i] != want[i]] == []
+    plain = ["The terms of this are free, and you may use it as you like.", "He released it under pressure and without a license to do so."]
+    assert all(r["licence"] is None for r in licences.scan(documents(plain)).collect())
+
+
+def test_licences_equal_sql(spark, documents):
+    pick = random.Random(3)
+    pieces = [x for title, ps in licences.WHOLE.values() for x in (title, *ps)] + [p for ps in licences.OWN_PARAGRAPHS.values() for p in ps]
+    pieces += ["Released under the MIT License; more.", "Some words.", "", "It is licensed under the ISC License and free.", "a\nb c\n \nd"]
+    texts = [pick.choice(["\n", "\n\n", " ", "\n \n"]).join(pick.choices(pieces, k=pick.randint(1, 5))) for _ in range(25)] + [None, ""]
+    duck = duckdb.connect()
+    duck.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    duck.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    result = duck.execute(SQL["op10_licences"])
+    names = [d[0] for d in result.description]
+    got = licences.scan(documents(texts)).select(names).collect()
+    norm = lambda rows: sorted((r[0], r[1], round(r[2], 9), *r[3:]) for r in map(tuple, rows))
+    assert norm(got) == norm(result.fetchall())
+
+
 @pytest.mark.parametrize("grams", [licences.bigrams_of("Released under the MIT License."), licences.bigrams_of(
     licences.NOTICES["Apache-2.0"][0])])
 def test_telling_words_are_enough(grams):
