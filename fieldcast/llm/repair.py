@@ -18,6 +18,8 @@ goes once another one, whatever follows, ends cheaper.
 from __future__ import annotations
 
 import hashlib
+import pickle
+import tempfile
 from collections import deque
 from collections.abc import Callable, Iterator
 
@@ -25,6 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, Window
 
 REROLE, DELETE, INSERT, TRUNCATED = 2, 3, 2, 1
+HOLD = 4 << 20  # bytes of unresolved turns that are held in memory, twice at most
 START, SYSTEM, USER, ASSISTANT = range(4)
 # Where a turn with this initial leads from each state; a state without an entry forbids it.
 NEXT = {
@@ -200,23 +203,53 @@ class Survivors:
         return found
 
 
+class Waiting:
+    """Turns whose edit is not certain yet, first in, first out. Two blocks of about ``HOLD`` bytes
+    are in memory at most; others wait in a file without a name, which goes with the object."""
+
+    def __init__(self):
+        self.front: deque = deque()
+        self.blocks: deque[tuple[int, int]] = deque()
+        self.back, self.size, self.file = [], 0, None
+
+    def push(self, turn: tuple[str, str] | None) -> None:
+        self.back.append(turn)
+        self.size += 50 if turn is None else 100 + len(turn[0]) + len(turn[1])
+        if self.size >= HOLD:
+            self.file = self.file or tempfile.TemporaryFile()
+            data = pickle.dumps(self.back)
+            self.blocks.append((self.file.seek(0, 2), len(data)))
+            self.file.write(data)
+            self.back, self.size = [], 0
+
+    def pop(self) -> tuple[str, str] | None:
+        if not self.front:
+            if self.blocks:
+                at, length = self.blocks.popleft()
+                self.file.seek(at)
+                self.front = deque(pickle.loads(self.file.read(length)))
+            else:
+                self.front, self.back, self.size = deque(self.back), [], 0
+        return self.front.popleft()
+
+
 class Repair:
-    """Edits of one conversation applied to its turns, which are held only until resolved."""
+    """Edits of one conversation applied to its turns, which wait only until they are resolved."""
 
     def __init__(self, put: Callable[[str, str, str], None] | None = None):
         self.audit, self.hash, self.state, self.put = bytearray(), hashlib.sha256(), START, put
-        self.waiting: deque[tuple[str, str] | None] = deque()
+        self.waiting = Waiting()
         self.first = True
         self.survivors = Survivors(self._apply)
 
     def add(self, role: str, text: str, truncated: bool, must_go: bool) -> None:
-        self.waiting.append(None if must_go else (role, text))
+        self.waiting.push(None if must_go else (role, text))
         self.survivors.turn(role[:1], truncated, must_go)
 
     def _apply(self, edits: bytes) -> None:
         self.audit += edits
         for edit in edits:
-            turn = None if edit == 73 else self.waiting.popleft()  # I takes no turn
+            turn = None if edit == 73 else self.waiting.pop()  # I takes no turn
             if edit == 68:  # D
                 continue
             if edit == 75:  # K

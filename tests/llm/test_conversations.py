@@ -207,6 +207,37 @@ def test_repair_equals_brute_force(spark, seed, damaged):
         assert re.fullmatch("(s?(ua)+)?", "".join(r["role"][0] for r in turns[c]))
 
 
+@pytest.mark.parametrize("hold", [1, 300, 1 << 20])
+def test_turns_wait_in_order_whatever_is_in_memory(monkeypatch, hold):
+    """User turns only: tied repairs to the end, so all turns wait, most of them in the file."""
+    monkeypatch.setattr(repair, "HOLD", hold)
+    pick = random.Random(2)
+    report, lines = repair.Report(), []
+    n = 501
+    for i in range(n):
+        report.add(i, "user", f"text {i}.", False, False, False)
+    row = report.row()
+    audit, i, state = row[-2], 0, ""
+    for edit in audit:
+        if edit == "I":
+            state = "a" if state == "u" else "u"
+            lines.append(f"{ROLE[state]}:")
+            continue
+        if edit != "D":
+            state = "u" if edit == "K" else "a" if state == "u" else "u"
+            lines.append(f"{ROLE[state]}:text {i}.")
+        i += 1
+    assert i == n and row[-1] == hashlib.sha256("\n".join(lines).encode()).hexdigest()
+    waiting, sent, got = repair.Waiting(), 0, 0
+    for _ in range(3000):
+        if got == sent or pick.random() < 0.55:
+            waiting.push(None if sent % 7 == 0 else ("user", str(sent)))
+            sent += 1
+        else:
+            assert waiting.pop() == (None if got % 7 == 0 else ("user", str(got)))
+            got += 1
+
+
 def test_edits_equal_brute_force():
     pick = random.Random(9)
     roles = {"u": "user", "a": "assistant", "s": "system", "x": "x"}
