@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from functools import partial
+from functools import partial, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -162,20 +162,21 @@ def rollup(forest: DataFrame, names: list[str], block: int = BLOCK) -> DataFrame
     rows = forest.select("node", F.nullif("parent", "node").alias("parent"), *[
         F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in names])
     live = _sized(rows, names).withColumns({f"sum_{c}": F.lit(0).cast("long") for c in names})
-    finished = []
+    finished, ready = [], []
     while True:
         big = live.where((F.col("node") == F.col("top")) & (F.col("size") > block)).select(
             "top", F.col("size").alias("whole"))
         if big.isEmpty():
+            ready.append(live)
             break
         big = write_shared(big, "trie-big")
-        cut, centroids = _cut_once(live, big, names)
+        ready.append(live.join(big, "top", "left_anti"))  # small enough, and not looked at again here
+        live, centroids = _cut_once(live, big, names)
         finished.append(centroids)
-        live = write_shared(live.join(big, "top", "left_anti").select(cut.columns).unionByName(cut), "trie-live")
     types = "node long, " + ", ".join(f"sum_{c} long" for c in names)
-    local = live.repartition("top").sortWithinPartitions("top").select(
-        "node", "parent", "top", "size", *names, *[f"sum_{c}" for c in names]
-    ).mapInArrow(partial(_blocks, names=names), types)
+    columns = ["node", "parent", "top", "size", *names, *[f"sum_{c}" for c in names]]
+    small = reduce(DataFrame.unionByName, [part.select(columns) for part in ready])
+    local = small.repartition("top").sortWithinPartitions("top").mapInArrow(partial(_blocks, names=names), types)
     for part in finished:
         local = local.unionByName(part)
     return local
