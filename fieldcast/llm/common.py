@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import ctypes
 import gc
 import shutil
 import tempfile
@@ -110,9 +111,14 @@ def texts_of(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
 
 
 def give_back() -> None:
-    """Return memory that a finished task no longer needs; Spark keeps its workers alive."""
+    """Return memory that a finished task no longer needs; Spark keeps its workers alive. The C
+    library holds on to freed blocks unless it is asked to trim them."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        return
 
 
 def slices(sizes: Iterable[int], most: int) -> Iterator[tuple[int, int]]:

@@ -12,6 +12,7 @@ labels of one entity agree. Base spans are clamped; what the field adds has a po
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -20,7 +21,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldcast.llm.common import write_shared
+from fieldcast.llm.common import give_back, write_shared
 
 KINDS = ["email", "ip", "card", "phone"]
 LABELS = ["none", *KINDS]
@@ -347,12 +348,14 @@ def fit(docs: DataFrame, most: int = SAMPLE) -> Field:
             yield pa.RecordBatch.from_arrays([
                 pa.array([k for k, _ in rows], pa.int32()), pa.array([h for _, h in rows], pa.int64())],
                 names=["kind", "at"])
+        give_back()
 
     def find(batches):
         for batch in batches:
             rows = sorted(set().union(*[examples(text) for text in batch.column(0).to_pylist()]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in rows], f.type) for i, f in enumerate(NODE)], schema=NODE)
+        give_back()
 
     texts = docs.where("text is not null").select(F.xxhash64("text").alias("at"), "text")
     held = write_shared(texts.mapInArrow(kinds, "kind int, at long"), "kinds").distinct()
@@ -373,13 +376,15 @@ def found_column(text: Column, field: Field) -> Column:
     all spans as kind:start:end, comma-joined. Null counts as the empty text."""
 
     @F.pandas_udf("n_email long, n_ip long, n_card long, n_phone long, base string, spans string")
-    def run(texts: pd.Series) -> pd.DataFrame:
-        rows = []
-        for text in texts:
-            base, spans = all_spans(field, text or "")
-            kinds = [k for _, k, _ in base]
-            rows.append((*[kinds.count(k) for k in range(4)], written(base), written(spans)))
-        return pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for texts in batches:
+            rows = []
+            for text in texts:
+                base, spans = all_spans(field, text or "")
+                kinds = [k for _, k, _ in base]
+                rows.append((*[kinds.count(k) for k in range(4)], written(base), written(spans)))
+            yield pd.DataFrame(rows, columns=["n_email", "n_ip", "n_card", "n_phone", "base", "spans"])
+        give_back()
 
     return run(text)
 
@@ -398,8 +403,10 @@ def masked_column(text: Column, field: Field) -> Column:
     """The text with every span replaced by its kind in angle brackets."""
 
     @F.pandas_udf("string")
-    def run(texts: pd.Series) -> pd.Series:
-        return pd.Series([None if t is None else masked(field, t) for t in texts], dtype=object)
+    def run(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for texts in batches:
+            yield pd.Series([None if t is None else masked(field, t) for t in texts], dtype=object)
+        give_back()
 
     return run(text)
 
