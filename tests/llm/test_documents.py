@@ -1,4 +1,5 @@
 import itertools
+import os
 import random
 import re
 
@@ -233,6 +234,17 @@ def test_training_uses_no_held_out_label(spark, documents):
     assert sample.where(classifier.held_out(F.col("doc_id"))).count() == 0
 
 
+@pytest.mark.skipif(not os.path.isdir("/root/testdata/sf0.01"), reason="no tables here")
+def test_labels_of_the_held_out_fold_are_predicted(spark):
+    """On the given tables: trained without fold 0, measured on it."""
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.01/{t}.parquet") for t in ("documents", "labels"))
+    rows = classifier.quality(docs, labels).where("held_out").join(labels.where("quality IS NOT NULL"), "doc_id").collect()
+    good, bad = ([r["score"] for r in rows if r["quality"] == q] for q in (1, 0))
+    assert len(good) > 20 and len(bad) > 5
+    above = sum((g > b) + 0.5 * (g == b) for g in good for b in bad) / (len(good) * len(bad))
+    assert above > 0.95 and sum(r["predicted"] == r["quality"] for r in rows) > 0.9 * len(rows)
+
+
 def naive_components(texts, ids):
     prints = [simhash.fingerprint(t) & (2 ** 64 - 1) for t in texts]
     label = list(range(len(prints)))
