@@ -6,6 +6,7 @@ the first of them, as users of the stored table would.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
@@ -45,7 +46,9 @@ from fieldcast.sources.factstore import read_fact, replace_partitions
 from fieldcast.sources.grid import (
     bbox_filter, clean_grid, kelvin_to_celsius, land_csv, requested, write_grid,
 )
-from fieldcast.sources.tables import missing_crops, ordered_constraints, read_query
+from fieldcast.sources.tables import (
+    missing_crops, ordered_constraints, read_cell_tables, read_query, write_cell_tables,
+)
 from fieldcast.sources.zones import write_csv, zone_path
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,6 +213,17 @@ def cell_status(spark, folder):
     ))
 
 
+@query
+def cell_layout_status(spark, folder):
+    """The status of every cell from tables bucketed by cell: seasons, footprints and all joins by
+    cell run where the rows lie. The database and its tables go with the application."""
+    name = f"cells_{uuid.uuid4().hex}"
+    spark.sql(f"CREATE DATABASE {name} LOCATION '{staged_path(spark, 'cell-tables')}'")
+    write_cell_tables(tables(spark, folder), name, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = S.suitability(read_cell_tables(spark, name), SETTINGS, keep_hidden=True)
+    return tidy(rows.select(*KEY, "status", "n_months", "fut_temp_avg", "base_temp_avg", "grown_area"))
+
+
 @query
 def status_summary(spark, folder):
     return tidy(S.status_summary(S.suitability(tables(spark, folder), SETTINGS)))
