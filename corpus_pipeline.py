@@ -49,7 +49,7 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in the packed sequences."""
     prepare(spark)
-    return packing.pack(docs, WORD_VOCABULARY)
+    return packing.pack(docs, WORD_VOCABULARY, trim=True)
 
 
 STAGES = [

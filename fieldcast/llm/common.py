@@ -110,11 +110,14 @@ def texts_of(column: pa.Array, most: int) -> Iterator[tuple[int, list[str]]]:
         yield a, ["" if t is None else t for t in column.slice(a, b - a).to_pylist()]
 
 
-def give_back() -> None:
+def give_back(trim: bool = True) -> None:
     """Return memory that a finished task no longer needs; Spark keeps its workers alive. The C
-    library holds on to freed blocks unless it is asked to trim them."""
+    library holds on to freed blocks unless it is asked to ``trim`` them, which costs the next task
+    of the worker some time to get them anew."""
     gc.collect()
     pa.default_memory_pool().release_unused()
+    if not trim:
+        return
     try:
         ctypes.CDLL(None).malloc_trim(0)
     except (OSError, AttributeError):  # another C library

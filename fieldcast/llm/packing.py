@@ -23,7 +23,9 @@ END_ID = 1
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, part long, nth long"
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, trim: bool = False,
+) -> DataFrame:
     """One row per piece: the ids of each text and ``end_id``, cut after every ``capacity`` ids.
 
     ``part`` and ``nth`` number pieces of equal length within their task; write the table
@@ -50,7 +52,7 @@ def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: i
                  *[pa.array(c, pa.int64()) for c in cols[2:]]],
                 names=["doc_id", "piece", "start", "length", "ids_crc32", "part", "nth"])
         drop_coders()
-        give_back()
+        give_back(trim)
 
     return docs.select("doc_id", "text").mapInArrow(run, PIECES)
 
@@ -98,14 +100,17 @@ def minimum_slack(counts: dict[int, int], capacity: int = CAPACITY) -> list[tupl
     return plan
 
 
-def pack(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
+def pack(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int = END_ID, trim: bool = False,
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32, sequence_id, offset: one row per piece.
 
     Null texts count as empty (one piece: the end id); repeated rows are packed as often as
     they occur; an empty table gives no row. To the driver go the counts of the lengths, at
-    most ``capacity`` rows; back go the runs of the plan, a few per length.
+    most ``capacity`` rows; back go the runs of the plan, a few per length. ``trim`` gives the memory
+    of finished tasks back to the system, for sessions with other work to come.
     """
-    pieces = write_shared(token_pieces(docs, path, capacity, end_id), "pieces")
+    pieces = write_shared(token_pieces(docs, path, capacity, end_id, trim), "pieces")
     by_task = pieces.groupBy("length", "part").agg(F.count("*").alias("n"))
     tasks = write_shared(by_task, "lengths")
     counts = {r[0]: r[1] for r in tasks.groupBy("length").agg(F.sum("n")).collect()}
