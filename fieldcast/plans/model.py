@@ -18,6 +18,8 @@ from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, UNKNOWN_SOIL
 
 # Fixed values of the forest.
 TREES, DEPTH, MIN_LEAF, SEED = 40, 10, 4, 42
+PARTITION_ROWS = 100_000  # training rows of a partition
+MIN_PARTITIONS = 4
 
 
 def forest() -> RandomForestRegressor:
@@ -94,10 +96,15 @@ def errors(predicted: DataFrame, column: str = "predicted") -> dict[str, float]:
     return {m: score.setMetricName(m).evaluate(predicted) for m in ("mae", "r2")}
 
 
-def in_fixed_order(rows: DataFrame) -> DataFrame:
+def in_fixed_order(rows: DataFrame, n_rows: int) -> DataFrame:
     """The same rows in the same partitions and order, however the table they come from lies in
-    files: the forest draws its samples by partition and row, and a repeated run must draw the same."""
-    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files: the forest draws its samples by partition and row, and a repeated run must draw the same.
+
+    For each level of the trees every partition shuffles the statistics of all nodes, however few
+    rows it holds. Partitions of many rows keep that in proportion to the rows; their number depends
+    on nothing else, so any session draws the same.
+    """
+    n = max(MIN_PARTITIONS, -(-n_rows // PARTITION_ROWS))
     return rows.repartition(n, "cell_id", "year").sortWithinPartitions(*rows.columns)
 
 
@@ -108,7 +115,7 @@ def train_yield_model(
 
     ``n_valid`` is the number of usable rows before trimming; too few fail the crop.
     """
-    rows = in_fixed_order(trimmed.where(F.col("crop_id") == crop_id))
+    rows = trimmed.where(F.col("crop_id") == crop_id)
     past = F.col("year") <= settings.last_training_year
     counts = rows.agg(
         F.count("*").alias("all"), F.count_if(past).alias("old"), F.count_if(~past).alias("new")
@@ -119,7 +126,7 @@ def train_yield_model(
             f"crop {crop_id}: only {n_valid} usable yield rows, {MIN_MODEL_ROWS} are needed"
         )
     metrics = {"mae": None, "r2": None, "n_rows": counts["all"]}
-    rows = rows.persist()
+    rows = in_fixed_order(rows, counts["all"]).persist()
     try:
         if counts["old"] >= MIN_MODEL_ROWS and counts["new"] >= MIN_VALIDATION_ROWS:
             fills, trial = fit(rows.where(past))

@@ -9,7 +9,7 @@ from fieldcast.plans.department_models import (
     baseline_errors, compare_models, department_baseline, department_yields, unknown_departments,
 )
 from fieldcast.plans.job import ProjectionError, run_projection
-from fieldcast.plans.model import predict_by_crop, train_yield_model
+from fieldcast.plans.model import in_fixed_order, predict_by_crop, train_yield_model
 from fieldcast.plans.yields import yield_training_set
 from fieldcast.settings import Settings
 from fieldcast.sources.factstore import read_fact, replace_partitions, vacuum
@@ -147,6 +147,22 @@ def test_model(spark, long_tables, run):
     assert short.metrics["mae"] is None
 
 
+def test_training_partitions_follow_the_rows(spark, long_tables, run):
+    """Not the session, or every further partition shuffles the nodes of all trees once more."""
+    training = yield_training_set(long_tables, run).where("crop_id = 1")
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    found = []
+    try:
+        for n in ("3", "7"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            found.append(train_yield_model(1, training, run).metrics)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert found[0] == found[1]
+    sizes = {n: in_fixed_order(training, n).rdd.getNumPartitions() for n in (112, 400_000, 400_001, 60_000_000)}
+    assert sizes == {112: 4, 400_000: 4, 400_001: 5, 60_000_000: 600}
+
+
 def test_department_models(spark, long_tables, run):
     rows = department_yields(yield_training_set(long_tables, run), long_tables.soils)
     base = {(r["crop_id"], r["dept_code"], r["year"]): r for r in department_baseline(rows).collect()}
