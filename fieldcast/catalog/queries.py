@@ -38,6 +38,7 @@ from fieldcast.plans.fact import (
 from fieldcast.plans.job import error_class, refresh_partitions, run_projection, train_models
 from fieldcast.plans.martstore import stored_mart
 from fieldcast.plans.model import fill_values, metrics_table, predict_by_crop
+from fieldcast.plans.shared import SharedInputs, shared_inputs
 from fieldcast.schemas import SOIL_TEXTURES
 from fieldcast.settings import MIN_MODEL_ROWS, MIN_VALIDATION_ROWS, Settings
 from fieldcast.sources import driver_tables
@@ -55,6 +56,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 _FACTS: dict[tuple[str, str], DataFrame] = {}
 _HISTORIES: dict[tuple[str, str], Y.YieldHistory] = {}
 _MODELS: dict[tuple[str, str], list] = {}
+_SHARED: dict[tuple[str, str], SharedInputs] = {}
 BIG = 2  # digits kept of totals that run into the millions
 
 
@@ -87,17 +89,25 @@ def _once(cache: dict, spark: SparkSession, folder: str, build):
     return cache[key]
 
 
-def history(spark, folder) -> Y.YieldHistory:
+def history(spark, folder, shared: SharedInputs | None = None) -> Y.YieldHistory:
+    seasons = shared.past(SETTINGS.history_years) if shared else None
     return _once(
-        _HISTORIES, spark, folder, lambda: Y.yield_history(tables(spark, folder), SETTINGS)
+        _HISTORIES, spark, folder, lambda: Y.yield_history(tables(spark, folder), SETTINGS, seasons)
     )
 
 
+def shared(spark, folder) -> SharedInputs:
+    """Seasons and footprint of a fact build, which its history reads too."""
+    return _once(_SHARED, spark, folder, lambda: shared_inputs(tables(spark, folder), SETTINGS))
+
+
 def fact(spark, folder) -> DataFrame:
     """The fact table with the reference yield as the prediction."""
-    return _once(_FACTS, spark, folder, lambda: stage(
-        projection_fact(tables(spark, folder), SETTINGS, history(spark, folder)), "fact"
-    ))
+    def build():
+        inputs = shared(spark, folder)
+        past = history(spark, folder, inputs)
+        return stage(projection_fact(tables(spark, folder), SETTINGS, past, shared=inputs), "fact")
+    return _once(_FACTS, spark, folder, build)
 
 
 def models(spark, folder) -> list:
@@ -744,10 +754,10 @@ def yield_predictions(spark, folder):
 
 @query
 def projection_fact_model(spark, folder):
-    return projection_fact(
-        tables(spark, folder), SETTINGS, history(spark, folder),
-        predict_by_crop(models(spark, folder), prediction_mask()),
-    ).drop("computed_at")
+    inputs = shared(spark, folder)
+    past = history(spark, folder, inputs)
+    predict = predict_by_crop(models(spark, folder), prediction_mask())
+    return projection_fact(tables(spark, folder), SETTINGS, past, predict, shared=inputs).drop("computed_at")
 
 
 @query

@@ -103,26 +103,34 @@ def build_fact(tables, settings: Settings, history, models, medians, shared=None
 def built_partitions(fact_of: Callable[[Settings], DataFrame], settings: Settings) -> tuple:
     """Staged rows of all partitions of ``settings`` and the errors of those that cannot be built.
 
-    One plan builds everything. Only if that fails are the partitions built one by one, to
-    tell the sound ones from the others.
+    One plan builds everything. Only if that fails are the crops built one by one, and of a crop that
+    fails the horizons, to tell the sound partitions from the others.
     """
     def build(part: Settings) -> DataFrame:
         return stage(fact_of(part), "fact")
 
+    def apart(part: Settings) -> list[Settings]:
+        if len(part.crops) > 1:
+            return [part.narrowed([crop]) for crop in part.crops]
+        return [part.narrowed(horizons=[horizon]) for horizon in part.horizons]
+
     try:
         return build(settings), {}
     except Exception as error:  # noqa: BLE001
         if any(mark in str(error) for mark in NOT_THE_DATA):
             raise  # smaller builds would meet the same cluster
-        log.exception("the joint build failed, building partition by partition")
-    built, errors = [], {}
-    for crop in settings.crops:
-        for horizon in settings.horizons:
-            try:
-                built.append(build(settings.narrowed([crop], [horizon])))
-            except Exception as error:  # noqa: BLE001
-                log.exception("crop %s, horizon %s: build failed", crop, horizon)
-                errors[(crop, horizon)] = str(error)
+        log.exception("the joint build failed, building in parts")
+    built, errors, parts = [], {}, apart(settings)
+    while parts:
+        part = parts.pop(0)
+        try:
+            built.append(build(part))
+        except Exception as error:  # noqa: BLE001
+            log.exception("crop %s, horizons %s: build failed", part.crops[0], part.horizons)
+            if len(part.horizons) > 1:
+                parts += apart(part)
+            else:
+                errors[(part.crops[0], part.horizons[0])] = str(error)
     return (reduce(DataFrame.unionByName, built) if built else None), errors
 
 

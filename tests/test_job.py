@@ -83,6 +83,24 @@ def test_failures_stay_in_their_partition(spark, long_tables, run, history, fact
     assert unsound == {(1, 2084): "no rows", (2, 2054): "negative_fut_area: 2", (2, 2084): "negative_fut_area: 2"}
 
 
+def test_failed_builds_are_split_by_crop_first(spark, run):
+    """Sound crops are built at once, only the horizons of a broken one on their own."""
+    from fieldcast.plans import job
+
+    whole, seen = replace(run, crops=(1, 2, 3), horizons=(2054, 2084, 2100)), []
+
+    def fact_of(part):
+        seen.append((part.crops, part.horizons))
+        if 2 in part.crops and 2084 in part.horizons:
+            raise ArithmeticError("bad horizon")
+        return spark.createDataFrame([(c, h) for c in part.crops for h in part.horizons], "crop_id int, horizon_year int")
+
+    built, errors = job.built_partitions(fact_of, whole)
+    assert errors == {(2, 2084): "bad horizon"} and len(seen) == 7
+    wanted = {(c, h) for c in whole.crops for h in whole.horizons} - {(2, 2084)}
+    assert sorted(map(tuple, built.collect())) == sorted(wanted)
+
+
 def test_partition_overwrite(spark, fact, tmp_path):
     path = str(tmp_path / "fact")
     counts = {tuple(r) for r in replace_partitions(fact, path).collect()}
