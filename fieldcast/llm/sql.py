@@ -27,7 +27,7 @@ def rules_sql() -> str:
     counted = ", ".join(
         f"length(t) - length(regexp_replace(t, {text(p)}, '', 'g')) AS k_{k}" for k, p in rules.PATTERNS.items())
     common = ", ".join(f"len(list_filter(wl, lambda x: x = {text(w)})) AS w{i}" for w, i in at.items())
-    near = []
+    near, by_word = [], []
     for lang, (class_shares, word_shares) in rules.references().items():
         own = [f"w{at[w]}" for w in rules.COMMON_WORDS[lang]]
         mine = _distance([f"m.{x}" for x in own] + [f"(m.n_words - ({' + '.join('m.' + x for x in own)}))"],
@@ -37,6 +37,15 @@ def rules_sql() -> str:
         near.append(
             f"(({size} < {rules.MIN_CHARS} OR {chars} <= {rules.CLASS_LIMIT})"
             f" AND (m.n_words < {rules.MIN_COMMON} OR {mine} <= {rules.WORD_LIMIT}))")
+        refs = [f"r.{x}" for x in own] + [f"(r.n - ({' + '.join('r.' + x for x in own)}))"]
+        total = f"greatest({' + '.join(refs)}, 1)"
+        theirs = _distance([f"m.{x}" for x in own] + [f"(m.n_words - ({' + '.join('m.' + x for x in own)}))"],
+                           [f"({q} / {total})" for q in refs])
+        by_word.append(f"WHEN {text(lang)} THEN round({theirs}, {rules.DIGITS})")
+    total = f"greatest({' + '.join('r.' + c for c in classes)}, 1)"
+    by_class = _distance([f"m.{c}" for c in classes], [f"(r.{c} / {total})" for c in classes])
+    sums = ", ".join(f"sum({x}) AS {x}" for x in [*classes, *[f"w{i}" for i in at.values()]])
+    listed = ", ".join(text(x) for x in rules.COMMON_WORDS)
     space = "length(t) - word_chars"
     plain = "word_chars - (" + " + ".join(f"k_{k}" for k in rules.PATTERNS) + ")"
     return f"""
@@ -61,12 +70,15 @@ m AS (
     {space} AS c0, {', '.join(f'k_{k} AS c{i}' for i, k in enumerate(rules.PATTERNS, 1))},
     {plain} AS c{len(classes) - 1}, {common}
   FROM k LEFT JOIN covered USING (rid)),
+r AS (SELECT lang, sum(n_words) AS n, {sums} FROM m WHERE lang IN ({listed}) GROUP BY lang),
 f AS (
-  SELECT *, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed,
-    coalesce(lang IN ({', '.join(text(x) for x in rules.COMMON_WORDS)}), false) AS listed, {' OR '.join(near)} AS near
-  FROM m)
+  SELECT m.*, n_words < {rules.MIN_WORDS} OR 100 * n_repeat_words > {rules.MAX_REPEATED} * n_words AS base_failed,
+    coalesce(m.lang IN ({listed}), false) AS listed, {' OR '.join(near)} AS near,
+    CASE WHEN r.lang IS NOT NULL THEN round({by_class}, {rules.DIGITS}) END AS class_distance,
+    CASE r.lang {' '.join(by_word)} END AS word_distance
+  FROM m LEFT JOIN r ON m.lang = r.lang)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
-  NOT base_failed AND (NOT listed OR near) AS kept FROM f"""
+  NOT base_failed AND (NOT listed OR near) AS kept, class_distance, word_distance FROM f"""
 
 
 def licences_sql() -> str:
