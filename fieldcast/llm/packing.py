@@ -29,15 +29,16 @@ def token_pieces(
     """One row per piece: the ids of each text and ``end_id``, cut after every ``capacity`` ids.
 
     ``part`` and ``nth`` number pieces of equal length within their task; write the table
-    before relying on them.
+    before relying on them. With ``trim`` texts are encoded in smaller batches, for less memory.
     """
+    most = BATCH_CHARS // 4 if trim else BATCH_CHARS
 
     def run(batches):
         code, part, seen = coder(path), TaskContext.get().partitionId(), {}
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             docs_, rows = batch.column(0), []
-            for a, texts in texts_of(batch.column(1), BATCH_CHARS):
+            for a, texts in texts_of(batch.column(1), most):
                 for k, ids in enumerate(code.encode(texts), a):
                     ids += end
                     for piece, at in enumerate(range(0, len(ids), 4 * capacity)):

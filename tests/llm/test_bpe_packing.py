@@ -84,6 +84,12 @@ def test_packing_places_every_piece(spark, documents):
     assert packing.pack(documents([]).limit(0), WORDS).count() == 0
 
 
+def test_smaller_batches_give_the_same_pieces(spark, documents):
+    docs = documents([*odd_texts(50), "word " * 700_000, None])  # more than a batch of either size
+    full, trimmed = (packing.token_pieces(docs.coalesce(1), WORDS, trim=t).collect() for t in (False, True))
+    assert sorted(map(str, full)) == sorted(map(str, trimmed)) and len(full) > 100
+
+
 def test_fullest_is_the_best_subset_sum():
     pick = random.Random(2)
     for _ in range(200):
