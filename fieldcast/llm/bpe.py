@@ -12,14 +12,17 @@ import hashlib
 import heapq
 import json
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import Column, DataFrame, functions as F
 
-from fieldcast.llm.common import slices
+from fieldcast.llm.common import slices, texts_of
 
 # The pre-tokenizer patterns of the two vocabularies. White_Space stands for
 # \s, which Python would widen by four control characters.
@@ -29,15 +32,15 @@ BYTE_PATTERN = (
 )
 WORD_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
 
-BATCH_CHARS = 2_000_000   # characters encoded at a time: bounds the memory of a task
-CACHE_CHUNKS = 150_000    # chunks of a generation; a worker remembers two
-CACHED_LENGTH = 48        # longer chunks are not remembered
+BATCH_CHARS = 2_000_000   # characters that are Python strings at a time
+BLOCK_CHARS = 16_000_000  # characters whose distinct chunks are encoded once: bounds the memory of a task
 LONG_FRAGMENT = 512       # longer fragments use the heap
 NONE = np.iinfo(np.int32).max
 #: Characters whose class no edition of Unicode disputes; others go to the library's splitter.
 PLAIN = re.compile(r"[\x20-\x7e\n¡-¬®-įĲ-ɏ]*")
-#: A chunk whose pre-tokens are its runs of letters, of digits and of other marks.
-RUNS = re.compile(r" ?[\x21-\x26\x28-\x3b\x3d-\x7e¡-¬®-ÿ]+")
+#: Characters of chunks whose pre-tokens are their runs of letters, of digits and of other marks;
+#: such a chunk may also begin with a space.
+RUNS = re.compile(r"[\x21-\x26\x28-\x3b\x3d-\x7e¡-¬®-ÿ]")
 SAFE_CUT = re.compile(r"(?<=\S)(?= )")
 
 
@@ -59,11 +62,14 @@ class PairTable:
         self.keys = np.full(size, -1, np.int64)
         self.rank = np.full(size, NONE, np.int32)
         self.made = np.zeros(size, np.int32)
-        for (a, b), (rank, made) in pairs.items():
-            at = int(self._slot(np.array([(a << 32) | b], np.int64))[0])
-            while self.keys[at] >= 0:
-                at = (at + 1) & (size - 1)
-            self.keys[at], self.rank[at], self.made[at] = (a << 32) | b, rank, made
+        table = np.array([(a << 32 | b, *to) for (a, b), to in pairs.items()], np.int64).reshape(-1, 3)
+        at = self._slot(table[:, 0])
+        while at.size:  # all pairs at once; those whose slot is taken go on to the next one
+            free = self.keys[at] < 0
+            self.keys[at[free]] = table[free, 0]
+            put = self.keys[at] == table[:, 0]
+            self.rank[at[put]], self.made[at[put]] = table[put, 1], table[put, 2]
+            at, table = (at[~put] + 1) & (size - 1), table[~put]
 
     def _slot(self, keys: np.ndarray) -> np.ndarray:
         mixed = keys.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -136,12 +142,15 @@ class BytePairs:
         self.table = PairTable(merges)
         self.bytes_of: dict[int, bytes] = {}
         self.forced = np.ones((256, 256), bool)
+        known, as_bytes = set(letters), {ord(letter): byte for letter, byte in letters.items()}
         for token, i in vocab.items():
             word = token.removesuffix(suffix) if suffix else token
-            raw = bytes(letters[c] for c in word) if all(c in letters for c in word) else word.encode()
-            self.bytes_of[i] = raw
-            codes = np.frombuffer(raw, np.uint8)
-            self.forced[codes[:-1], codes[1:]] = False
+            self.bytes_of[i] = word.translate(as_bytes).encode("latin-1") if known.issuperset(word) else word.encode()
+        codes = np.frombuffer(b"".join(self.bytes_of.values()), np.uint8)
+        inside = np.ones(codes.size + 1, bool)  # places that do not begin a token
+        inside[np.cumsum([0, *map(len, self.bytes_of.values())])] = False
+        inside = np.flatnonzero(inside)
+        self.forced[codes[inside - 1], codes[inside]] = False
         for token, i in self.special.items():
             self.bytes_of[i] = token.encode()
         ordered = [self.bytes_of.get(i, b"") for i in range(max(self.bytes_of) + 1)]
@@ -155,19 +164,19 @@ class BytePairs:
         first = np.zeros(int(ends[-1]), bool)
         first[0] = True
         first[ends[:-1]] = True
-        return self.encode_codes(np.frombuffer(b"".join(words), np.uint8), first, ends)
+        ids, counts = self.encode_codes(np.frombuffer(b"".join(words), np.uint8), first, ends)
+        raw, stops = ids.tobytes(), (4 * np.cumsum(counts)).tolist()
+        return [raw[a:b] for a, b in zip([0, *stops], stops)]
 
-    def encode_codes(self, codes: np.ndarray, first: np.ndarray, ends: np.ndarray) -> list[bytes]:
+    def encode_codes(self, codes: np.ndarray, first: np.ndarray, ends: np.ndarray):
         """``codes``: bytes of all chunks; ``first``: where a pre-token begins; ``ends``: end of
-        each chunk. The ids of each chunk."""
+        each chunk. The ids of all chunks, joined, and how many each chunk has."""
         symbols = np.where(np.append(first[1:], True), self.last[codes], self.first[codes])
         cut = first.copy()
         cut[1:] |= self.forced[codes[:-1], codes[1:]]
         ids, owner = self._merge(symbols, np.cumsum(cut) - 1)
         chunk = np.searchsorted(ends, np.flatnonzero(cut), side="right")
-        counts = np.bincount(chunk[owner], minlength=len(ends))
-        raw, stops = ids.astype("<u4").tobytes(), (4 * np.cumsum(counts)).tolist()
-        return [raw[a:b] for a, b in zip([0, *stops], stops)]
+        return ids.astype("<u4"), np.bincount(chunk[owner], minlength=len(ends))
 
     def _merge(self, symbols: np.ndarray, fragment: np.ndarray):
         """Ids in order and the fragment of each; every round merges, in every fragment, all
@@ -228,9 +237,15 @@ class BytePairs:
         return self.blob[at].tobytes().decode("utf-8", "replace")
 
 
+def gathered(values: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """values[start:start + size] of every item, joined."""
+    ends = np.cumsum(sizes)
+    return values[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if ends.size else 0)]
+
+
 class TextCoder:
     """Texts to ids. Texts are cut into chunks at spaces where no pre-token can span the cut;
-    chunks seen before in this worker are looked up, new ones are encoded together."""
+    Arrow tells the chunks of a block of texts apart, and each distinct one is encoded once."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -245,8 +260,8 @@ class TextCoder:
         kinds = [1 + bool(regex.match(r"\p{N}", chr(i))) + 2 * (not regex.match(r"[\p{L}\p{N}]", chr(i)))
                  for i in range(0x100)]
         self.kind = np.array(kinds, np.int8)  # 1 letter, 2 digit, 3 other
-        self.young: dict[str, bytes] = {}
-        self.old: dict[str, bytes] = {}
+        self.plain = np.array([bool(RUNS.match(chr(i))) for i in range(0x100)] + [False])
+        self.lower = np.array([ord(chr(i).lower() if self.words else chr(i)) for i in range(0x100)], np.uint32)
 
     def chunks(self, text: str) -> list[str]:
         if self.words:  # this vocabulary drops white space
@@ -267,44 +282,64 @@ class TextCoder:
         parts = self.library.pre_tokenizer.pre_tokenize_str(chunk)
         return [bytes(map(self.letters.__getitem__, part)) for part, _ in parts if part]
 
-    def learn(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of chunks not met before."""
-        plain = list(filter(RUNS.fullmatch, new))
-        return self._learn_runs(plain) | self._learn_rest(list(set(new).difference(plain)))
-
-    def _learn_runs(self, new: list[str]) -> dict[str, bytes]:
-        """Chunks whose pre-tokens begin where the class of the character changes."""
-        if not new:
-            return {}
-        joined = "\n".join(new)
-        joined = joined.lower() if self.words else joined
+    def learn(self, chunks: pa.StringArray, most: int):
+        """The ids of distinct chunks, about ``most`` bytes at a time: (ids, starts, sizes), the ids of
+        chunk k being ids[starts[k]:starts[k] + sizes[k]]."""
+        total = np.cumsum(pc.binary_length(chunks).to_numpy().astype(np.int64))
+        steps = np.searchsorted(total, np.arange(most, total[-1] if total.size else 0, most)) + 1
+        bounds = np.unique([0, *steps, len(chunks)]).tolist()
+        done, at = [(np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64))], 0
+        for a, b in zip(bounds, bounds[1:]):
+            ids, starts, sizes = self._learn(chunks.slice(a, b - a))
+            done.append((ids, starts + at, sizes))
+            at += ids.size
+        return tuple(map(np.concatenate, zip(*done)))
+
+    def _learn(self, chunks: pa.StringArray):
+        joined = pc.binary_join(pa.ListArray.from_arrays([0, len(chunks)], chunks), "")[0].as_py()
         points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
-        break_ = points == 10
+        lengths = pc.utf8_length(chunks).to_numpy().astype(np.int64)
+        head = np.zeros(points.size + 1, bool)  # the first character of a chunk
+        head[np.cumsum(lengths) - lengths] = True
+        head = head[:-1]
+        space = head & (points == 32)
+        odd = ~(space | self.plain[np.minimum(points, 0x100)])
+        odds, spaces = (np.diff(np.append(0, np.cumsum(x))[np.append(0, np.cumsum(lengths))]) for x in (odd, space))
+        runs = (odds == 0) & (lengths > spaces)
+        kept = np.repeat(runs, lengths)
+        ids, counts = self._learn_runs(points[kept], head[kept], lengths[runs])
+        rest = self._learn_rest(chunks.filter(pa.array(~runs)).to_pylist())
+        sizes = np.zeros(len(chunks), np.int64)
+        sizes[runs], sizes[~runs] = counts, [len(x) // 4 for x in rest]
+        starts = np.zeros(len(chunks), np.int64)
+        starts[runs] = np.cumsum(counts) - counts
+        starts[~runs] = ids.size + np.cumsum(sizes[~runs]) - sizes[~runs]
+        return np.concatenate([ids, np.frombuffer(b"".join(rest), "<u4")]), starts, sizes
+
+    def _learn_runs(self, points: np.ndarray, head: np.ndarray, lengths: np.ndarray):
+        """Chunks whose pre-tokens begin where the class of the character changes."""
+        if not lengths.size:
+            return np.zeros(0, np.uint32), lengths
+        points = self.lower[points]
         kind = self.kind[points]
         kind[points == 32] = 4
-        begins = np.ones(points.size, bool)
-        begins[1:] = (kind[1:] != kind[:-1]) & (kind[:-1] != 4)
+        begins = head.copy()
+        begins[1:] |= (kind[1:] != kind[:-1]) & (kind[:-1] != 4)
         if self.words:
             begins |= kind == 2  # digits stand alone
-        begins[1:] |= break_[:-1]
-        begins[0] = True
-        points_kept, begins = points[~break_], begins[~break_]
-        wide = 1 + (points_kept >= 0x80)
-        place = np.cumsum(wide) - wide
-        first = np.zeros(int(wide.sum()), bool)
+        two = points >= 0x80
+        after = np.cumsum(1 + two)
+        place = after - 1 - two
+        first, codes = np.zeros(int(after[-1]), bool), np.zeros(int(after[-1]), np.uint8)
         first[place[begins]] = True
-        last_char = np.append(np.flatnonzero(break_) - 1 - np.arange(break_.sum()), points_kept.size - 1)
-        ends = place[last_char] + wide[last_char]
-        codes = np.zeros(first.size, np.uint8)
-        two = wide == 2
-        codes[place] = np.where(two, 0xC0 | points_kept >> 6, points_kept)
-        codes[place[two] + 1] = 0x80 | points_kept[two] & 0x3F
-        return dict(zip(new, self.pairs.encode_codes(codes, first, ends)))
-
-    def _learn_rest(self, new: list[str]) -> dict[str, bytes]:
+        codes[place] = np.where(two, 0xC0 | points >> 6, points)
+        codes[place[two] + 1] = 0x80 | points[two] & 0x3F
+        return self.pairs.encode_codes(codes, first, after[np.cumsum(lengths) - 1])
+
+    def _learn_rest(self, new: list[str]) -> list[bytes]:
         """Chunks with apostrophes, white space, special tokens or rare characters."""
         flat: list[bytes] = []
-        plan: list[tuple[str, list[tuple[int, int, bytes]]]] = []
+        plan: list[list[tuple[int, int, bytes]]] = []
         for chunk in new:
             parts = []
             pieces = self.special.split(chunk) if self.special and "<|" in chunk else [chunk]
@@ -315,20 +350,25 @@ class TextCoder:
                     words = self.pre_tokens(piece)
                     parts.append((len(flat), len(flat) + len(words), b""))
                     flat += words
-            plan.append((chunk, parts))
+            plan.append(parts)
         ids = self.pairs.encode_words(flat) if flat else []
-        return {c: b"".join(s or b"".join(ids[a:b]) for a, b, s in parts) for c, parts in plan}
+        return [b"".join(s or b"".join(ids[a:b]) for a, b, s in parts) for parts in plan]
 
     def encode(self, texts: Sequence[str]) -> list[bytes]:
-        """The ids of each text as little-endian 32-bit integers; memory is bounded by
-        ``BATCH_CHARS`` and the longest text without a safe cut."""
-        out: list[bytes] = []
-        for a, b in slices(map(len, texts), BATCH_CHARS):
-            if b - a == 1 and len(texts[a]) > 2 * BATCH_CHARS:
-                out.append(b"".join(self._encode([p])[0] for p in self._parts(texts[a])))
-            else:
-                out += self._encode(texts[a:b])
-        return out
+        """The ids of each text as little-endian 32-bit integers."""
+        return list(self.stream(pa.array(texts, pa.string())))
+
+    def stream(self, texts: pa.StringArray, block: int = BLOCK_CHARS) -> Iterator[bytes]:
+        """The ids of each text in order, nulls as empty texts; memory is bounded by ``block``
+        characters and the longest text without a safe cut."""
+        sizes, start = pc.fill_null(pc.binary_length(texts), 0).to_numpy(), 0
+        for k in [*np.flatnonzero(sizes > 2 * BATCH_CHARS).tolist(), len(texts)]:
+            for a, b in slices(sizes[start:k].tolist(), block):
+                yield from self._encode(texts.slice(start + a, b - a), block)
+            if k < len(texts):
+                parts = self._parts(texts[k].as_py())
+                yield b"".join(ids for part in parts for ids in self._encode(pa.array([part]), block))
+            start = k + 1
 
     def _parts(self, text: str):
         """A very long text in parts, cut where a pre-token cannot span the cut."""
@@ -341,21 +381,28 @@ class TextCoder:
             start = found.start()
         yield text[start:]
 
-    def _encode(self, texts: Sequence[str]) -> list[bytes]:
-        split = [self.chunks(t) for t in texts]
-        young, new = self.young, set().union(*split)
-        new.difference_update(young)
-        again = new.intersection(self.old)
-        young.update((k, self.old[k]) for k in again)
-        new.difference_update(again)
-        young |= self.learn(list(new))
-        out = [b"".join(map(young.__getitem__, chunks)) for chunks in split]
-        for k in new:
-            if len(k) > CACHED_LENGTH:
-                del young[k]
-        if len(young) > CACHE_CHUNKS:
-            self.old, self.young = young, {}
-        return out
+    def _split(self, texts: pa.StringArray):
+        """The chunks of all texts, joined, and where those of each text begin and end."""
+        if self.words:  # as in ``chunks``
+            lists = pc.split_pattern(pc.replace_substring(pc.fill_null(texts, ""), "\n", " "), " ")
+            return lists.flatten(), np.append(0, np.cumsum(pc.list_value_length(lists).to_numpy()))
+        values, counts = [pa.array([], pa.string())], [0]
+        for _, part in texts_of(texts, BATCH_CHARS):
+            split = [self.chunks(t) for t in part]
+            values.append(pa.array(list(chain.from_iterable(split)), pa.string()))
+            counts += map(len, split)
+        return pa.concat_arrays(values), np.cumsum(counts)
+
+    def _encode(self, texts: pa.StringArray, block: int) -> Iterator[bytes]:
+        values, bounds = self._split(texts)
+        found = values.dictionary_encode()
+        ids, starts, sizes = self.learn(found.dictionary, block // 32)
+        which = found.indices.to_numpy()
+        for a, b in slices(np.diff(bounds).tolist(), block // 64):
+            here = which[bounds[a]:bounds[b]]
+            raw = gathered(ids, starts[here], sizes[here]).tobytes()
+            cuts = (4 * np.append(0, np.cumsum(sizes[here]))[bounds[a:b + 1] - bounds[a]]).tolist()
+            yield from (raw[i:j] for i, j in zip(cuts, cuts[1:]))
 
 
 _CODERS: dict[str, TextCoder] = {}
@@ -369,8 +416,7 @@ def coder(path: str) -> TextCoder:
 
 
 def drop_coders() -> None:
-    """Free the vocabulary and the remembered chunks at the end of a task; loading it again takes
-    a fraction of a second."""
+    """Free the vocabulary at the end of a task; loading it again takes a fraction of a second."""
     _CODERS.clear()
 
 
@@ -400,13 +446,11 @@ def coded_digests(docs: DataFrame, path: str) -> DataFrame:
     @F.pandas_udf("n_tokens long, ids_sha256 string, decoded_sha256 string")
     def run(texts: pd.Series) -> pd.DataFrame:
         c, rows = coder(path), []
-        texts = ["" if t is None else t for t in texts]
-        for a, b in slices(map(len, texts), BATCH_CHARS):
-            for ids in c.encode(texts[a:b]):
-                rows.append((
-                    len(ids) // 4, hashlib.sha256(ids).hexdigest(),
-                    hashlib.sha256(c.pairs.decode(ids).encode()).hexdigest(),
-                ))
+        for ids in c.stream(pa.array(texts, pa.string(), from_pandas=True)):
+            rows.append((
+                len(ids) // 4, hashlib.sha256(ids).hexdigest(),
+                hashlib.sha256(c.pairs.decode(ids).encode()).hexdigest(),
+            ))
         return pd.DataFrame(rows, columns=["n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select("doc_id", run("text").alias("r")).select("doc_id", "r.*")

@@ -15,8 +15,8 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
-from fieldcast.llm.bpe import BATCH_CHARS, coder, drop_coders
-from fieldcast.llm.common import give_back, texts_of, write_shared
+from fieldcast.llm.bpe import BLOCK_CHARS, coder, drop_coders
+from fieldcast.llm.common import give_back, write_shared
 
 CAPACITY = 4096
 END_ID = 1
@@ -29,24 +29,23 @@ def token_pieces(
     """One row per piece: the ids of each text and ``end_id``, cut after every ``capacity`` ids.
 
     ``part`` and ``nth`` number pieces of equal length within their task; write the table
-    before relying on them. With ``trim`` texts are encoded in smaller batches, for less memory.
+    before relying on them. With ``trim`` texts are encoded in smaller blocks, for less memory.
     """
-    most = BATCH_CHARS // 4 if trim else BATCH_CHARS
+    block = BLOCK_CHARS // 4 if trim else BLOCK_CHARS
 
     def run(batches):
         code, part, seen = coder(path), TaskContext.get().partitionId(), {}
         end = int(end_id).to_bytes(4, "little")
         for batch in batches:
             docs_, rows = batch.column(0), []
-            for a, texts in texts_of(batch.column(1), most):
-                for k, ids in enumerate(code.encode(texts), a):
-                    ids += end
-                    for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
-                        raw = ids[at:at + 4 * capacity]
-                        n = len(raw) // 4
-                        nth = seen.get(n, 0)
-                        seen[n] = nth + 1
-                        rows.append((k, piece, at // 4, n, zlib.crc32(raw), part, nth))
+            for k, ids in enumerate(code.stream(batch.column(1), block)):
+                ids += end
+                for piece, at in enumerate(range(0, len(ids), 4 * capacity)):
+                    raw = ids[at:at + 4 * capacity]
+                    n = len(raw) // 4
+                    nth = seen.get(n, 0)
+                    seen[n] = nth + 1
+                    rows.append((k, piece, at // 4, n, zlib.crc32(raw), part, nth))
             cols = list(zip(*rows)) or [[]] * 7
             yield pa.RecordBatch.from_arrays(
                 [docs_.take(pa.array(cols[0], pa.int64())), pa.array(cols[1], pa.int32()),

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from fieldcast.llm import bpe, packing
@@ -49,6 +50,41 @@ def test_long_text_is_encoded_in_parts(monkeypatch):
     assert np.frombuffer(coder.encode([text])[0], "<u4").tolist() == library.encode(text).ids
 
 
+def test_every_distinct_chunk_is_encoded_once(monkeypatch):
+    seen, whole = [], bpe.BytePairs.encode_codes
+    monkeypatch.setattr(bpe.BytePairs, "encode_codes",
+                        lambda self, codes, *rest: seen.append(len(codes)) or whole(self, codes, *rest))
+    text = "x" * 60 + " word" * 400_000  # three texts of a batch each; long chunks count, too
+    library, coder = Tokenizer.from_file(WORDS), bpe.TextCoder(WORDS)
+    ids = coder.encode([text] * 3)
+    assert sum(seen) == 60 + 4
+    assert np.frombuffer(ids[2], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids == \
+        np.frombuffer(ids[0], "<u4").tolist()
+
+
+def test_long_text_after_a_short_one_is_cut_too(monkeypatch):
+    monkeypatch.setattr(bpe, "BATCH_CHARS", 50)
+    parts, cut = [], bpe.TextCoder._parts
+    monkeypatch.setattr(bpe.TextCoder, "_parts", lambda self, text: parts.append(text) or cut(self, text))
+    for path in (BYTES, WORDS):
+        library, coder = Tokenizer.from_file(path), bpe.TextCoder(path)
+        texts = ["x", "some words, and\n\nmore  words " * 40, "", "y z"]
+        want = [library.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [np.frombuffer(ids, "<u4").tolist() for ids in coder.encode(texts)] == want
+        assert parts.pop() == texts[1] and not parts
+
+
+def test_blocks_of_any_size_and_nulls():
+    texts = [None, *odd_texts(300), None]
+    for path in (BYTES, WORDS):
+        library, coder = Tokenizer.from_file(path), bpe.TextCoder(path)
+        want = [library.encode(t or "", add_special_tokens=False).ids for t in texts[1:]]
+        for block in (64, 1000, bpe.BLOCK_CHARS):
+            got = coder.stream(pa.array(texts).slice(1), block)
+            assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == want
+        assert coder.encode([]) == []
+
+
 def test_digests(spark, documents):
     docs = documents([None, "", "two words", "two words", *ODD])
     rows = bpe.coded_digests(docs, BYTES).collect()
